@@ -1,6 +1,11 @@
 """All registered queries. Importing a query module registers its entries."""
 
-from riskloom.catalog import mart_queries, quality_queries, statistics_queries
+from riskloom.catalog import (
+    evaluation_queries,
+    mart_queries,
+    quality_queries,
+    statistics_queries,
+)
 from riskloom.catalog.registry import ENTRIES
 
-__all__ = ["ENTRIES", "mart_queries", "quality_queries", "statistics_queries"]
+__all__ = ["ENTRIES", "evaluation_queries", "mart_queries", "quality_queries", "statistics_queries"]

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.session import stage
@@ -50,16 +50,21 @@ def running_totals(
     sums: Sequence[str],
     descending: bool = False,
     staged: bool = False,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Add ``cum_x`` (inclusive, in order) and ``tot_x`` per key group for each x in ``sums``.
 
     ``df`` holds one row per (keys, order) value. It is staged unless the caller
-    already did, because the split points and the scan both read it.
+    already did, because the split points and the scan both read it. A caller that
+    knows a balanced ``bucket`` rising with the order, such as the leading digits of
+    a hash, passes it, and then nothing is staged or sampled.
     """
     keys, sums = list(keys), list(sums)
-    base = df if staged else stage(df)
-    cuts = split_points(base, order)
-    bucketed = with_bucket(base, order, cuts)
+    if bucket is not None:
+        bucketed = df.withColumn(_BUCKET, bucket)
+    else:
+        base = df if staged else stage(df)
+        bucketed = with_bucket(base, order, split_points(base, order))
     direction = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()
     # Bounded input: at most one row per bucket for every key group.
     before = (

@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import positive, ratio, thousands_down, thousands_up
+from riskloom.functions.columns import positive, ratio, sigmoid, thousands_down, thousands_up
 from riskloom.operators.aggregates import add_rate, add_wilson
+from riskloom.operators.explain import contributions
+from riskloom.operators.linear import LinearModel
 from riskloom.roles import DEFAULT_ROLES, MIN_CELL_SIZE, Roles
 
 
@@ -52,3 +54,65 @@ def observed_ranges(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
         thousands_up(F.max(roles.usage)).alias("max_usage"),
         F.max(roles.events).alias("max_events"),
     )
+
+
+def score_units(
+    df: DataFrame,
+    model: LinearModel,
+    threshold: float,
+    ranges: Mapping[str, tuple[float, float]] | None = None,
+    row_id: str = "unit_id",
+) -> DataFrame:
+    """Risk, flag and contributions of every row, sorted from most protective to most harmful.
+
+    ``ranges`` marks rows outside what the model has seen. All columns are row-wise,
+    so this also runs on a stream.
+    """
+    scored = contributions(df, model)
+    parts = F.array(
+        *[
+            F.struct(
+                F.col(f"`contribution_{t.name}`").alias("value"), F.lit(t.name).alias("variable")
+            )
+            for t in model.terms
+        ]
+    )
+    outside = F.lit(False)
+    for column, (low, high) in (ranges or {}).items():
+        outside = outside | ~F.col(column).between(low, high)
+    return (
+        scored.withColumn("risk", sigmoid(F.col("log_odds")))
+        .withColumns(
+            {
+                "flagged": F.col("risk") >= F.lit(threshold),
+                "out_of_range": F.coalesce(outside, F.lit(True)),
+                "contributions": F.array_sort(parts),
+            }
+        )
+        .select(row_id, "risk", "flagged", "out_of_range", "reference", "contributions")
+    )
+
+
+def seen_ranges(observed: DataFrame, roles: Roles = DEFAULT_ROLES) -> dict[str, tuple[float, float]]:
+    """Range check limits from ``observed_ranges`` (one row)."""
+    r = observed.first()
+    return {
+        roles.age: (0, r["max_age"]),
+        roles.usage: (r["min_usage"], r["max_usage"]),
+        roles.events: (0, r["max_events"]),
+    }
+
+
+def priority_list(scored: DataFrame, row_id: str = "unit_id") -> DataFrame:
+    """Units by descending risk with the strongest reason first; ids break ties.
+
+    The order is a range-partitioned sort on (risk, id): equal risks still spread.
+    """
+    strongest = F.element_at("contributions", -1)
+    return scored.select(
+        row_id,
+        "risk",
+        "flagged",
+        strongest["variable"].alias("main_reason"),
+        strongest["value"].alias("main_contribution"),
+    ).orderBy(F.col("risk").desc(), row_id)
