@@ -279,10 +279,7 @@ def contribution(spark, sf_dir):
     places=8,
 )
 def contribution_rows(spark, sf_dir):
-    return explain.contribution_rows(
-        units(spark, sf_dir).select("unit_id", *ROLES.numerics)
-        .toDF("unit_id", *ROLES.numerics), GIVEN, "unit_id"
-    )
+    return explain.contribution_rows(units(spark, sf_dir), GIVEN, "unit_id")
 
 
 CENTRED_SQL = PARTS_SQL.replace(

@@ -293,6 +293,8 @@ def histogram(
     # and the ranges are one row per outcome.
     per_value = known.groupBy(by, "x").agg(F.count(F.lit(1)).alias("n"))
     ranges = ranges.withColumnRenamed(by, "__by")
+    if dict(df.dtypes)[by] == "boolean":
+        ranges = F.broadcast(ranges)  # three rows at most
     width = (F.col("high") - F.col("low")) / F.lit(float(bins))
     slot = F.when(width == 0.0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("low")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))

@@ -91,11 +91,11 @@ def contributions(df: DataFrame, model: LinearModel, prefix: str = "contribution
 
 def contribution_rows(df: DataFrame, model: LinearModel, row_id: str) -> DataFrame:
     """Contributions in long format."""
-    wide = contributions(df, model, prefix="")
-    names = [t.name for t in model.terms]
-    return wide.select(row_id, *[F.col(f"`{n}`") for n in names]).unpivot(
-        [row_id], [f"`{n}`" for n in names], "variable", "contribution"
-    )
+    rows = [
+        F.struct(F.lit(name).alias("variable"), value.alias("contribution"))
+        for name, value in require_linear(model).contribution_columns().items()
+    ]
+    return df.select(row_id, F.inline(F.array(*rows)))
 
 
 def _background(df: DataFrame, model: LinearModel) -> list[float]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import label01
-from riskloom.operators.scan import running_totals
+from riskloom.operators.scan import bucket_count, running_totals
 from riskloom.roles import DEFAULT_ROLES, N_FOLDS, N_REPETITIONS, SEED, Roles
 
 _PREFIX_VALUES = 65_536  # four hexadecimal digits
@@ -26,8 +26,7 @@ def assign_folds(
     leading hash digits cut the ranking into equal parts, hence no task ever sees a
     whole outcome class, and the folds do not depend on partitioning.
     """
-    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, min(buckets, _PREFIX_VALUES))
+    buckets = min(bucket_count(df.sparkSession), _PREFIX_VALUES)
     dealt = (
         df.withColumns(
             {

@@ -137,7 +137,8 @@ def build_design(
     table = folds.select(
         "repetition", "fold", F.col(roles.unit_id).alias("unit_id"), "y", *columns
     )
-    return Design(stage(table), terms, {k: tuple(v) for k, v in sets.items()})
+    # Partitioned, because all-rows fits and tree fits read a single repetition.
+    return Design(stage(table, "repetition"), terms, {k: tuple(v) for k, v in sets.items()})
 
 
 @dataclass

@@ -1,0 +1 @@
+"""Chains of operators: mart, experiment, evaluation, interpretation."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -16,7 +18,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-"))
+    private = tempfile.mkdtemp(prefix="riskloom-")
+    atexit.register(shutil.rmtree, private, ignore_errors=True)
+    context.setCheckpointDir(private)
     return context.getCheckpointDir()
 
 
