@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import band_order, col, positive, ratio, wilson
-from riskloom.operators.scan import exact_quantiles
+from riskloom.operators.scan import approximate_quantiles, exact_quantiles
 from riskloom.roles import (
     AGE_BAND,
     AGE_BANDS,
@@ -234,10 +234,16 @@ def category_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str], count_infinite: bool = False) -> DataFrame:
+def describe(
+    df: DataFrame,
+    columns: Sequence[str],
+    count_infinite: bool = False,
+    accuracy: int | None = None,
+) -> DataFrame:
     """Position, spread and shape of numeric columns, one row per column.
 
-    Skewness and excess kurtosis carry the sample-size correction.
+    Skewness and excess kurtosis carry the sample-size correction. Quartiles are
+    exact unless an ``accuracy`` asks for a sketch.
     """
     columns = list(columns)
     aggregates = []
@@ -259,7 +265,11 @@ def describe(df: DataFrame, columns: Sequence[str], count_infinite: bool = False
         for c in columns
     ]
     moments = df.agg(*aggregates).select(F.inline(F.array(*records)))
-    quartiles = exact_quantiles(df, columns, {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    shares = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+    if accuracy:
+        quartiles = approximate_quantiles(df, columns, shares, accuracy)
+    else:
+        quartiles = exact_quantiles(df, columns, shares)
     n = F.col("n").cast("double")
     skew = F.when(
         n > 2, F.col("g1") * F.sqrt(n * (n - F.lit(1.0))) / (n - F.lit(2.0))

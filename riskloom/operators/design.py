@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -45,8 +46,7 @@ class Term:
         return F.log1p(value) if self.kind == SKEWED else value
 
     def at(self, value: float) -> float:
-        import math
-
+        """The term's raw input when its source column holds ``value``."""
         return math.log1p(value) if self.kind == SKEWED else float(value)
 
 
@@ -85,7 +85,7 @@ def group_levels(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> list[str]:
     if roles.groups:
         return sorted(roles.groups)
     found = df.select(roles.group).distinct().filter(F.col(roles.group).isNotNull())
-    limit = 10_000
+    limit = 1_000
     levels = [r[0] for r in found.limit(limit + 1).collect()]
     if len(levels) > limit:
         raise ValueError(f"{roles.group!r} has over {limit} levels: not a category to dummy-code")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import ratio
-from riskloom.operators.scan import exact_quantiles
+from riskloom.operators.scan import approximate_quantiles, exact_quantiles
 from riskloom.roles import DEFAULT_ROLES, TUKEY_FACTOR, YEARLY_USAGE_RANGE, Roles
 
 # Kinds of columns in the profile.
@@ -82,13 +82,23 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def tukey_outliers(
-    df: DataFrame, columns: Sequence[str], factor: float = TUKEY_FACTOR
+    df: DataFrame,
+    columns: Sequence[str],
+    factor: float = TUKEY_FACTOR,
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """Quartiles, Tukey limits, and how many values fall outside, per column."""
+    """Quartiles, Tukey limits, and how many values fall outside, per column.
+
+    Quartiles are exact unless an ``accuracy`` asks for a sketch.
+    """
     columns = list(columns)
+    shares = {"q1": 0.25, "q3": 0.75}
+    if accuracy:
+        quartiles = approximate_quantiles(df, columns, shares, accuracy)
+    else:
+        quartiles = exact_quantiles(df, columns, shares)
     fences = (
-        exact_quantiles(df, columns, {"q1": 0.25, "q3": 0.75})
-        .withColumn("iqr", F.col("q3") - F.col("q1"))
+        quartiles.withColumn("iqr", F.col("q3") - F.col("q1"))
         .withColumns(
             {
                 "lower": F.col("q1") - F.lit(factor) * F.col("iqr"),

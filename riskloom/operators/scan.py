@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from riskloom.session import stage
 
 _BUCKET, _HEAD, _AT = "__bucket", "__head", "__at"
+# A side is broadcast only when it is counted to have no more rows than this.
+SMALL_SIDE = 10_000
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -49,58 +51,108 @@ def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str = _
     return placed.withColumn(name, F.col(name).cast("int")).drop(_AT)
 
 
-def running_totals(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    sums: Sequence[str],
-    descending: bool = False,
-    staged: bool = False,
-    bucket: Column | None = None,
+def _in_buckets(
+    df: DataFrame, order: str, staged: bool, bucket: Column | None = None
 ) -> DataFrame:
-    """Add ``cum_x`` (inclusive, in order) and ``tot_x`` per key group for each x in ``sums``.
-
-    ``df`` holds one row per (keys, order) value. It is staged unless the caller
-    already did, because the split points and the scan both read it. A caller that
-    knows a balanced ``bucket`` rising with the order, such as the leading digits of
-    a hash, passes it, and then nothing is staged or sampled.
-    """
-    keys, sums = list(keys), list(sums)
     if bucket is not None:
-        bucketed = df.withColumn(_BUCKET, bucket)
-    else:
-        base = df if staged else stage(df)
-        bucketed = with_bucket(base, order, split_points(base, order))
+        return df.withColumn(_BUCKET, bucket)
+    base = df if staged else stage(df)
+    return with_bucket(base, order, split_points(base, order))
+
+
+def _bucket_heads(
+    bucketed: DataFrame, keys: Sequence[str], sums: Sequence[str], descending: bool
+) -> DataFrame:
+    """Per key group and bucket: own sums, ``cum_x`` of the buckets before, ``tot_x`` of all."""
+    per_bucket = bucketed.groupBy(*keys, _BUCKET).agg(*[F.sum(s).alias(s) for s in sums])
     direction = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()
     # Bounded input: at most one row per bucket for every key group.
     before = (
         Window.partitionBy(*keys).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
     )
     whole = Window.partitionBy(*keys)
-    per_bucket = bucketed.groupBy(*keys, _BUCKET).agg(*[F.sum(s).alias(s) for s in sums])
-    heads = per_bucket.select(
-        *keys,
-        _BUCKET,
-        F.lit(1).alias(_HEAD),
-        *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"cum_{s}") for s in sums],
-        *[F.sum(s).over(whole).alias(f"tot_{s}") for s in sums],
-    )
-    body = bucketed.withColumns(
-        {_HEAD: F.lit(0)} | {f"cum_{s}": F.col(s) for s in sums}
+    return per_bucket.withColumns(
+        {f"cum_{s}": F.coalesce(F.sum(s).over(before), F.lit(0)) for s in sums}
+        | {f"tot_{s}": F.sum(s).over(whole) for s in sums}
     )
-    ordered = F.col(order).desc() if descending else F.col(order).asc()
+
+
+def _scan(
+    bucketed: DataFrame,
+    heads: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    sums: Sequence[str],
+    descending: bool,
+) -> DataFrame:
+    """Scan every bucket on its own, starting from its head."""
+    first = heads.drop(*sums).withColumn(_HEAD, F.lit(1))
+    body = bucketed.withColumns({_HEAD: F.lit(0)} | {f"cum_{s}": F.col(s) for s in sums})
     within = (
         Window.partitionBy(*keys, _BUCKET)
-        .orderBy(F.col(_HEAD).desc(), ordered)
+        .orderBy(F.col(_HEAD).desc(), F.col(order).desc() if descending else F.col(order).asc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    scanned = body.unionByName(heads, allowMissingColumns=True).withColumns(
+    scanned = body.unionByName(first, allowMissingColumns=True).withColumns(
         {f"cum_{s}": F.sum(f"cum_{s}").over(within) for s in sums}
         | {f"tot_{s}": F.first(f"tot_{s}").over(within) for s in sums}
     )
     return scanned.filter(F.col(_HEAD) == 0).drop(_HEAD, _BUCKET)
 
 
+def running_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    sums: Sequence[str],
+    descending: bool = False,
+    staged: bool = False,
+    bucket: Column | None = None,
+) -> DataFrame:
+    """Add ``cum_x`` (inclusive, in order) and ``tot_x`` per key group for each x in ``sums``.
+
+    ``df`` holds one row per (keys, order) value. It is staged unless the caller
+    already did, because the split points and the scan both read it. A caller that
+    knows a balanced ``bucket`` rising with the order, such as the leading digits of
+    a hash, passes it, and then nothing is staged or sampled.
+    """
+    bucketed = _in_buckets(df, order, staged, bucket)
+    heads = _bucket_heads(bucketed, keys, sums, descending)
+    return _scan(bucketed, heads, keys, order, sums, descending)
+
+
+def rows_at_ranks(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    sums: Sequence[str],
+    by: str,
+    ranks: Column,
+    descending: bool = False,
+    staged: bool = False,
+) -> DataFrame:
+    """The rows of ``running_totals`` whose span of ``cum_by`` holds one of the ranks.
+
+    ``ranks`` is an array of 1-based positions, written with the key columns and
+    ``tot_by``. Only buckets holding a rank are shuffled and sorted; the others are
+    known by their sums.
+    """
+    bucketed = _in_buckets(df, order, staged)
+    heads = _bucket_heads(bucketed, keys, sums, descending)
+    upto = F.col(f"cum_{by}") + F.col(by)
+    # Read by the limit, the semi-join and the scan: written once.
+    hit = stage(heads.filter(F.exists(ranks, lambda r: (r > F.col(f"cum_{by}")) & (r <= upto))))
+    wanted = hit.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], F.col(_BUCKET).alias("__b"))
+    if hit.limit(SMALL_SIDE + 1).count() <= SMALL_SIDE:
+        wanted = F.broadcast(wanted)
+    same = F.col(_BUCKET) == F.col("__b")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{i}"))
+    scanned = _scan(bucketed.join(wanted, same, "left_semi"), hit, keys, order, sums, descending)
+    start = F.col(f"cum_{by}") - F.col(by)
+    return scanned.filter(F.exists(ranks, lambda r: (r > start) & (r <= F.col(f"cum_{by}"))))
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Rows (keys, variable, value, n): frequency of every non-null value of each column."""
     long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
@@ -129,9 +181,7 @@ def exact_quantiles(
     """
     keys = [*keys, "variable"]
     ready = counts is not None
-    scanned = running_totals(
-        counts if ready else value_counts(df, keys[:-1], columns), keys, "value", ["n"], staged=ready
-    )
+    source = counts if ready else value_counts(df, keys[:-1], columns)
     n, last = F.col("tot_n").cast("double"), F.col("cum_n") - 1
     start = F.col("cum_n") - F.col("n")
 
@@ -144,9 +194,8 @@ def exact_quantiles(
         below, above = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         results.append((below + (above - below) * F.col(f"__w_{name}")).alias(name))
 
-    hit = picks[0][2] | picks[0][3]
-    for _, _, is_low, is_high in picks[1:]:
-        hit = hit | is_low | is_high
+    ends = [e for _, at, _, _ in picks for e in (F.floor(at) + 1, F.ceil(at) + 1)]
+    rows = rows_at_ranks(source, keys, "value", ["n"], "n", F.array(*ends), staged=ready)
     aggregates = []
     for name, at, is_low, is_high in picks:
         aggregates += [
@@ -154,7 +203,29 @@ def exact_quantiles(
             F.max(F.when(is_high, F.col("value"))).alias(f"__hi_{name}"),
             F.max(at - F.floor(at)).alias(f"__w_{name}"),
         ]
-    return scanned.filter(hit).groupBy(*keys).agg(*aggregates).select(*keys, *results)
+    return rows.groupBy(*keys).agg(*aggregates).select(*keys, *results)
+
+
+def approximate_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: dict[str, float],
+    accuracy: int,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Opt-in sketch version of ``exact_quantiles``: one pass, rank error at most 1/accuracy."""
+    shares = list(probabilities.values())
+    sketched = df.groupBy(*keys).agg(
+        *[F.percentile_approx(F.col(c).cast("double"), shares, accuracy).alias(c) for c in columns]
+    )
+    records = [
+        F.struct(
+            F.lit(c).alias("variable"),
+            *[F.element_at(c, i).alias(n) for i, n in enumerate(probabilities, start=1)],
+        )
+        for c in columns
+    ]
+    return sketched.select(*keys, F.inline(F.array(*records)))
 
 
 def average_ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -159,6 +159,14 @@ def test_description_matches_pandas(fleet):
         assert got.loc[c, names].tolist() == pytest.approx(want, rel=1e-9)
 
 
+def test_sketched_quartiles_are_close(fleet):
+    pdf, df = fleet
+    row = {r.variable: r for r in aggregates.describe(df, ["usage_km"], accuracy=1_000).collect()}["usage_km"]
+    assert row.median == pytest.approx(pdf.usage_km.median(), rel=0.02)
+    row = tukey_outliers(df, ["usage_km"], accuracy=1_000).first()
+    assert row.q1 == pytest.approx(pdf.usage_km.quantile(0.25), rel=0.05)
+
+
 def test_profile_duplicates_outliers_consistency(fleet):
     pdf, df = fleet
     profile = {r.variable: r for r in column_profile(df).collect()}
