@@ -26,11 +26,7 @@ Z = "1.959963984540054e0"
 
 
 def chosen(spark, sf_dir, model="pseudo"):
-    return select_predictions(predictions(spark, sf_dir), model, "original")
-
-
-def scores(spark, sf_dir, model="pseudo"):
-    return stage(curves.mean_scores(chosen(spark, sf_dir, model)))
+    return predictions(spark, sf_dir).filter(F.col("model") == model)
 
 
 RATES = """(tp + tn) * 1e0 / (tp + fp + fn + tn) as accuracy,
@@ -49,7 +45,7 @@ NAMED_CELLS = """tp as true_positives, fp as false_positives, fn as false_negati
 
 @register("predictions_of_model", "select * from oof where model = 'signal' and feature_set = 'original'", views=V)
 def of_model(spark, sf_dir):
-    return chosen(spark, sf_dir, "signal")
+    return select_predictions(predictions(spark, sf_dir), "signal", "original")
 
 
 @register(
@@ -480,12 +476,12 @@ GAINED = "share_inspected captured_share precision_in_slice lift"
 
 @register("gain_curve", gain_sql("pseudo") + "select * from gain", GAINED, V)
 def gain(spark, sf_dir):
-    return curves.gain_curve(tied_scores(spark, sf_dir))
+    return curves.gain_curve(tied_scores(spark, sf_dir), staged=True)
 
 
 @register("gain_curve_signal", gain_sql("signal") + "select * from gain", GAINED, V)
 def gain_signal(spark, sf_dir):
-    return curves.gain_curve(tied_scores(spark, sf_dir, "signal"))
+    return curves.gain_curve(tied_scores(spark, sf_dir, "signal"), staged=True)
 
 
 @register(
@@ -496,7 +492,7 @@ def gain_signal(spark, sf_dir):
     V,
 )
 def highlights(spark, sf_dir):
-    return curves.gain_highlights(curves.gain_curve(tied_scores(spark, sf_dir, "signal")))
+    return curves.gain_highlights(curves.gain_curve(tied_scores(spark, sf_dir, "signal"), staged=True))
 
 
 @register(
@@ -519,5 +515,5 @@ final """,
     V,
 )
 def capacity(spark, sf_dir):
-    table = curves.gain_curve(tied_scores(spark, sf_dir, "signal"))
+    table = curves.gain_curve(tied_scores(spark, sf_dir, "signal"), staged=True)
     return curves.capacity_plan(table, [25, 100, 777, 1000])

@@ -140,10 +140,12 @@ def rows_at_ranks(
     bucketed = _in_buckets(df, order, staged)
     heads = _bucket_heads(bucketed, keys, sums, descending)
     upto = F.col(f"cum_{by}") + F.col(by)
-    # Read by the limit, the semi-join and the scan: written once.
-    hit = stage(heads.filter(F.exists(ranks, lambda r: (r > F.col(f"cum_{by}")) & (r <= upto))))
+    hit = heads.filter(F.exists(ranks, lambda r: (r > F.col(f"cum_{by}")) & (r <= upto)))
+    few = hit.limit(SMALL_SIDE + 1).collect()
+    small = len(few) <= SMALL_SIDE
+    hit = df.sparkSession.createDataFrame(few, hit.schema) if small else stage(hit)
     wanted = hit.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], F.col(_BUCKET).alias("__b"))
-    if hit.limit(SMALL_SIDE + 1).count() <= SMALL_SIDE:
+    if small:
         wanted = F.broadcast(wanted)
     same = F.col(_BUCKET) == F.col("__b")
     for i, k in enumerate(keys):

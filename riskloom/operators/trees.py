@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -74,29 +76,35 @@ def tree_out_of_fold(
     feature_sets: Sequence[str] | None = None,
     options: TreeOptions = TreeOptions(),
     folds: Sequence[tuple[int, int]] | None = None,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Fit on the other folds of the repetition, score the fold; for every fold and set."""
+    """Fit on the other folds of the repetition, score the fold; for every fold and set.
+
+    A few fits run at a time, so that the small last stages of one leave room for another.
+    """
     if folds is None:
         pairs = design.table.select("repetition", "fold").distinct().collect()  # folds x repetitions
         folds = sorted((r["repetition"], r["fold"]) for r in pairs)
-    parts = []
-    for name in feature_sets or design.sets:
+
+    def score_fold(task: tuple[str, int, int]) -> DataFrame:
+        name, repetition, fold = task
         columns = [design.column(t) for t in design.sets[name]]
-        for repetition, fold in folds:
-            same = design.table.filter(F.col("repetition") == repetition)
-            model = fit_tree(kind, same.filter(F.col("fold") != fold), columns, options)
-            scored = model.transform(same.filter(F.col("fold") == fold))
-            parts.append(
-                scored.select(
-                    F.lit(kind).alias("model"),
-                    F.lit(name).alias("feature_set"),
-                    "repetition",
-                    "fold",
-                    "unit_id",
-                    "y",
-                    F.element_at(vector_to_array("probability"), 2).alias("p"),
-                )
-            )
+        same = design.table.filter(F.col("repetition") == repetition)
+        model = fit_tree(kind, same.filter(F.col("fold") != fold), columns, options)
+        return model.transform(same.filter(F.col("fold") == fold)).select(
+            F.lit(kind).alias("model"),
+            F.lit(name).alias("feature_set"),
+            "repetition",
+            "fold",
+            "unit_id",
+            "y",
+            F.element_at(vector_to_array("probability"), 2).alias("p"),
+        )
+
+    tasks = [(name, *pair) for name in feature_sets or design.sets for pair in folds]
+    inherit = inheritable_thread_target(design.table.sparkSession)
+    with ThreadPoolExecutor(parallelism) as pool:
+        parts = list(pool.map(inherit(score_fold), tasks))
     return reduce(DataFrame.unionByName, parts)
 
 
