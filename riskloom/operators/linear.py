@@ -2,9 +2,9 @@
 
 A Newton step needs, for each problem (feature set x repetition x left-out fold),
 the loss, gradient and Hessian summed over its training rows. One pass over the
-data yields them for every problem: each task reduces its rows to one row of sums
-per problem, and a grouped sum finishes the job. Only those sums, a few hundred
-numbers per problem, reach the driver.
+data yields them for every problem: each task reduces its rows to one sum per
+problem and slot, and a grouped sum, spread over all problems and slots, finishes
+the job. Only those sums, about a hundred numbers per problem, reach the driver.
 """
 
 from __future__ import annotations
@@ -244,10 +244,14 @@ def _partial_sums(
                     ([loss], z.T @ (p - y), hessian[np.triu_indices(z.shape[1])])
                 )
                 sums[index][: len(flat)] += flat
+    indices = np.fromiter(sums, dtype=np.int32)
     yield pd.DataFrame(
-        [[index, *vector] for index, vector in sums.items()],
-        columns=["problem", *[f"s{i}" for i in range(slots)]],
-    ).astype({"problem": "int32"})
+        {
+            "problem": np.repeat(indices, slots),
+            "slot": np.tile(np.arange(slots, dtype=np.int32), len(indices)),
+            "value": np.concatenate(list(sums.values())),
+        }
+    )
 
 
 def _evaluate(design: Design, open_problems: list[tuple[int, Problem]]) -> dict[int, np.ndarray]:
@@ -255,15 +259,21 @@ def _evaluate(design: Design, open_problems: list[tuple[int, Problem]]) -> dict[
     width = len(design.terms)
     size = max(len(p.columns) for _, p in open_problems) + 1
     slots = 1 + size + size * (size + 1) // 2
-    schema = "problem int, " + ", ".join(f"s{i} double" for i in range(slots))
     needed = sorted({p.repetition for _, p in open_problems})
     rows = design.table.filter(F.col("repetition").isin(needed)).drop("unit_id")
     summed = (
-        rows.mapInPandas(lambda it: _partial_sums(it, open_problems, width, slots), schema)
-        .groupBy("problem")
-        .agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(slots)])
+        rows.mapInPandas(
+            lambda it: _partial_sums(it, open_problems, width, slots),
+            "problem int, slot int, value double",
+        )
+        .groupBy("problem", "slot")
+        .agg(F.sum("value").alias("value"))
+        .toPandas()  # problems x slots numbers
     )
-    return {r["problem"]: np.array(r[1:], dtype=float) for r in summed.collect()}
+    totals = {index: np.zeros(slots) for index, _ in open_problems}
+    for index, part in summed.groupby("problem"):
+        totals[index][part["slot"].to_numpy()] = part["value"].to_numpy()
+    return totals
 
 
 def _advance(problem: Problem, sums: np.ndarray) -> None:
