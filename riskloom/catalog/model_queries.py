@@ -422,7 +422,7 @@ def priorities(spark, sf_dir):
     + """
 final select (select count(*) from units) as clean_rows,
   (select count(*) from repeated) - (select count(*) from units) as duplicates_removed,
-  12 as feature_columns, 4 as aggregates""",
+  cast(12 as bigint) as feature_columns, cast(4 as bigint) as aggregates""",
 )
 def mart_counts(spark, sf_dir):
     cleaned, built = mart.run(spark, units_repeated(spark, sf_dir), roles=ROLES)

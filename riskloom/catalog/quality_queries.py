@@ -100,7 +100,7 @@ def coercion(spark, sf_dir):
 
 @register(
     "contract_failures_schema",
-    """select * from (values
+    """select * replace (cast(row_id as varchar) as row_id) from (values
   ('DataFrameSchema', null, 'column_in_dataframe', 'events', null),
   ('DataFrameSchema', 'extra', 'column_in_schema', 'extra', null),
   ('Column', 'label', 'dtype(''boolean'')', 'string', null))
@@ -171,7 +171,7 @@ def risk_failures(spark, sf_dir):
 
 @register(
     "contract_summary_risk_ranking",
-    """select true as conforming, count(distinct grp) as n_rows, 8 as n_columns, 0 as n_failures,
+    """select true as conforming, count(distinct grp) as n_rows, 8 as n_columns, cast(0 as bigint) as n_failures,
        '' as failed_checks from units""",
 )
 def ranking_contract(spark, sf_dir):
