@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import line_dedup, toxicity
+from riskloom.llm import line_dedup, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,13 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, labels, CATEGORIES))
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = quality_rules.quality(table(spark, sf_dir, "documents"), ["doc_id"])
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return result.select("doc_id", *base, "base_failed", "kept", "failed_rules")
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
