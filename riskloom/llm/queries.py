@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import line_dedup, quality_rules, toxicity
+from riskloom.llm import line_dedup, packing, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,6 +16,7 @@ ORACLE_SQL: dict[str, str] = {"op5_line_dedup": line_dedup.SQL}
 #: Chain of the toxicity query, in order, and the probability from which a document counts as toxic.
 CATEGORIES = ("low_quality", "toxic")
 TOXIC_AT = 0.5
+TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,3 +51,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return result.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
