@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import line_dedup, packing, quality_rules, toxicity
+from riskloom.llm import decontaminate, line_dedup, packing, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +41,24 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("doc_id", *base, "base_failed", "kept", "failed_rules")
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Digest of the matches: counts, the hash of the item list, and the verdict."""
+    found = decontaminate.contamination(docs, benchmark)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
