@@ -1,4 +1,9 @@
-"""Corpus pipeline: documents to packed sequences, one operator of riskloom.llm per stage."""
+"""Corpus pipeline: documents to packed sequences, one operator of riskloom.llm per stage.
+
+Stages filter or clean whole documents and keep the columns of the table, except the last, which packs. Rows
+that share an id share a verdict; rows equal in id and text count as copies from the third stage on. A null
+id is an id like any other. Missing labels or an empty benchmark table make their stage keep everything.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import line_dedup
-from riskloom.llm.common import clear_scope, stage, staging_scope
-from riskloom.llm.queries import TOXIC_AT, table, toxicity_scores
+from riskloom.llm import decontaminate, line_dedup, near_dup
+from riskloom.llm.common import clear_scope, sized, stage, staging_scope
+from riskloom.llm.queries import TOXIC_AT, packed, table, toxicity_scores
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 SCOPE = "pipeline"
@@ -26,6 +31,12 @@ def _scoped(work: Stage) -> Stage:
     return run_stage
 
 
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the ids of a staged, distinct list; broadcast only if counted to be short."""
+    ids = sized(ids.select(F.col("doc_id").alias("__gone")))
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+
+
 @_scoped
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain calls toxic go."""
@@ -41,9 +52,37 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return result.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("toxicity", drop_toxic), ("line_dedup", dedup_lines)]
+@_scoped
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8) the document with the least id stays."""
+    found = near_dup.near_duplicates(docs, width=5, percent=80)
+    gone = stage(found.filter(~F.col("kept")).select("doc_id").distinct())
+    # The join has dealt rows by id already, so equal rows meet without another shuffle.
+    return _without(docs, gone).dropDuplicates(["doc_id", "text"])
+
+
+@_scoped
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a ten-word window of a benchmark item go."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, stage(found.filter("n_hit > 0").select("doc_id").distinct()))
+
+
+@_scoped
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens."""
+    return packed(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
 
-#: No SQL: learned weights, MinHash and a tokenizer are outside it; tests/llm compares with brute force.
+#: No SQL: learned weights and a tokenizer are outside it; tests/llm compares each stage with brute force.
 ORACLE_SQL = None
 
 

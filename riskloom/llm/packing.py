@@ -27,7 +27,6 @@ an empty table gives an empty table; columns other than the id are not read.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -45,9 +44,11 @@ END = 1
 SMALL = 1536
 GROUPS = 24
 #: Distinct pieces of text whose ids a Python worker keeps.
-PIECES = 800_000
-_DOT = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x20\x09-\x0D]|$)")
+PIECES = 1_500_000
+#: Words tokenized in one call.
+JOINED = 2_000
 _SPECIAL = b"<|"
+_MARKS = (b".", b",")
 
 
 class PieceIds(dict):
@@ -58,32 +59,63 @@ class PieceIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _each(self, pieces: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+        for piece, e in zip(pieces, found):
+            self[piece] = np.array(e.ids, "<u4").tobytes()
+
+    def _together(self, words: list[bytes]) -> None:
+        """Words of letters only, as one text; each ends at its one end-of-word token."""
+        ids = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids
+        ids = np.array(ids, "<u4")
+        cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(cuts) != len(words):  # some letter folds into several words
+            self._each(words)
+            return
+        raw, at = ids.tobytes(), 0
+        for word, cut in zip(words, cuts):
+            self[word], at = raw[at:cut], cut
 
     def learn(self, pieces: set[bytes]) -> None:
-        new = [p for p in pieces if p not in self]
-        if len(self) + len(new) > PIECES:
+        """A final dot or comma after a letter or digit is a token of its own, so such pieces only need their stem."""
+        marked = [p for p in pieces if p[-1:] in _MARKS and p[-2:-1].isalnum()]
+        stems = {p[:-1] for p in marked} | set(_MARKS) | pieces.difference(marked)
+        new = [p for p in stems if p not in self]
+        words = [p for p in new if p.decode().isalpha()]
+        for at in range(0, len(words), JOINED):
+            self._together(words[at : at + JOINED])
+        self._each([p for p in new if p not in self])
+        for p in marked:
+            self[p] = self[p[:-1]] + self[p[-1:]]
+
+    def ids_of(self, texts: list[bytes | None]) -> list[bytes]:
+        """Ids of whole texts. White space is dropped and case folded by the tokenizer as well; texts with signs
+        of special tokens keep their case, which such tokens depend on."""
+        if len(self) > PIECES:
             self.clear()
-            new = list(pieces)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for piece, e in zip(part, self.tokenizer.encode_batch([p.decode() for p in part], add_special_tokens=False)):
-                self[piece] = np.array(e.ids, "<u4").tobytes()
+        rows, gaps = [], []
+        for text in texts:
+            words = (text if _SPECIAL in text else text.lower()).split() if text else []
+            row = list(map(self.get, words))
+            gaps.append([(i, words[i]) for i, v in enumerate(row) if v is None])
+            rows.append(row)
+        new = {word for gap in gaps for _, word in gap}
+        if new:
+            self.learn(new)
+            for row, gap in zip(rows, gaps):
+                for i, word in gap:
+                    row[i] = self[word]
+        return [b"".join(row) for row in rows]
 
 
 #: Kept between the tasks of one Python worker.
 _workers: dict[str, PieceIds] = {}
 
 
-def split_text(text: bytes | None) -> list[bytes]:
-    """Pieces that the tokenizer treats alone. Case folding and setting apart a final dot or comma only make
-    pieces recur: the tokenizer folds case and splits there too. Texts with special-token signs stay as they are."""
-    if not text:
-        return []
-    if _SPECIAL in text:
-        return text.split()
-    return _DOT.sub(rb" \1", text.lower()).split()
-
-
 def tokenized(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: id, piece, start, length, crc32 of the ids, task and rank among the task's equal lengths."""
     base = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
@@ -92,19 +124,20 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", t
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = _workers.setdefault(tokenizer_path, PieceIds(tokenizer_path))
+        if tokenizer_path not in _workers:
+            _workers[tokenizer_path] = PieceIds(tokenizer_path)
+        known = _workers[tokenizer_path]
         task = TaskContext.get().partitionId()
         ranks = np.zeros(capacity + 1, np.int64)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            split = [split_text(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            source = batch.column("text").cast(pa.binary())
             ids = batch.column("doc_id")
             at, out = [], {n: [] for n in ("piece", "start", "length", "crc", "rank")}
-            for block in range(0, len(split), 100):
-                part = split[block : block + 100]
-                known.learn(set().union(*part))
-                for row, words in enumerate(part, block):
-                    data = b"".join(map(known.__getitem__, words)) + end
+            for block in range(0, len(source), 250):
+                part = known.ids_of(source.slice(block, 250).to_pylist())
+                for row, data in enumerate(part, block):
+                    data += end
                     for k, start in enumerate(range(0, len(data), 4 * capacity)):
                         own = data[start : start + 4 * capacity]
                         n = len(own) // 4
