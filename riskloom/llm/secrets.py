@@ -21,10 +21,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +43,6 @@ SAMPLE = 20_000
 #: Tokens on each side of a labelled one that go into the training run.
 AROUND = 8
 PLAIN_RUN = 24
-BITS = 14
 EPOCHS = 60
 RATE = 0.4
 PENALTY = 1e-3
@@ -71,89 +70,121 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _place(name: str) -> int:
-    return xxhash.xxh3_64_intdigest(name) & ((1 << BITS) - 1)
+def _shape(word: str) -> str:
+    """Classes of characters, runs as one: ``Tok3n=`` is ``Aa9a=``."""
+    if word.isascii() and word.isalpha():
+        if word.islower():
+            return "a"
+        if word[0].isupper() and word[1:].islower():
+            return "Aa"
+    return _RUN.sub(r"\1", word.translate(_SHAPE))
 
 
-def own_features(word: str) -> list[int]:
-    """Shape features of a token itself."""
-    shape = _RUN.sub(r"\1", word.translate(_SHAPE))
-    digits = sum(c.isdigit() for c in word)
-    letters = sum(c.isalpha() for c in word)
+def own_key(word: str) -> tuple:
+    """What the own features of a token are made of."""
     n = len(word)
+    plain = word.isalpha()
+    digits = 0 if plain else sum(c.isdigit() for c in word)
+    letters = n if plain else sum(c.isalpha() for c in word)
+    sign = not plain and ("=" in word or ":" in word)
+    return _shape(word)[:24], n, digits, letters, len(set(word)) * 4 // n, word[0] in "\"'", sign
+
+
+def own_features(key: tuple) -> list[str]:
+    """Shape features of a token itself."""
+    shape, n, digits, letters, varied, quoted, sign = key
     both = digits > 0 and letters > 0
-    varied = len(set(word)) / n
-    names = [
-        f"shape {shape[:12]}",
-        f"length {min(n // 4, 12)}",
-        f"mixed {both} {min(n // 8, 5)}",
-        f"digits {digits * 4 // n}",
-        f"changes {min(len(shape) // 4, 6)} {both}",
-        f"varied {int(varied * 4)} {min(n // 8, 5)}",
-        f"quoted {word[:1] in chr(34) + chr(39)}",
-        f"assigns {'=' in word or ':' in word}",
-    ]
-    return [_place(x) for x in names]
+    # Graded features hold from their bound on, so that longer or more varied tokens than those seen count as well.
+    names = [f"mixed {t}" for t in (8, 12, 16, 24, 32) if both and n >= t]
+    names += [f"changes {t}" for t in (3, 5, 8, 12) if both and len(shape) >= t]
+    names += [f"digits {t}" for t in (1, 2, 3) if both and 8 * digits >= t * n]
+    names += [f"varied {t}" for t in (1, 2, 3) if both and varied >= t]
+    return [*names, f"kind {digits > 0} {letters > 0}", f"shape {shape[:6]}", f"quoted {quoted}", f"assigns {sign}"]
+
+
+def core_of(word: str) -> str:
+    return word.strip("\"'.,;:!?()[]{}<>#*$%&|-=").lower()[:20]
+
 
+def near_features(word: str, side: str) -> list[str]:
+    """What a token says about its neighbour: the word, its shape, whether it assigns."""
+    return [f"{side} {core_of(word)}", *_near_shape(_shape(word)[:6], "=" in word or ":" in word, side)]
 
-def near_features(word: str, side: str) -> list[int]:
-    """What a token says about its neighbour."""
-    core = word.strip("\"'.,;:!?()[]{}<>#*$%&|-=").lower()
-    shape = _RUN.sub(r"\1", word.translate(_SHAPE))
-    return [_place(f"{side} {core[:20]}"), _place(f"{side} shape {shape[:6]}"), _place(f"{side} sign {'=' in word or ':' in word}")]
 
+def _near_shape(shape: str, sign: bool, side: str) -> list[str]:
+    return [f"{side} shape {shape}", f"{side} sign {sign}"]
 
-def file_features(text: str) -> list[int]:
+
+def file_features(text: str) -> list[str]:
+    """Features of the whole text."""
     n = max(len(text), 1)
     lines = text.count("\n") + 1
     return [
-        _place(f"file size {n.bit_length()}"),
-        _place(f"file lines {lines.bit_length()}"),
-        _place(f"file assigns {min((text.count('=') + text.count(':')), 3)}"),
+        f"file size {n.bit_length()}",
+        f"file lines {lines.bit_length()}",
+        f"file assigns {min(text.count('=') + text.count(':'), 3)}",
     ]
 
 
 @dataclass(frozen=True)
 class Field:
-    """Weights: features x tags, transitions from x to, and start scores."""
+    """Tag scores of each feature seen in training, transition scores (from, to) and start scores."""
 
-    weights: np.ndarray
+    weights: dict[str, tuple[float, float, float]]
     moves: np.ndarray
     start: np.ndarray
 
+    def of(self, features: list[str]) -> np.ndarray:
+        none = (0.0, 0.0, 0.0)
+        return np.array([self.weights.get(f, none) for f in features]).sum(axis=0)
+
 
 _NEVER = -1e4
 
 
 def _empty_field() -> Field:
-    start = np.array([_NEVER, _NEVER, 0.0])
+    """Tags everything O."""
     moves = np.zeros((3, 3))
-    moves[O, I] = _NEVER
-    return Field(np.zeros((1 << BITS, 3)), moves, start)
-
-
-def _scores(weights: np.ndarray, places: list[list[int]]) -> np.ndarray:
-    return np.array([weights[p].sum(axis=0) for p in places]).reshape(-1, 3)
+    moves[:, :O] = _NEVER
+    return Field({}, moves, np.array([_NEVER, _NEVER, 0.0]))
 
 
-def train_field(runs: list[tuple[list[str], list[int], list[int]]]) -> Field:
+def without_context(runs: list[tuple[list[str], list[int], list[str]]]) -> list[tuple[list[str], list[int], list[str]]]:
+    """Copies of the labelled runs with ordinary words of plain runs around the secret, so that shapes count alone."""
+    plain = [w for words, tags, _ in runs if all(t == O for t in tags) for w in words]
+    if not plain:
+        return []
+    copies, at = [], 0
+    for words, tags, file in runs:
+        if any(t != O for t in tags):
+            own = []
+            for word, tag in zip(words, tags):
+                own.append(word if tag != O else plain[at % len(plain)])
+                at += 7
+            copies.append((own, tags, file))
+    return copies
+
+
+def train_field(runs: list[tuple[list[str], list[int], list[str]]]) -> Field:
     """``runs``: tokens, tags and file features of each training run."""
     if not any(t != O for _, tags, _ in runs for t in tags):
         return _empty_field()
+    runs = [*runs, *without_context(runs)]
     longest = max(len(w) for w, _, _ in runs)
+    names: dict[str, int] = {}
     pick, rows, slots, tags = [], [], [], np.full((len(runs), longest), -1)
     for r, (words, own, file) in enumerate(runs):
         for t, word in enumerate(words):
-            places = own_features(word) + file
-            places += near_features(words[t - 1], "before") if t else [_place("first")]
-            places += near_features(words[t + 1], "after") if t + 1 < len(words) else [_place("last")]
-            pick += places
-            rows += [r] * len(places)
-            slots += [t] * len(places)
+            features = own_features(own_key(word)) + file
+            features += near_features(words[t - 1], "before") if t else ["first"]
+            features += near_features(words[t + 1], "after") if t + 1 < len(words) else ["last"]
+            pick += [names.setdefault(f, len(names)) for f in features]
+            rows += [r] * len(features)
+            slots += [t] * len(features)
         tags[r, : len(own)] = own
     pick, rows, slots = np.array(pick), np.array(rows), np.array(slots)
     mask = tags >= 0
-    weights, moves, start = np.zeros((1 << BITS, 3)), np.zeros((3, 3)), np.zeros(3)
+    weights, moves, start = np.zeros((len(names), 3)), np.zeros((3, 3)), np.zeros(3)
     seen = [np.full_like(weights, 1e-8), np.full_like(moves, 1e-8), np.full_like(start, 1e-8)]
     flat = rows * longest + slots
     gold = np.zeros((len(runs), longest, 3))
@@ -188,13 +219,13 @@ def train_field(runs: list[tuple[list[str], list[int], list[int]]]) -> Field:
             both = alpha[:, t - 1, :, None] + m + (e[:, t] + beta[:, t])[:, None, :] - z[:, None, None]
             expected += (np.exp(np.minimum(both, 0)) * mask[:, t, None, None]).sum(axis=0)
         off = (p - gold).reshape(-1, 3)
-        g = np.stack([np.bincount(pick, off[flat, k], 1 << BITS) for k in range(3)], axis=1) + PENALTY * weights
+        g = np.stack([np.bincount(pick, off[flat, k], len(names)) for k in range(3)], axis=1) + PENALTY * weights
         steps = [(weights, g), (moves, expected - gold_moves), (start, (p - gold)[:, 0].sum(axis=0))]
         for (w, g), h in zip(steps, seen):
             h += g * g
             w -= RATE * g / np.sqrt(h)
     moves[O, I], start[I] = _NEVER, _NEVER
-    return Field(weights, moves, start)
+    return Field({name: tuple(weights[i].tolist()) for name, i in names.items()}, moves, start)
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, field: Field) -> np.ndarray:
@@ -233,21 +264,35 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, field: Field) -> np.ndarray
 
 
 class _WordScores(dict):
-    """Row number of each distinct word in a table of its own, before and after scores."""
+    """Row of each distinct word in ``table``: its own, before and after scores (three tags each)."""
 
     def __init__(self, field: Field):
         super().__init__()
-        self.field, self.rows = field, []
+        self.field, self.table = field, np.zeros((1024, 9))
+        self.own: dict[tuple, np.ndarray] = {}
+        self.near: dict[tuple, np.ndarray] = {}
+        self.known = {n.partition(" ")[2] for n in field.weights if n.startswith(("before ", "after "))}
 
     def __missing__(self, word: str) -> int:
-        w = self.field.weights
-        self.rows.append(
-            np.concatenate(
-                [w[own_features(word)].sum(axis=0), w[near_features(word, "before")].sum(axis=0), w[near_features(word, "after")].sum(axis=0)]
-            )
-        )
-        value = self[word] = len(self.rows) - 1
-        return value
+        key = own_key(word)
+        own = self.own.get(key)
+        if own is None:
+            own = self.own[key] = self.field.of(own_features(key))
+        around = (key[0][:6], key[6])
+        near = self.near.get(around)
+        if near is None:
+            sides = [self.field.of(_near_shape(*around, side)) for side in ("before", "after")]
+            near = self.near[around] = np.concatenate(sides)
+        row = len(self)
+        if row == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[row, :3], self.table[row, 3:] = own, near
+        core = core_of(word)
+        if core in self.known:
+            self.table[row, 3:6] += self.field.of([f"before {core}"])
+            self.table[row, 6:] += self.field.of([f"after {core}"])
+        self[word] = row
+        return row
 
 
 def decode(texts: list[str | None], field: Field, words: _WordScores) -> Iterator[tuple[int, int, int]]:
@@ -261,11 +306,10 @@ def decode(texts: list[str | None], field: Field, words: _WordScores) -> Iterato
         return
     tokens = [line.split() for line in lines]
     lengths = np.array([len(t) for t in tokens])
-    ids = np.fromiter((words[w] for t in tokens for w in t), np.int64, int(lengths.sum()))
+    ids = np.fromiter(map(words.__getitem__, chain.from_iterable(tokens)), np.int64, int(lengths.sum()))
     if not len(ids):
         return
-    table = np.array(words.rows)
-    w = field.weights
+    table = words.table
     scores = table[ids, :3]
     scores[1:] += table[ids[:-1], 3:6]
     scores[:-1] += table[ids[1:], 6:9]
@@ -274,11 +318,11 @@ def decode(texts: list[str | None], field: Field, words: _WordScores) -> Iterato
     ends = np.cumsum(lengths)[some] - 1
     inner = starts[1:]  # neighbours end with the line
     scores[inner] -= table[ids[inner - 1], 3:6]
-    scores[starts] += w[_place("first")]
+    scores[starts] += field.of(["first"])
     outer = ends[:-1]
     scores[outer] -= table[ids[outer + 1], 6:9]
-    scores[ends] += w[_place("last")]
-    file = np.array([w[file_features(t)].sum(axis=0) if t else np.zeros(3) for t in texts])
+    scores[ends] += field.of(["last"])
+    file = np.array([field.of(file_features(t)) if t else np.zeros(3) for t in texts])
     scores += np.repeat(file[np.array(owner)], lengths, axis=0)
     tags = viterbi(scores, lengths, field)
     hits = np.flatnonzero(tags == B)
@@ -352,11 +396,11 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                         tags.append(t)
                         files.append(file_features(text))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.list_(pa.string())), pa.array(tags, pa.list_(pa.int32())), pa.array(files, pa.list_(pa.int32()))],
+                [pa.array(words, pa.list_(pa.string())), pa.array(tags, pa.list_(pa.int32())), pa.array(files, pa.list_(pa.string()))],
                 names=["words", "tags", "file"],
             )
 
-    rows = map_arrow(base, label, "words array<string>, tags array<int>, file array<int>").toArrow()
+    rows = map_arrow(base, label, "words array<string>, tags array<int>, file array<string>").toArrow()
     runs = sorted(zip(rows.column("words").to_pylist(), rows.column("tags").to_pylist(), rows.column("file").to_pylist()))
     return train_field(runs)
 
