@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, line_dedup, near_dup, packing, quality_rules, secrets, toxicity
+from riskloom.llm import decontaminate, language_id, line_dedup, near_dup, packing, quality_rules, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,14 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    model = language_id.train(docs.filter(~held_out))
+    return language_id.predict(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows with ``p_low_quality`` and ``p_toxic`` from a chain fitted on the labelled ones."""
     labels = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
