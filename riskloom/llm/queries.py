@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, language_id, line_dedup, near_dup, packing, quality_rules, secrets, toxicity
+from riskloom.llm import decontaminate, html_text, language_id, line_dedup, near_dup, packing, quality_rules, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -111,3 +111,9 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(kind) for kind in secrets.KINDS[:3]]
     return found.select("doc_id", *counts, F.sha2(joined(fixed), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages), ["page_id", "url"])
