@@ -43,11 +43,24 @@ def _root(spark: SparkSession, scope: str) -> str:
     return f"{shared_folder(spark)}/riskloom-llm/{spark.sparkContext.applicationId}/{scope}"
 
 
+#: Spark deletes the shuffle files of a query at its end while this is set.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back: one computation for several readers, lineage ends here."""
-    path = f"{_root(df.sparkSession, _scope[-1])}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write to the shared folder and read back: one computation for several readers, lineage ends here.
+
+    Nothing reads the query's shuffle files once the table is written, so they go at once.
+    """
+    spark = df.sparkSession
+    path = f"{_root(spark, _scope[-1])}/{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def clear_scope(spark: SparkSession, scope: str) -> None:
