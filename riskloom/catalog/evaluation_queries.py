@@ -383,8 +383,7 @@ SCORES = """scores as (select unit_id, max(y) as y, round(avg(p), 12) as p from
 
 
 def tied_scores(spark, sf_dir, model="pseudo"):
-    rows = curves.mean_scores(chosen(spark, sf_dir, model))
-    return stage(rows.withColumn("p", F.round("p", 12)))
+    return stage(curves.mean_scores(chosen(spark, sf_dir, model)))
 
 
 @register(
@@ -479,6 +478,12 @@ def gain(spark, sf_dir):
     return curves.gain_curve(tied_scores(spark, sf_dir), staged=True)
 
 
+@register("gain_curve_text_ids", gain_sql("pseudo").replace("order by p desc, unit_id", "order by p desc, 'u' || unit_id") + "select * from gain", GAINED, V)
+def gain_text(spark, sf_dir):
+    named = tied_scores(spark, sf_dir).withColumn("unit_id", F.concat(F.lit("u"), F.col("unit_id").cast("string")))
+    return curves.gain_curve(named)
+
+
 @register("gain_curve_signal", gain_sql("signal") + "select * from gain", GAINED, V)
 def gain_signal(spark, sf_dir):
     return curves.gain_curve(tied_scores(spark, sf_dir, "signal"), staged=True)

@@ -77,13 +77,14 @@ def parameters(spark, sf_dir):
     return sql(units_text(spark, sf_dir), text, ROLES, low=20_000, high=90_000)
 
 
-RANKING_SQL = f"""with counted as (select grp, {COUNTS} from units group by grp),
-bounds as (select *, n_positive * 1e0 / n_units as rate, {WILSON},
-       2e0 * {Z} * sqrt((n_positive * 1e0 / n_units) * (1e0 - n_positive * 1e0 / n_units) / n_units
-         + {Z} * {Z} / (4e0 * n_units * n_units)) / (1e0 + {Z} * {Z} / n_units) as full_width
-  from counted),
-ranked as (select row_number() over (order by rate desc, grp) as position, grp, n_units, n_positive,
-       rate, ci_low, ci_high, full_width as ci_width from bounds)
+# The interval holds the rates q with n (p - q)^2 <= z^2 q (1 - q): the roots of (n + z^2) q^2 - (2 n p + z^2) q + n p^2.
+RANKING_SQL = f"""with tally as (select grp, {COUNTS} from units group by grp),
+quadratic as (select grp, n_units, n_positive, n_units + {Z} * {Z} as qa, -(2e0 * n_positive + {Z} * {Z}) as qb,
+       n_positive * n_positive * 1e0 / n_units as qc, n_positive * 1e0 / n_units as rate from tally),
+roots as (select *, sqrt(qb * qb - 4e0 * qa * qc) / qa as full_width from quadratic),
+ranked as (select (select count(*) from roots o where o.rate > r.rate or (o.rate = r.rate and o.grp <= r.grp)) as position,
+       grp, n_units, n_positive, rate, greatest(0e0, -qb / (2e0 * qa) - full_width / 2e0) as ci_low,
+       least(1e0, -qb / (2e0 * qa) + full_width / 2e0) as ci_high, full_width as ci_width from roots r)
 final """
 
 
@@ -115,13 +116,12 @@ def group_profile(spark, sf_dir):
     return query(units(spark, sf_dir), "group_profile", ROLES)
 
 
-EVOLUTION_SQL = f"""with by_age as (select age, {COUNTS},
-  avg(case when label then 1e0 else 0e0 end) as rate, avg(usage_km) as mean_usage,
-  avg(events) as mean_events from units group by age),
-running as (select *, cast(sum(n_units) over w as bigint) as cum_units,
-  cast(sum(n_positive) over w as bigint) as cum_positive,
-  sum(n_positive) over w * 1e0 / nullif(sum(n_units) over w, 0) as cum_rate
-  from by_age window w as (order by age rows between unbounded preceding and current row))
+EVOLUTION_SQL = f"""with cohort as (select age, {COUNTS}, count(*) filter (where label) * 1e0 / count(*) as rate,
+  avg(usage_km) as mean_usage, avg(events) as mean_events from units group by age),
+running as (select c.*,
+  (select cast(sum(o.n_units) as bigint) from cohort o where o.age <= c.age) as cum_units,
+  (select cast(sum(o.n_positive) as bigint) from cohort o where o.age <= c.age) as cum_positive,
+  (select count(*) filter (where u.label) * 1e0 / count(*) from units u where u.age <= c.age) as cum_rate from cohort c)
 final """
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from riskloom.catalog.inputs import ROLES, units, units_repeated
+from riskloom.catalog.inputs import ROLES, predictions, units, units_dirty, units_repeated
 from riskloom.catalog.mart_queries import FEATURES
-from riskloom.catalog.quality_queries import REPEATED_SQL
+from riskloom.catalog.quality_queries import RAW_RULES, REPEATED_SQL
+from riskloom.catalog.quality_queries import _rules as rules_sql
 from riskloom.catalog.registry import register
 from riskloom.operators import explain, importance, linear, serving, trees
 from riskloom.operators.design import NUMBER, WITH_DERIVED, WITHOUT_GROUP, Term
@@ -16,7 +20,18 @@ from riskloom.operators.metrics import fold_metrics
 from riskloom.plans import experiment, mart
 from riskloom.plans.evaluation import evaluate
 from riskloom.plans.interpretation import age_and_usage
-from riskloom.session import stage
+from riskloom.roles import N_FOLDS, N_REPETITIONS
+from riskloom.session import stage, staging_root
+from riskloom.sources.tables import (
+    load_source,
+    missing_layers,
+    read_layer,
+    read_predictions,
+    read_record,
+    register_parquet,
+    write_layer,
+    write_record,
+)
 
 # Models of the registered tree queries: fewer members than the defaults.
 SMALL_TREES = trees.TreeOptions(forest_trees=20, forest_depth=8, boosting_rounds=10)
@@ -192,35 +207,6 @@ def decision(spark, sf_dir):
     return spark.createDataFrame([tuple(record.values())], list(record))
 
 
-@register("permutation_importance", places=6)
-def permuted(spark, sf_dir):
-    design, _, models = fitted(spark, sf_dir, [WITHOUT_GROUP])
-    blocks = importance.single_blocks(ROLES.numerics)
-    return importance.importance_summary(
-        importance.permutation_importance(design, models, WITHOUT_GROUP, blocks)
-    )
-
-
-@register("block_importance_ratio", places=6)
-def block_ratio(spark, sf_dir):
-    design, _, models = fitted(spark, sf_dir, [WITHOUT_GROUP])
-
-    def measure(blocks):
-        return stage(
-            importance.importance_summary(
-                importance.permutation_importance(design, models, WITHOUT_GROUP, blocks)
-            )
-        )
-
-    blocks = age_and_usage(ROLES)
-    return importance.block_ratio(
-        measure(importance.single_blocks(ROLES.numerics)),
-        measure(importance.collinear_blocks(ROLES.numerics, blocks)),
-        "age_and_usage",
-        blocks["age_and_usage"],
-    )
-
-
 @register("forest_fold_metrics", places=6)
 def forest(spark, sf_dir):
     design = experiment.tree_design(folds(spark, sf_dir, 1), ROLES, [WITHOUT_GROUP])
@@ -413,6 +399,86 @@ def priorities(spark, sf_dir):
     return serving.priority_list(_scored(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------- importance of the given model
+
+IMPORTANCE_SQL = FOLDS_SQL.replace(
+    "\nfinal ",
+    """,
+parts as (select repetition, fold, unit_id, y, 1.1e0 as base, (age - 4e0) / 2e0 * 0.8e0 as ca,
+  (usage_km - 100000e0) / 50000e0 * 0.3e0 as cu, (events - 1.4e0) / 1.2e0 * -0.2e0 as ce from folds),
+tried as (select *, unnest(range(5)) as permutation from parts),
+ring as (select *, md5('42-' || repetition || '-' || permutation || '-' || unit_id) as o from tried),
+moved as (select *, coalesce(lead(ca) over w, first_value(ca) over w) as na, coalesce(lead(cu) over w, first_value(cu) over w) as nu,
+  coalesce(lead(ce) over w, first_value(ce) over w) as ne from ring
+  window w as (partition by repetition, fold, permutation order by o, unit_id)),
+scores as (
+  select repetition, fold, permutation, y, 'age' as block, round(base + cu + ce + na, 9) as s from moved
+  union all select repetition, fold, permutation, y, 'usage_km', round(base + ca + ce + nu, 9) from moved
+  union all select repetition, fold, permutation, y, 'events', round(base + ca + cu + ne, 9) from moved
+  union all select repetition, fold, permutation, y, 'age_and_usage', round(base + ce + na + nu, 9) from moved
+  union all select repetition, fold, -1, y, '', round(base + ca + cu + ce, 9) from parts),
+ties as (select repetition, fold, permutation, block, s, sum(y) as pos, count(*) - sum(y) as neg
+  from scores group by repetition, fold, permutation, block, s),
+below as (select *, sum(neg) over (partition by repetition, fold, permutation, block order by s) - neg as under from ties),
+auc as (select repetition, fold, permutation, block, sum(pos * (under + neg / 2e0)) / (sum(pos) * sum(neg)) as auc
+  from below group by repetition, fold, permutation, block),
+drops as (select a.repetition, a.fold, a.block, r.auc - avg(a.auc) as auc_drop from auc a
+  join auc r on a.repetition = r.repetition and a.fold = r.fold and r.permutation = -1
+  where a.permutation >= 0 group by a.repetition, a.fold, a.block, r.auc),
+summary as (select block, avg(auc_drop) as auc_drop, stddev_samp(auc_drop) as sd, count(*) as n from drops group by block)
+final """,
+)
+
+
+def _importance(spark, sf_dir):
+    """Every block of the given model, its coefficients standing in every fold."""
+    design = experiment.linear_design(folds(spark, sf_dir), ROLES, [WITHOUT_GROUP])
+    models = [
+        replace(GIVEN, repetition=r, fold=f) for r in range(N_REPETITIONS) for f in range(N_FOLDS)
+    ]
+    blocks = importance.both_readings(ROLES.numerics, age_and_usage(ROLES))
+    return importance.permutation_importance(design, models, WITHOUT_GROUP, blocks)
+
+
+@register(
+    "permutation_importance",
+    IMPORTANCE_SQL + "select repetition, fold, block, auc_drop from drops",
+    "auc_drop",
+    places=6,
+)
+def permuted(spark, sf_dir):
+    return _importance(spark, sf_dir).select("repetition", "fold", "block", "auc_drop")
+
+
+@register(
+    "importance_summary",
+    IMPORTANCE_SQL
+    + """select block, case when block = 'age_and_usage' then 2 else 1 end as n_columns, auc_drop,
+  auc_drop - 1.959963984540054e0 * sd / sqrt(n) as ci_low, auc_drop + 1.959963984540054e0 * sd / sqrt(n) as ci_high,
+  auc_drop - 1.959963984540054e0 * sd / sqrt(n) > 0 as relevant from summary""",
+    "auc_drop ci_low ci_high",
+    places=6,
+)
+def importance_summarised(spark, sf_dir):
+    return importance.importance_summary(_importance(spark, sf_dir))
+
+
+@register(
+    "block_importance_ratio",
+    IMPORTANCE_SQL
+    + """select 'age_and_usage' as block, max(case when block = 'age_and_usage' then auc_drop end) as block_drop,
+  sum(case when block in ('age', 'usage_km') then auc_drop end) as sum_of_parts,
+  max(case when block = 'age_and_usage' then auc_drop end) / sum(case when block in ('age', 'usage_km') then auc_drop end) as ratio
+  from summary""",
+    "block_drop sum_of_parts ratio",
+    places=6,
+)
+def block_ratio(spark, sf_dir):
+    summary = stage(importance.importance_summary(_importance(spark, sf_dir)))
+    blocks = age_and_usage(ROLES)
+    return importance.block_ratio(summary, summary, "age_and_usage", blocks["age_and_usage"])
+
+
 # --------------------------------------------------------------------------- whole chain
 
 
@@ -430,3 +496,87 @@ def mart_counts(spark, sf_dir):
     return spark.createDataFrame(
         [tuple(counts.values())], ", ".join(f"{k} bigint" for k in counts)
     )
+
+
+# --------------------------------------------------------------------------- layers on disk
+
+
+def written(df, *partition_by):
+    """A table written to the shared folder, as a source or layer would be; its path."""
+    return stage(df, *partition_by).inputFiles()[0].rpartition("/")[0]
+
+
+def layer_path(spark):
+    return f"{staging_root(spark)}/{uuid.uuid4().hex}"
+
+
+@register(
+    "mart_from_path",
+    REPEATED_SQL.rstrip().rstrip(",")
+    + """
+final select (select count(*) from units) as clean_rows, (select count(distinct unit_id) from units) as units_kept,
+  (select count(*) from repeated) - (select count(*) from units) as duplicates_removed,
+  cast(12 as bigint) as feature_columns, cast(4 as bigint) as aggregates""",
+)
+def mart_path(spark, sf_dir):
+    """The chain from a file with default arguments keeps every unit."""
+    cleaned, built = mart.run(spark, written(units_repeated(spark, sf_dir)))
+    kept = cleaned.table.select("unit_id").distinct().count()
+    counts = mart.run_counts(cleaned, built)
+    row = (counts["clean_rows"], kept, counts["duplicates_removed"], counts["feature_columns"], counts["aggregates"])
+    return spark.createDataFrame(
+        [row], "clean_rows bigint, units_kept bigint, duplicates_removed bigint, feature_columns bigint, aggregates bigint"
+    )
+
+
+@register("source_failures_with_ids", rules_sql(RAW_RULES, "dirty"), views=("units", "dirty"))
+def source_failures(spark, sf_dir):
+    return load_source(spark, written(units_dirty(spark, sf_dir)), ROLES)[2]
+
+
+@register("layer_round_trip", "select * from units")
+def round_trip(spark, sf_dir):
+    path = layer_path(spark)
+    write_layer(units(spark, sf_dir), path)
+    return read_layer(spark, path)
+
+
+@register("view_over_layer", "select grp, count(*) as n, sum(usage_km) as usage from units where age >= 3 group by grp")
+def view_over_layer(spark, sf_dir):
+    path, view = layer_path(spark), f"units_{uuid.uuid4().hex}"
+    write_layer(units(spark, sf_dir), path)
+    register_parquet(spark, path, view)
+    return spark.sql(f"select grp, count(*) as n, cast(sum(usage_km) as bigint) as usage from {view} where age >= 3 group by grp")
+
+
+@register(
+    "predictions_from_disk",
+    "select repetition, fold, unit_id, y, p from oof where model = 'signal'",
+    "p",
+    ("units", "oof"),
+)
+def predictions_on_disk(spark, sf_dir):
+    path = layer_path(spark)
+    write_layer(predictions(spark, sf_dir), path, "model", "feature_set")
+    return read_predictions(spark, path, "signal", "original").select("repetition", "fold", "unit_id", "y", "p")
+
+
+@register(
+    "record_round_trip",
+    "select count(*) as n_units, cast(sum(events) as bigint) as n_events, max(age) as max_age from units",
+)
+def record(spark, sf_dir):
+    path = layer_path(spark)
+    totals = units(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n_units"), F.sum("events").alias("n_events"), F.max("age").alias("max_age")
+    )
+    write_record(spark, totals.first().asDict(), path)
+    found = read_record(spark, path)
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{k} bigint" for k in found))
+
+
+@register("missing_layers", "select 'absent' as layer")
+def missing(spark, sf_dir):
+    folder = layer_path(spark)
+    write_layer(units(spark, sf_dir), f"{folder}/present")
+    return spark.createDataFrame([(x,) for x in missing_layers(spark, folder, ["present", "absent"])], "layer string")

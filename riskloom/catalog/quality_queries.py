@@ -230,7 +230,7 @@ def deduplicated(spark, sf_dir):
 
 @register(
     "unknown_label_texts",
-    "select distinct label from dirty where label not in ('Sim', 'Não')",
+    "select label, count(*) as n from dirty where label not in ('Sim', 'Não') group by label",
     views=("units", "dirty"),
 )
 def unknown(spark, sf_dir):

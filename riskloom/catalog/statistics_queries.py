@@ -1,6 +1,6 @@
 """Descriptive statistics and association queries."""
 
-from riskloom.catalog.inputs import ROLES, units
+from riskloom.catalog.inputs import ROLES, units, units_dirty
 from riskloom.catalog.quality_queries import DESCRIBED, correlation_sql, describe_sql
 from riskloom.catalog.registry import register
 from riskloom.operators import stats
@@ -56,6 +56,36 @@ def spearman(spark, sf_dir):
     return stats.correlation_matrix(units(spark, sf_dir), ROLES.numerics, "spearman", "label")
 
 
+NULLS = "select age, usage_km, events from dirty"
+
+
+@register("pearson_matrix_with_nulls", f"with t as ({NULLS})\nfinal " + correlation_sql(NUMERICS, "t"), "r", ("units", "dirty"))
+def pearson_nulls(spark, sf_dir):
+    return stats.correlation_matrix(units_dirty(spark, sf_dir), ROLES.numerics)
+
+
+def _complete_ranks(a: str, b: str) -> str:
+    """Correlation of two columns' ranks over the rows complete in both."""
+    rank = "rank() over (order by {c}) + (count(*) over (partition by {c}) - 1) / 2e0"
+    return f"""(select corr(ra, rb) from (select {rank.format(c=a)} as ra, {rank.format(c=b)} as rb
+  from t where {a} is not null and {b} is not null))"""
+
+
+@register(
+    "spearman_matrix_with_nulls",
+    f"with t as ({NULLS})\nfinal "
+    + " union all ".join(
+        f"select '{a}' as variable, '{b}' as other, {'1e0' if a == b else _complete_ranks(a, b)} as r"
+        for a in NUMERICS
+        for b in NUMERICS
+    ),
+    "r",
+    ("units", "dirty"),
+)
+def spearman_nulls(spark, sf_dir):
+    return stats.correlation_matrix(units_dirty(spark, sf_dir), ROLES.numerics, "spearman")
+
+
 def t_tail(t: str, dof: str, parity: str) -> str:
     """Two-sided Student tail as the finite series for integer degrees of freedom.
 

@@ -66,8 +66,9 @@ def wilson(successes: Column | str, total: Column | str, z: float = Z_95) -> dic
     return {
         "centre": centre,
         "margin": margin,
-        "low": clip(centre - margin, 0.0, 1.0),
-        "high": clip(centre + margin, 0.0, 1.0),
+        # At 0 and 1 a bound meets the rate itself; rounding may not push it past.
+        "low": F.least(clip(centre - margin, 0.0, 1.0), p),
+        "high": F.greatest(clip(centre + margin, 0.0, 1.0), p),
     }
 
 

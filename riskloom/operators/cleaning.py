@@ -11,17 +11,21 @@ from riskloom.functions.columns import label_boolean, label_text, ratio
 from riskloom.roles import DEFAULT_ROLES, Roles
 
 
+#: Unknown label texts an error message names; it counts all.
+NAMED_LABELS = 20
+
+
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     """Keep one of each group of equal rows."""
     return df.dropDuplicates()
 
 
 def unknown_labels(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """Distinct label texts outside the two accepted ones."""
+    """Label texts outside the two accepted ones, with their row counts ``n``."""
     return (
         df.filter(~F.col(roles.label).isin(roles.positive_text, roles.negative_text))
-        .select(roles.label)
-        .distinct()
+        .groupBy(roles.label)
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
@@ -30,11 +34,17 @@ def binarise_label(df: DataFrame, roles: Roles = DEFAULT_ROLES, check: bool = Tr
     if dict(df.dtypes)[roles.label] == "boolean":
         return df
     if check:
-        unknown = [r[0] for r in unknown_labels(df, roles).limit(20).collect()]
-        if unknown:
+        counts = unknown_labels(df, roles)
+        total = counts.agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n")).first()
+        if total["texts"]:
+            # The message names the most frequent ones and counts all.
+            shown = counts.orderBy(F.col("n").desc(), roles.label).limit(NAMED_LABELS).collect()
+            names = ", ".join(f"{r[roles.label]!r} ({r['n']})" for r in shown)
+            more = total["texts"] - len(shown)
             raise ValueError(
-                f"unexpected labels in {roles.label!r}: {sorted(unknown)}; "
-                f"expected {[roles.positive_text, roles.negative_text]}"
+                f"unexpected labels in {roles.label!r}: {names}"
+                + (f" and {more} more" if more else "")
+                + f", {total['n']} rows in all; expected {[roles.positive_text, roles.negative_text]}"
             )
     return df.withColumn(roles.label, label_boolean(roles.label, roles.positive_text))
 
@@ -96,9 +106,12 @@ def cleaning_report(
         )
 
     expected = f"expected: {len(roles.groups)}" if roles.groups else "-"
+    rule = "rule: keep the first"
+    if roles.unit_id not in source.columns:
+        rule += "; the source has no unit id, so units equal in all columns count as repeats"
     entries = [
         entry("rows in source", F.col("rows_in"), "-"),
-        entry("duplicates removed", F.col("rows_in") - F.col("rows_out"), "rule: keep the first"),
+        entry("duplicates removed", F.col("rows_in") - F.col("rows_out"), rule),
         entry("rows in clean table", F.col("rows_out"), "-"),
         entry("columns in clean table", F.lit(len(columns)), ", ".join(columns)),
         entry("null values", F.col("nulls"), "contract requires zero"),

@@ -80,12 +80,18 @@ def terms_for(
     return terms
 
 
-def group_levels(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> list[str]:
-    """Sorted levels of the category: the declared domain, or what the data holds."""
+#: Levels of a category without a declared domain from which on dummies make no sense.
+MAX_LEVELS = 1_000
+
+
+def group_levels(df: DataFrame, roles: Roles = DEFAULT_ROLES, limit: int = MAX_LEVELS) -> list[str]:
+    """Sorted levels of the category: the declared domain, or what the data holds.
+
+    More than ``limit`` levels found in the data are an error; none is left out.
+    """
     if roles.groups:
         return sorted(roles.groups)
     found = df.select(roles.group).distinct().filter(F.col(roles.group).isNotNull())
-    limit = 1_000
     levels = [r[0] for r in found.limit(limit + 1).collect()]
     if len(levels) > limit:
         raise ValueError(f"{roles.group!r} has over {limit} levels: not a category to dummy-code")

@@ -225,12 +225,12 @@ def _partial_sums(
     for batch in batches:
         values = batch[names].to_numpy(dtype=float)
         outcome = batch["y"].to_numpy(dtype=float)
-        part = batch["repetition"].to_numpy() * 1_000 + batch["fold"].to_numpy()
-        for code in np.unique(part):
-            rows = part == code
+        repetitions, folds = batch["repetition"].to_numpy(), batch["fold"].to_numpy()
+        for repetition, fold in sorted(set(zip(repetitions.tolist(), folds.tolist()))):
+            rows = (repetitions == repetition) & (folds == fold)
             x, y = values[rows], outcome[rows]
             for index, problem in problems:
-                if not problem.takes(code // 1_000, code % 1_000):
+                if not problem.takes(repetition, fold):
                     continue
                 z = np.empty((len(y), len(problem.columns) + 1))
                 z[:, 0] = 1.0

@@ -16,10 +16,16 @@ RANK_METRICS = ("roc_auc", "average_precision", "brier")
 CELLS = ("true_positives", "false_positives", "false_negatives", "true_negatives")
 
 
+def score() -> Column:
+    """The score ``p``; a null or NaN score stops the query instead of vanishing from a count."""
+    missing = F.col("p").isNull() | F.isnan("p")
+    return F.when(missing, F.raise_error(F.lit("a score is null or NaN"))).otherwise(F.col("p"))
+
+
 def cells_at(threshold: Column | float) -> list[Column]:
     """Confusion counts as aggregates; a score equal to the threshold is flagged."""
     cut = F.lit(threshold) if isinstance(threshold, float) else threshold
-    flagged, actual = F.col("p") >= cut, F.col("y") == 1
+    flagged, actual = score() >= cut, F.col("y") == 1
     return [
         F.count_if(actual & flagged).alias("true_positives"),
         F.count_if(~actual & flagged).alias("false_positives"),
@@ -63,7 +69,7 @@ def expected_cost(
 
 def score_counts(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score: positives and negatives. Ties collapse here."""
-    return df.groupBy(*keys, "p").agg(
+    return df.withColumn("p", score()).groupBy(*keys, "p").agg(
         F.sum(F.col("y").cast("bigint")).alias("pos"),
         F.sum((F.lit(1) - F.col("y")).cast("bigint")).alias("neg"),
     )
@@ -90,7 +96,7 @@ def rank_metrics(scanned: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def brier(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    gap = F.col("y") - F.col("p")
+    gap = F.col("y") - score()
     return df.groupBy(*keys).agg(F.avg(gap * gap).alias("brier"))
 
 

@@ -20,53 +20,47 @@ def column_profile(
 ) -> DataFrame:
     """One row per column: rows, filled, nulls, distinct, minimum, maximum.
 
-    Everything comes from one pass over (variable, value) counts, so a distinct
-    count costs one shuffle of distinct values rather than one expansion per column.
-    ``approximate`` swaps it for sketches and a single aggregate.
+    Distinct values of all columns are counted side by side, one shuffle of distinct values rather
+    than one expansion per column. ``approximate`` swaps that for sketches in the plain aggregate.
     """
     kinds = [(roles.group, CATEGORY)] + [(c, NUMBER) for c in roles.numerics]
     kinds.append((roles.label, TARGET))
     columns = [c for c, _ in kinds]
-    kind = F.create_map(*[F.lit(v) for pair in kinds for v in pair])
-    place = F.create_map(*[F.lit(v) for i, c in enumerate(columns) for v in (c, i)])
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [], columns, "variable", "value"
-    )
-    if approximate:
-        per = long.groupBy("variable").agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count("value").alias("n_filled"),
-            F.approx_count_distinct("value").alias("n_distinct"),
-            F.min(F.expr("try_cast(value as double)")).alias("low"),
-            F.max(F.expr("try_cast(value as double)")).alias("high"),
-        )
-    else:
-        values = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
-        per = values.groupBy("variable").agg(
-            F.sum("n").alias("n_rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias(
-                "n_filled"
-            ),
-            F.count("value").alias("n_distinct"),
-            F.min(F.expr("try_cast(value as double)")).alias("low"),
-            F.max(F.expr("try_cast(value as double)")).alias("high"),
+    # Rows, filled, minimum and maximum come typed from one plain aggregate; only distinct counts need values side by side.
+    plain, entries = [F.count(F.lit(1)).alias("n_rows")], []
+    for i, (c, kind) in enumerate(kinds):
+        plain.append(F.count(c).alias(f"filled_{i}"))
+        if kind == NUMBER:
+            plain += [F.min(c).cast("double").alias(f"low_{i}"), F.max(c).cast("double").alias(f"high_{i}")]
+        if approximate:
+            plain.append(F.approx_count_distinct(c).alias(f"distinct_{i}"))
+        entries.append(
+            F.struct(
+                F.lit(c).alias("variable"),
+                F.lit(kind).alias("kind"),
+                F.col("n_rows"),
+                F.col(f"filled_{i}").alias("n_filled"),
+                (F.col("n_rows") - F.col(f"filled_{i}")).alias("n_null"),
+                (F.col(f"distinct_{i}") if approximate else F.lit(None).cast("bigint")).alias("n_distinct"),
+                (F.col(f"low_{i}") if kind == NUMBER else F.lit(None).cast("double")).alias("minimum"),
+                (F.col(f"high_{i}") if kind == NUMBER else F.lit(None).cast("double")).alias("maximum"),
+                F.lit(i).alias("place"),
+            )
         )
-    number = F.col("kind") == NUMBER
-    return (
-        per.withColumns({"kind": kind[F.col("variable")], "place": place[F.col("variable")]})
-        .select(
-            "variable",
-            "kind",
-            "n_rows",
-            "n_filled",
-            (F.col("n_rows") - F.col("n_filled")).alias("n_null"),
-            "n_distinct",
-            F.when(number, F.col("low")).alias("minimum"),
-            F.when(number, F.col("high")).alias("maximum"),
-            "place",
+    profile = df.agg(*plain).select(F.inline(F.array(*entries)))
+    if not approximate:
+        values = [F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in columns]
+        distinct = (
+            df.select(F.inline(F.array(*values)))
+            .filter("value is not null")
+            .distinct()
+            .groupBy("variable")
+            .agg(F.count(F.lit(1)).alias("n"))
         )
-        .orderBy("place")
-        .drop("place")
+        profile = profile.drop("n_distinct").join(F.broadcast(distinct), "variable", "left")
+        profile = profile.withColumn("n_distinct", F.coalesce("n", F.lit(0)))
+    return profile.orderBy("place").select(
+        "variable", "kind", "n_rows", "n_filled", "n_null", "n_distinct", "minimum", "maximum"
     )
 
 

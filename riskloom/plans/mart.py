@@ -20,7 +20,7 @@ from riskloom.operators.features import add_features
 from riskloom.operators.quality import column_profile
 from riskloom.roles import DEFAULT_ROLES, Roles
 from riskloom.session import stage
-from riskloom.sources.tables import canonical_view, read_source, write_layer
+from riskloom.sources.tables import canonical_view, open_source, project_source, source_id, write_layer
 
 # Aggregates over the clean table, and those that need the bands.
 CLEAN_AGGREGATES = {
@@ -57,14 +57,16 @@ class Mart:
 def clean_step(source: DataFrame, roles: Roles = DEFAULT_ROLES) -> Cleaned:
     """Strict: neither the input nor the output may break its contract.
 
-    The cleaned table is staged, because its check, its report and the mart read it.
+    Repeated rows are those equal in *all* columns of the source, so they are taken out before anything is
+    projected. The cleaned table is staged, because its check, its report and the mart read it.
     """
-    row_id = roles.unit_id if roles.unit_id in source.columns else None
+    named = source_id(source, roles)
     contract = raw_contract(roles)
-    require(source, contract, row_id)
-    typed = coerce(source, contract, [row_id] if row_id else [])
-    table = stage(fix_types(drop_duplicate_rows(typed), roles, check=False))
-    require(table, clean_contract(roles), row_id)
+    require(project_source(source, roles), contract, named)
+    once = project_source(drop_duplicate_rows(source), roles)
+    typed = coerce(once, contract, [named] if named else [])
+    table = stage(fix_types(typed, roles, check=False))
+    require(table, clean_contract(roles), named)
     return Cleaned(table, cleaning_report(source, table, roles))
 
 
@@ -73,7 +75,7 @@ def build_features(table: DataFrame, roles: Roles = DEFAULT_ROLES, strict: bool
     features = add_features(table, roles)
     if strict:
         require(
-            features, feature_contract(roles), roles.unit_id if roles.unit_id in table.columns else None
+            features, feature_contract(roles), source_id(table, roles)
         )
     return features
 
@@ -100,8 +102,8 @@ def run(
     roles: Roles = DEFAULT_ROLES,
     **read_options,
 ) -> tuple[Cleaned, Mart]:
-    """Whole chain. Without ``target`` no layer is written."""
-    df = read_source(spark, source, roles, **read_options) if isinstance(source, str) else source
+    """Whole chain, from a path or a table. Without ``target`` no layer is written."""
+    df = open_source(spark, source, **read_options) if isinstance(source, str) else source
     cleaned = clean_step(df, roles)
     mart = mart_step(cleaned.table, roles)
     if target:

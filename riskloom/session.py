@@ -24,7 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def _staging_root(spark: SparkSession) -> str:
+def staging_root(spark: SparkSession) -> str:
+    """Folder of what this application stages."""
     return f"{shared_folder(spark)}/riskloom-staged/{spark.sparkContext.applicationId}"
 
 
@@ -35,7 +36,7 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
     scanned once, lineage ends at the files, and a lost executor costs a re-read.
     """
     spark = df.sparkSession
-    path = f"{_staging_root(spark)}/{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -46,5 +47,5 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
 def clear_staged(spark: SparkSession) -> None:
     """Delete what this application staged; call it when no staged table is in use."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_staging_root(spark))
+    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

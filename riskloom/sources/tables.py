@@ -36,6 +36,17 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- sources
 
 
+def open_source(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """All columns of a source, with normalised headers."""
+    reader = spark.read.format(fmt).options(**options)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    try:
+        return normalise_headers(reader.load(path))
+    except AnalysisException as error:
+        raise _absent(error, path) from error
+
+
 def read_source(
     spark: SparkSession,
     path: str,
@@ -44,36 +55,43 @@ def read_source(
     keep: Sequence[str] = (),
     **options,
 ) -> DataFrame:
-    """Read, normalise headers, and project the canonical columns in order."""
-    reader = spark.read.format(fmt).options(**options)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    try:
-        df = normalise_headers(reader.load(path))
-    except AnalysisException as error:
-        raise _absent(error, path) from error
-    return project_source(df, roles, keep)
+    """Read, normalise headers, and project: the unit id if the source has one, ``keep``, the canonical columns."""
+    return project_source(open_source(spark, path, fmt, **options), roles, keep)
+
+
+def source_id(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> str | None:
+    """The unit id column, if there is one."""
+    return roles.unit_id if roles.unit_id in df.columns else None
 
 
 def project_source(df: DataFrame, roles: Roles = DEFAULT_ROLES, keep: Sequence[str] = ()) -> DataFrame:
-    wanted = [*keep, *roles.canonical]
-    missing = sorted(set(wanted) - set(df.columns))
-    if missing:
-        raise ValueError(
-            f"columns missing after normalisation: {missing}; found {sorted(df.columns)}"
-        )
+    """Canonical columns in order, after ``keep`` and the unit id: dropping the id would make different units equal."""
+    named = source_id(df, roles)
+    wanted = list(dict.fromkeys([*([named] if named else []), *keep, *roles.canonical]))
+    absent = [c for c in wanted if c not in df.columns]
+    if absent:
+        raise ValueError(f"the source lacks {', '.join(absent)}; its columns are {', '.join(df.columns)}")
     return df.select(*wanted)
 
 
 def load_source(
-    spark: SparkSession, path: str, roles: Roles = DEFAULT_ROLES, strict: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    roles: Roles = DEFAULT_ROLES,
+    strict: bool = False,
+    keep: Sequence[str] = (),
+    **options,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(table, one-row summary, failures). Strict mode raises on any violation."""
-    df = read_source(spark, path, roles, **options)
-    contract = raw_contract(roles)
+    """(table, one-row summary, failures). Strict mode raises on any violation.
+
+    Failures carry the unit id, if the source has one. Columns in ``keep`` are outside the contract.
+    """
+    df = read_source(spark, path, roles, keep=keep, **options)
+    contract, named = raw_contract(roles), source_id(df, roles)
+    checked = df.drop(*[c for c in keep if c != named and c not in roles.canonical])
     if strict:
-        require(df, contract)
-    return df, summary(df, contract), failures(df, contract)
+        require(checked, contract, named)
+    return df, summary(checked, contract, named), failures(checked, contract, named)
 
 
 def _absent(error: AnalysisException, path: str) -> Exception:

@@ -97,7 +97,7 @@ def test_csv_source_with_strange_headers(spark, tmp_path):
     assert report.first().conforming and failed.count() == 0
     assert mart.clean_step(df, ROLES).table.filter("label").count() == 1
     path.write_text("grp,age,usage_km,events\nA,3,1000,2\n")
-    with pytest.raises(ValueError, match=r"missing.*label"):
+    with pytest.raises(ValueError, match=r"lacks label"):
         tables.read_source(spark, str(path), ROLES, fmt="csv")
 
 
@@ -113,3 +113,35 @@ def test_canonical_view_serves_text_and_boolean(source):
     assert text == boolean.collect()
     with pytest.raises(KeyError, match="unknown query"):
         mart.query(source, "nothing", ROLES)
+
+
+def test_units_that_differ_only_in_their_id_stay(spark, tmp_path):
+    rows = [(u, "A", 3, 1_000, 2, "Sim") for u in range(30)] + [(0, "A", 3, 1_000, 2, "Sim")]
+    df = spark.createDataFrame(rows, "unit_id long, grp string, age long, usage_km long, events long, label string")
+    df.write.parquet(str(tmp_path / "source"))
+    cleaned, _ = mart.run(spark, str(tmp_path / "source"), roles=ROLES)
+    assert cleaned.table.count() == 30 and "unit_id" in cleaned.table.columns
+    report = {r["check"]: r for r in cleaned.report.collect()}
+    assert report["duplicates removed"]["value"] == "1" and "no unit id" not in report["duplicates removed"]["detail"]
+    # A further column of the source counts when rows are compared, and is then left out.
+    df.withColumn("seen_at", F.monotonically_increasing_id()).write.parquet(str(tmp_path / "wide"))
+    wide, _ = mart.run(spark, str(tmp_path / "wide"), roles=ROLES)
+    assert wide.table.count() == 31 and "seen_at" not in wide.table.columns
+
+
+def test_failures_carry_the_unit_id(spark, tmp_path):
+    rows = [(7, "A", 3, -5, 2, "Sim"), (8, "B", 3, 10, 2, "Sim")]
+    df = spark.createDataFrame(rows, "unit_id long, grp string, age long, usage_km long, events long, label string")
+    df.write.parquet(str(tmp_path / "s"))
+    table, report, failed = tables.load_source(spark, str(tmp_path / "s"), ROLES, keep=["unit_id"])
+    assert {r.row_id for r in failed.collect()} == {"7"} and not report.first().conforming
+    with pytest.raises(ValueError):
+        tables.load_source(spark, str(tmp_path / "s"), ROLES, strict=True)
+    df.filter("unit_id = 8").write.parquet(str(tmp_path / "good"))
+    tables.load_source(spark, str(tmp_path / "good"), ROLES, strict=True, keep=["unit_id"])
+
+
+def test_all_unknown_labels_are_counted(spark):
+    df = spark.createDataFrame([("A", 1, 1, 1, f"x{i}") for i in range(25)], "grp string, age int, usage_km int, events int, label string")
+    with pytest.raises(ValueError, match=r"and 5 more, 25 rows in all"):
+        binarise_label(df, ROLES)

@@ -19,17 +19,16 @@ def as_oof(spark, pdf):
 
 @pytest.fixture(scope="module")
 def synthetic():
-    rng = np.random.default_rng(42)
-    n = 200
-    y = np.repeat([0, 1], n // 2)
-    parts = [
-        pd.DataFrame(
-            {"repetition": r, "unit_id": np.arange(n), "y": y,
-             "p": np.where(y == 1, rng.beta(6, 3, n), rng.beta(3, 6, n))}
-        )
-        for r in range(3)
-    ]
-    return pd.concat(parts, ignore_index=True)
+    """Two-decimal logistic scores, so that many tie, of 240 units in three repetitions; every third unit is positive."""
+    rng = np.random.default_rng(7)
+    unit = np.arange(240)
+    y = (unit % 3 == 0).astype(int)
+    frames = []
+    for repetition in range(3):
+        lean = 1.4 * y - 0.6 + rng.logistic(0, 0.8, len(unit))
+        p = np.round(1 / (1 + np.exp(-lean)), 2)
+        frames.append(pd.DataFrame({"repetition": repetition, "unit_id": unit, "y": y, "p": p}))
+    return pd.concat(frames, ignore_index=True)
 
 
 @pytest.fixture(scope="module")
@@ -92,11 +91,11 @@ def cost_of(df, t, ratio):
 
 
 def test_costs_by_hand(spark):
-    df = scores_of(spark, [1, 1, 0, 0], [0.9, 0.1, 0.9, 0.1])
-    assert [cost_of(df, 0.5, r) for r in (1.0, 3.0, 10.0)] == [2.0, 4.0, 11.0]
-    assert cost_of(scores_of(spark, [0, 0, 1, 1], [0.1, 0.2, 0.8, 0.9]), 0.5, 3.0) == 0.0
-    close = scores_of(spark, [0, 0, 1, 1], [0.4, 0.45, 0.55, 0.6])
-    assert [cost_of(close, 0.0, 1.0), cost_of(close, 1.0, 1.0), cost_of(close, 1.0, 5.0)] == [2.0, 2.0, 10.0]
+    # Two missed positives and one false alarm at 0.6; everything flagged at 0.05; nothing at 0.99.
+    df = scores_of(spark, [1, 1, 1, 0, 0, 0, 0], [0.3, 0.55, 0.8, 0.7, 0.2, 0.1, 0.4])
+    assert [cost_of(df, 0.6, r) for r in (1.0, 2.5, 20.0)] == [3.0, 6.0, 41.0]
+    assert cost_of(df, 0.05, 20.0) == 4.0
+    assert cost_of(df, 0.99, 4.0) == 12.0
 
 
 def brute_threshold(y, p, ratio):
@@ -111,7 +110,7 @@ def test_optimal_thresholds_match_the_full_search(oof, synthetic):
         rows = synthetic[synthetic.repetition == r.repetition]
         best, cost = brute_threshold(rows.y.to_numpy(), rows.p.to_numpy(), r.cost_ratio)
         assert (r.threshold, r.cost) == (best, cost)
-        assert r.true_positives + r.false_positives + r.false_negatives + r.true_negatives == 200
+        assert r.true_positives + r.false_positives + r.false_negatives + r.true_negatives == 240
 
 
 def test_scores_on_the_grid_are_flagged(spark):
@@ -150,8 +149,8 @@ def test_single_repetition_has_zero_width(spark):
 
 def test_confusion_cells_average_over_repetitions(oof):
     cells = {r.cell: r.n for r in thresholds.confusion_matrix(oof, 0.5).collect()}
-    assert sum(cells.values()) == pytest.approx(200)
-    assert cells["true_positives"] + cells["false_negatives"] == pytest.approx(100)
+    assert sum(cells.values()) == pytest.approx(240)
+    assert cells["true_positives"] + cells["false_negatives"] == pytest.approx(80)
 
 
 # ------------------------------------------------------------------ curves
@@ -195,11 +194,11 @@ def test_gain_finds_signal_and_not_noise(spark, oof):
 def test_capacity_interpolates_the_gain(spark, oof):
     gain = curves.gain_curve(curves.mean_scores(oof))
     points = gain.toPandas()
-    capacities = [0, 10, 33, 60, 200]
+    capacities = [0, 10, 33, 60, 240]
     got = curves.capacity_plan(gain, capacities).toPandas()
     x = np.concatenate([[0], points["share_inspected"]])
     y = np.concatenate([[0], points["captured_share"]])
-    want = np.interp([c / 200 for c in capacities], x, y)
+    want = np.interp([c / 240 for c in capacities], x, y)
     assert got["captured_share"].tolist() == pytest.approx(want.tolist())
     assert got["found"].tolist() == [round(float(w) * 100) for w in want]
     assert got["lift"].iloc[0] == 0.0
@@ -256,3 +255,43 @@ def test_selection_prefers_few_features_near_the_best(spark):
     outside = [("big", "x", 8, 0.85, 0.05), ("small", "y", 3, 0.75, 0.05)]
     assert choose(outside)["model"] == "big"
     assert choose([*outside, ("baseline", "y", 1, 0.99, 0.0)])["model"] == "big"
+
+
+# ------------------------------------------------------------------ edges
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+def test_missing_scores_stop_every_operator(spark, bad):
+    df = scores_of(spark, [0, 1, 1], [0.2, 0.9, 0.4]).withColumn(
+        "p", F.when(F.col("unit_id") == 1, F.lit(bad)).otherwise(F.col("p"))
+    )
+    for attempt in (
+        lambda: thresholds.optimal_thresholds(df, [3.0]),
+        lambda: metrics.fold_metrics(df, ["model"]),
+        lambda: metrics.brier(df),
+        lambda: curves.roc_curve(df),
+        lambda: curves.calibration(df),
+        lambda: curves.mean_scores(df),
+    ):
+        with pytest.raises(Exception, match="null or NaN"):
+            attempt().collect()
+
+
+def test_mean_scores_ignore_the_order_of_rows(spark):
+    rng = np.random.default_rng(3)
+    values = rng.permutation(np.arange(5) / 7 + 0.013)
+    rows = pd.concat(
+        pd.DataFrame({"repetition": range(5), "unit_id": u, "y": u % 2, "p": np.roll(values, u)}) for u in range(40)
+    )
+    df = as_oof(spark, rows)
+    for parts in (1, 7, 50):
+        assert curves.mean_scores(df.repartition(parts)).select("p").distinct().count() == 1
+
+
+def test_gain_with_text_ids_matches_numbers(spark):
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 2, 500)
+    p = rng.integers(0, 4, 500) / 10 + 0.1
+    df = scores_of(spark, y, p)
+    text = df.withColumn("unit_id", F.format_string("dev-%05d", "unit_id"))
+    assert curves.gain_curve(text).collect() == curves.gain_curve(df).collect()

@@ -1,5 +1,8 @@
 import math
 
+import hashlib
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -258,15 +261,18 @@ def test_dependence_grid_and_curve(units, model):
         explain.partial_dependence(features, model, ["grp"])
 
 
-def collinear(spark, n=600):
-    """Two nearly equal useful columns and one of noise, under the default column names."""
-    rng = np.random.default_rng(42)
-    a = rng.normal(size=n)
-    b = a + rng.normal(0, 0.05, n)
-    noise = rng.normal(size=n)
-    y = rng.uniform(size=n) < 1 / (1 + np.exp(-1.5 * a))
+def collinear(spark, n=900):
+    """Three columns over one hidden cause: two follow it closely, the third hardly at all."""
+    rng = np.random.default_rng(19)
+    cause = rng.uniform(-2, 2, n)
     pdf = pd.DataFrame(
-        {"unit_id": np.arange(n), "age": a, "usage_km": b, "events": noise, "label": y}
+        {
+            "unit_id": np.arange(n),
+            "age": cause + rng.uniform(-0.1, 0.1, n),
+            "usage_km": 3 * cause + rng.uniform(-0.3, 0.3, n),
+            "events": 0.05 * cause + rng.uniform(-1, 1, n),
+            "label": cause + rng.logistic(0, 0.5, n) > 0,
+        }
     )
     return spark.createDataFrame(pdf)
 
@@ -300,19 +306,48 @@ def test_blocks_need_all_their_members():
     assert blocks == {"age": ("age",), "events": ("events",)}
 
 
-def test_importance_does_not_depend_on_shuffle_groups(spark, monkeypatch):
-    folds = stage(assign_folds(collinear(spark), ROLES, 5, 2))
+def test_importance_is_the_same_for_any_split(spark):
+    folds = stage(assign_folds(collinear(spark), ROLES))
     design = experiment.linear_design(folds, ROLES, ["without_group"])
     models = linear.fit_folds(design)
-    blocks = {"both": ("age", "usage_km")}
+    blocks = importance.both_readings(("age", "usage_km", "events"), {"pair": ("age", "usage_km")})
+
+    def detail(buckets, parts):
+        moved = replace(design, table=design.table.repartition(parts))
+        found = importance.permutation_importance(moved, models, "without_group", blocks, buckets=buckets)
+        return sorted((r.repetition, r.fold, r.block, round(r.auc_drop, 9)) for r in found.collect())
+
+    one = detail(1, 1)
+    assert detail(7, 7) == one and detail(64, 50) == one
 
-    def drop():
-        detail = importance.permutation_importance(design, models, "without_group", blocks)
-        return importance.importance_summary(detail).first().auc_drop
 
-    one = drop()
-    monkeypatch.setattr(importance, "SHUFFLE_SIZE", 30)
-    assert drop() == pytest.approx(one, abs=0.05) and one > 0.1
+def test_neighbours_go_round_the_fold(spark):
+    """Against a plain shuffle in pandas: every unit takes the block value of the next in hash order."""
+    folds = stage(assign_folds(collinear(spark, 60), ROLES))
+    design = experiment.linear_design(folds, ROLES, ["without_group"])
+    models = linear.fit_folds(design)
+    found = importance.permutation_importance(
+        design, models, "without_group", {"age": ("age",)}, n_permutations=2, buckets=5
+    )
+    got = {(r.repetition, r.fold): r.auc_drop for r in found.collect()}
+    rows = design.table.toPandas()
+    model = next(m for m in models if (m.repetition, m.fold) == (1, 2))
+    own = rows[(rows.repetition == 1) & (rows.fold == 2)]
+    slopes, at = dict(zip((t.name for t in model.terms), model.slopes())), {t.name: design.column(t) for t in model.terms}
+    rest = model.offset() + sum(slopes[c] * own[at[c]] for c in ("usage_km", "events"))
+    moved = slopes["age"] * own[at["age"]]
+
+    def auc(score):
+        score = score.round(9)
+        gaps = score[own.y == 1].to_numpy()[:, None] - score[own.y == 0].to_numpy()[None, :]
+        return ((gaps > 0).sum() + 0.5 * (gaps == 0).sum()) / gaps.size
+
+    drops = []
+    for k in range(2):
+        order = own.unit_id.map(lambda u: hashlib.md5(f"42-1-{k}-{u}".encode()).hexdigest()).sort_values().index
+        taken = pd.Series(np.roll(moved.loc[order].to_numpy(), -1), index=order)
+        drops.append(auc(rest + moved) - auc(rest + taken.loc[own.index]))
+    assert got[(1, 2)] == pytest.approx(np.mean(drops), abs=1e-9)
 
 
 # ------------------------------------------------------------------ serving
