@@ -10,8 +10,10 @@ before DISTANCE, at which a pair of the wanted similarity arrives with probabili
 Pairs of one bucket are not all written out. First every member is paired with the bucket's first. These
 pairs, if close enough by signature, are confirmed on full shingle sets, and components are formed. Only buckets in
 which several components meet can hold an unknown link between them; their members are compared across
-components by signature inside tasks (large buckets in a grid of blocks) and the close pairs confirmed as
-well. So no candidate that matters to a component goes unconfirmed and none is capped.
+components inside tasks (large buckets in a grid of blocks), by signature and then by their least shingle hashes:
+a pair that could still be a link is confirmed on full sets as well, and pairs that cannot are not written
+anywhere. A pair is looked at under the first of its common keys only. So no candidate that matters to a component
+goes unconfirmed and none is capped.
 
 Words are runs of other than ASCII white space, A-Z lower-cased. Defined cases: texts without words have no
 shingles, are linked with nothing and are their own component; a text of fewer words than a shingle has its
@@ -35,7 +37,11 @@ from riskloom.llm.components import components
 SYMBOLS = 60
 BITS = 16
 CHUNK = 6
-DISTANCE = 30
+DISTANCE = 27
+#: Least shingle hashes kept of each set; a set of no more is kept whole.
+SKETCH = 192
+#: Standard deviations that an estimate from sketches may fall short of the similarity.
+SLACK = 4.5
 #: Members of one block of a bucket when its components are compared.
 BLOCK = 2_000
 #: Pairs confirmed against one copy of a document; a document in more pairs is replicated.
@@ -45,6 +51,7 @@ _rng = np.random.default_rng(20240917)
 _MULTIPLY = (_rng.integers(0, 1 << 32, SYMBOLS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _rng.integers(0, 1 << 32, SYMBOLS, dtype=np.uint64).astype(np.uint32)
 _PRIMES = _rng.integers(0, 1 << 63, CHUNK, dtype=np.uint64) | np.uint64(1)
+_NUMBER = np.uint64(63)
 
 
 def shingle_set(text: bytes | None, width: int, known: WordHashes) -> np.ndarray:
@@ -69,25 +76,26 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int, id_column: str, text_column: str) -> DataFrame:
-    """doc_id, n_shingles, set_hash (null without shingles) and signature of every row."""
+    """doc_id, n_shingles, set_hash (null without shingles), signature and least hashes of every row."""
     base = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            count, hashes, signs = [], [], []
+            count, hashes, signs, least = [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 s = shingle_set(text, width, known)
                 count.append(len(s))
                 hashes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 signs.append(signature(s).tobytes() if len(s) else None)
+                least.append((s[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(hashes, pa.binary()), pa.array(signs, pa.binary())],
-                names=["doc_id", "n_shingles", "set_hash", "signature"],
+                [batch.column("doc_id"), pa.array(count, pa.int64()), *(pa.array(x, pa.binary()) for x in (hashes, signs, least))],
+                names=["doc_id", "n_shingles", "set_hash", "signature", "least"],
             )
 
     kind = base.schema["doc_id"].dataType.simpleString()
-    return map_arrow(base, sign, f"doc_id {kind}, n_shingles bigint, set_hash binary, signature binary")
+    return map_arrow(base, sign, f"doc_id {kind}, n_shingles bigint, set_hash binary, signature binary, least binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -95,7 +103,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def bucket_keys(matrix: np.ndarray) -> np.ndarray:
-    """One key per chunk and left-out symbol: rows x SYMBOLS."""
+    """One key per chunk and left-out symbol: rows x SYMBOLS. The lowest bits hold the number of the key."""
     keys = np.empty((len(matrix), SYMBOLS), np.uint64)
     for c in range(SYMBOLS // CHUNK):
         part = (matrix[:, c * CHUNK : (c + 1) * CHUNK].astype(np.uint64) + np.uint64(1)) * _PRIMES
@@ -103,10 +111,19 @@ def bucket_keys(matrix: np.ndarray) -> np.ndarray:
         whole = part.sum(axis=1, dtype=np.uint64)
         for k in range(CHUNK):
             number = c * CHUNK + k
-            keys[:, number] = mixed(whole - part[:, k] + np.uint64((number + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
+            value = mixed(whole - part[:, k] + np.uint64((number + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
+            keys[:, number] = value & ~_NUMBER | np.uint64(number)
     return keys
 
 
+def first_common_key(differ: np.ndarray) -> np.ndarray:
+    """Number of the first key that pairs share, from rows of differing symbols; SYMBOLS if none."""
+    chunks = differ.reshape(len(differ), SYMBOLS // CHUNK, CHUNK)
+    wrong = chunks.sum(axis=2)
+    number = np.where(wrong == 1, chunks.argmax(axis=2), 0) + np.arange(SYMBOLS // CHUNK) * CHUNK
+    return np.where(wrong <= 1, number, SYMBOLS).min(axis=1)
+
+
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -151,26 +168,75 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components, close by signature, within each (key, g, h) group."""
-    for table in _groups(batches, ["key", "g", "h"]):
-        table = table.combine_chunks()
-        cid, comp, block = (table.column(n).to_numpy() for n in ("cid", "comp", "block"))
-        matrix = _matrix(table.column("signature"))
-        g, h = table.column("g")[0].as_py(), table.column("h")[0].as_py()
-        kinds, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
-        ask = np.flatnonzero(inverse != np.argmax(counts))
-        found_a, found_b = [], []
-        for q in ask:
-            other = (comp != comp[q]) & ((block != block[q]) if g != h else True)
-            other = np.flatnonzero(other)
-            near = other[(matrix[other] != matrix[q]).sum(axis=1) <= DISTANCE]
-            found_a.append(np.minimum(cid[near], cid[q]))
-            found_b.append(np.maximum(cid[near], cid[q]))
-        if found_a:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], names=["a", "b"]
-            )
+class _Sketches:
+    """Least hashes of the members of a group, for one member against others."""
+
+    def __init__(self, column: pa.Array, sizes: np.ndarray):
+        raw = [np.frombuffer(x, np.uint32) for x in column.to_pylist()]
+        self.sets, self.sizes = raw, sizes
+        self.flat = np.concatenate(raw)
+        lengths = np.array([len(x) for x in raw])
+        self.start = np.cumsum(lengths) - lengths
+        # Everything up to its bound is known of a set.
+        self.bound = np.array([x[-1] if len(x) < n else (1 << 32) - 1 for x, n in zip(raw, sizes)], np.uint32)
+        self.names, self.code = np.unique(self.flat, return_inverse=True)
+
+    def may_link(self, one: int, others: np.ndarray, percent: int) -> np.ndarray:
+        """False where the known hashes rule the similarity out."""
+        mine = np.zeros(len(self.names), bool)
+        mine[self.code[self.start[one] : self.start[one] + len(self.sets[one])]] = True
+        bound = np.minimum(self.bound[others], self.bound[one])
+        joint = np.empty(len(others), np.int64)
+        theirs = np.empty(len(others), np.int64)
+        own = np.searchsorted(self.sets[one], bound, side="right")
+        for k, other in enumerate(others.tolist()):
+            n = int(np.searchsorted(self.sets[other], bound[k], side="right"))
+            at = self.start[other]
+            theirs[k], joint[k] = n, np.count_nonzero(mine[self.code[at : at + n]])
+        seen = own + theirs - joint
+        wanted = percent / 100
+        union = (self.sizes[one] + self.sizes[others]) / (1 + wanted)
+        spread = np.sqrt(wanted * (1 - wanted) / np.maximum(seen, 1) * np.maximum(0, 1 - seen / union))
+        return joint >= (wanted - SLACK * spread) * seen - 1
+
+
+def _across(percent: int):
+    """Pairs of different components that may be links, within each (key, g, h) group."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, ["key", "g", "h"]):
+            table = table.combine_chunks()
+            cid, comp, block, size = (table.column(n).to_numpy() for n in ("cid", "comp", "block", "n_shingles"))
+            matrix = _matrix(table.column("signature"))
+            g, h = table.column("g")[0].as_py(), table.column("h")[0].as_py()
+            number = table.column("key")[0].as_py() & int(_NUMBER)
+            _, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
+            # Each pair once: members of the largest component do not ask, and of two that ask the later one does.
+            asks = inverse != np.argmax(counts)
+            sketches = None
+            found_a, found_b = [], []
+            for q in np.flatnonzero(asks):
+                other = comp != comp[q]
+                other[:q] &= ~asks[:q]
+                if g != h:
+                    other &= block != block[q]
+                other &= (100 * np.minimum(size, size[q]) >= percent * np.maximum(size, size[q]))
+                other = np.flatnonzero(other)
+                differ = matrix[other] != matrix[q]
+                near = differ.sum(axis=1) <= DISTANCE
+                near[near] = first_common_key(differ[near]) == number
+                other = other[near]
+                if len(other):
+                    sketches = sketches or _Sketches(table.column("least"), size)
+                    other = other[sketches.may_link(q, other, percent)]
+                    found_a.append(np.minimum(cid[other], cid[q]))
+                    found_b.append(np.maximum(cid[other], cid[q]))
+            if found_a:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], names=["a", "b"]
+                )
+
+    return compare
 
 
 def near_signatures(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -248,6 +314,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_colum
             F.count("*").alias("n"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
+            F.first("least").alias("least"),
         )
         .withColumn("cid", F.monotonically_increasing_id())
     )
@@ -272,16 +339,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_colum
     mixed_up = mixed_up.filter("k > 2 and lo < hi").select("key", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
     open_members = (
         members.join(mixed_up, "key")
-        .join(classes.select("cid", "signature"), "cid")
+        .join(classes.select("cid", "signature", "n_shingles", "least"), "cid")
         .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "key", F.least("block", "other").alias("g"), F.greatest("block", "other").alias("h"), "cid", "comp", "block", "signature"
+            "key", F.least("block", "other").alias("g"), F.greatest("block", "other").alias("h"), "cid", "comp", "block", "n_shingles",
+            "signature", "least",
         )
     )
     dealt = open_members.repartition("key", "g", "h").sortWithinPartitions("key", "g", "h")
-    more = map_arrow(dealt, _across, "a bigint, b bigint").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stage(near_signatures(more, classes).filter(fits).select("a", "b"))
+    more = stage(map_arrow(dealt, _across(percent), "a bigint, b bigint").distinct().join(pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         extra = confirm(more, classes, docs, width, percent, id_column, text_column)
         if not extra.isEmpty():
