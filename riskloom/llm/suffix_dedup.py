@@ -5,7 +5,9 @@ LENGTH-byte string has one anchor: the last position of least hash among the COR
 have equal anchor pieces at equal offsets, and the strings of one anchor start next to each other, so an anchor
 with its strings is one stretch of text (a fragment, about 1.25 times LENGTH). Fragments are dealt by anchor hash.
 
-- Fragments equal as a whole repeat in all their strings. They are found by sorting, and one of them stays for the rest.
+- Fragments equal as a whole repeat in all their strings. They are found by sorting, within a task's batch before
+  and over all tasks after dealing, and one of them stays for the rest. So a batch sends one row for each different
+  fragment however often it holds it, and the bytes it has settled travel as merged stretches, dealt evenly.
 - Of anchors with several different fragments, those are fetched from the texts and concatenated, each followed by a
   separator. What all fragments of an anchor share around it becomes one weighted symbol. Their suffix array is
   built by grouping (suffix_array.py); the longest match of a suffix with any other is that with a neighbour
@@ -131,6 +133,23 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
+#: A fragment of a batch; one that the batch holds more than once; a stretch of settled bytes.
+SINGLE, SEVERAL, SETTLED = 0, 1, 2
+_COLUMNS = ["h", "whole", "row", "packed", "state"]
+
+
+def _settled(row: np.ndarray, packed: np.ndarray) -> list[np.ndarray]:
+    """Columns of the merged stretches under fragments, which are in order of row and place."""
+    start, count, _, check = _unpack(packed)
+    end = start + count - 1 + LENGTH
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | (check[1:] != check[:-1]) | (start[1:] > end[:-1]) | (start[1:] < start[:-1])])
+    # Fragments of a text rise in start and end, so a stretch ends with its last one. Starts fall where the same row comes again.
+    last = np.concatenate([np.flatnonzero(new)[1:], [len(new)]]) - 1
+    row, start, end, check = row[new], start[new], end[last], check[new]
+    spread = mixed(row.view(np.uint64) + start.astype(np.uint64)).view(np.int64)
+    return [spread, end, row, _pack(start, 0, 0, check), np.full(len(row), SETTLED, np.int32)]
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [[], [], [], []]
@@ -140,28 +159,49 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(buffer) < LENGTH:
                 continue
             h, whole, start, count, place = fragments(np.frombuffer(buffer, np.uint8))
-            for kept, values in zip(found, (h, whole, np.full(len(h), row), _pack(start, count, place, check))):
+            for kept, values in zip(found, (h.view(np.int64), whole.view(np.int64), np.full(len(h), row), _pack(start, count, place, check))):
                 kept.append(values)
-        if found[0]:
-            arrays = [pa.array(np.concatenate(x).view(np.int64)) for x in found]
-            yield pa.RecordBatch.from_arrays(arrays, names=["h", "whole", "row", "packed"])
+        if not found[0]:
+            continue
+        h, whole, row, packed = (np.concatenate(x) for x in found)
+        order = np.lexsort((whole, h))
+        new = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (whole[order][1:] != whole[order][:-1])])
+        size = np.diff(np.append(np.flatnonzero(new), len(order)))
+        sent = order[new]
+        columns = [h[sent], whole[sent], row[sent], packed[sent], np.where(size > 1, SEVERAL, SINGLE).astype(np.int32)]
+        if (size > 1).any():
+            again = np.zeros(len(order), bool)
+            again[order] = np.repeat(size > 1, size)
+            columns = [np.concatenate(x) for x in zip(columns, _settled(row[again], packed[again]))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_COLUMNS)
 
 
 def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (h, whole). Kind 0: a fragment equal to another. Kind 1: one of each different fragment of
-    an anchor that has several, ``many`` if it is equal to another. Memory is bounded: one run is carried over."""
+    """Rows sorted by (h, whole). Kind 0: covered bytes, from a fragment equal to another or a settled stretch
+    (``whole`` is their end). Kind 1: one of each different fragment of an anchor that has several, ``many`` if it is
+    equal to another. Memory is bounded: one run is carried over."""
     names = ["kind", "h", "whole", "row", "packed", "many"]
-    carry: list | None = None  # columns of the last run's first row, its rows so far, whether its anchor had a run before
+    carry: list | None = None  # columns of the last run's first row, its weight so far, whether its anchor had a run before
 
     def batch_of(kind: int, columns: list[np.ndarray], many: np.ndarray) -> pa.RecordBatch:
         arrays = [np.full(len(many), kind, np.int32), *columns, many]
         return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=names)
 
+    def told_of(columns: list[np.ndarray]) -> pa.RecordBatch:
+        start, count, _, _ = _unpack(columns[3])
+        return batch_of(0, [columns[0], start + count - 1 + LENGTH, *columns[2:]], np.ones(len(start), bool))
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(n).to_numpy() for n in names[1:5]]
-        weight = np.ones(batch.num_rows, np.int64)
+        *columns, state = (batch.column(n).to_numpy() for n in _COLUMNS)
+        settled = state == SETTLED
+        if settled.any():
+            yield batch_of(0, [c[settled] for c in columns], np.ones(int(settled.sum()), bool))
+            columns, state = [c[~settled] for c in columns], state[~settled]
+            if not len(state):
+                continue
+        weight = 1 + (state == SEVERAL).astype(np.int64)
         told, had = 0, False  # rows at the front that were told before
         if carry is not None:
             columns = [np.concatenate([[c], x]) for c, x in zip(carry[0], columns)]
@@ -175,7 +215,7 @@ def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = np.cumsum(new) - 1
         equal = np.flatnonzero(size[run] > 1)
         equal = equal[equal >= told]
-        yield batch_of(0, [c[equal] for c in columns], np.ones(len(equal), bool))
+        yield told_of([c[equal] for c in columns])
         joins_previous = ~new_h[first]
         joins_previous[0] = had
         done = len(first) - 1
@@ -334,13 +374,15 @@ def covered_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """(row, check, start, end): stretches of bytes under repeated strings; a row's stretches may overlap."""
     keyed = _keyed(docs, id_column, text_column)
     long = "h bigint, whole bigint, row bigint, packed bigint"
-    anchors = map_arrow(keyed.select("text", "row", "check"), _anchors, long)
+    anchors = map_arrow(keyed.select("text", "row", "check"), _anchors, f"{long}, state int")
     dealt = anchors.repartition("h").sortWithinPartitions("h", "whole")
     sorted_out = stage(map_arrow(dealt, _sorted_out, f"kind int, {long}, many boolean"))
 
-    start, count = F.shiftright("packed", 30), F.shiftright("packed", 23).bitwiseAND(127)
     whole = sorted_out.filter("kind = 0").select(
-        "row", F.col("packed").bitwiseAND(0xFFFF).alias("check"), start.alias("start"), (start + count - 1 + LENGTH).alias("end")
+        "row",
+        F.col("packed").bitwiseAND(0xFFFF).alias("check"),
+        F.shiftright("packed", 30).alias("start"),
+        F.col("whole").alias("end"),
     )
 
     wanted = (
