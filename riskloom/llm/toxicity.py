@@ -1,13 +1,14 @@
 """Toxicity: a chain of linear classifiers over the words of a whole text.
 
-Categories are predicted one after the other; each model sees the words and the probabilities of the
-categories before it. For training those probabilities are out of fold: the sample is dealt into FOLDS parts
+Categories are predicted one after the other; each model sees the words and the probabilities (above the
+share) of the categories before it. For training those probabilities are out of fold: the sample is dealt into FOLDS parts
 by a hash, and a document's probability comes from a model that never saw it, so that later models learn
 from values as uncertain as they will meet. Models are logistic regressions with an L1 penalty (coordinate
 steps of follow-the-leader kind), which leaves weights on a few thousand word features only.
 
-Features of a word: the word, and its first 4, 5 and 6 characters (stems with unseen endings still count).
-A feature counts once per document. They are hashed to 2**BITS places.
+Features of a text: its words, and the first STEMS characters of words (so unseen endings of a known stem still
+count), in grades: that one distinct word has the stem, that two or three have, and that those two or more are
+1% or 2% of the distinct words (a stem may be harmless alone and not in numbers). They are hashed to 2**BITS places.
 
 The fit reads at most ``sample`` labelled documents on average (a documented bound, dealt by hash of the
 id); every row is scored. Defined cases: null or empty texts have no words and get the model's constant;
@@ -20,8 +21,10 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,22 +38,30 @@ from riskloom.llm.common import map_arrow
 BITS = 20
 SAMPLE = 12_000
 FOLDS = 3
-EPOCHS = 4
-PENALTY = 1.0
-RATE = 0.3
-STEMS = (4, 5, 6)
+EPOCHS = 8
+PENALTY = 4.0
+RATE = 1.0
+STEMS = (4, 5, 6, 7)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_features(word: str) -> list[int]:
-    parts = [f"w{word}", *(f"{n}{word[:n]}" for n in STEMS if len(word) > n)]
-    return [xxhash.xxh3_64_intdigest(p) & ((1 << BITS) - 1) for p in parts]
+def word_names(word: str) -> list[int]:
+    """Hashes of the word and of its stems."""
+    return [xxhash.xxh3_64_intdigest(p) for p in (f"w{word}", *(f"{n}{word[:n]}" for n in STEMS if len(word) > n))]
 
 
-class _Features(dict):
-    def __missing__(self, word: str) -> list[int]:
-        value = self[word] = word_features(word)
-        return value
+def graded(name: int, count: int, distinct: int) -> list[int]:
+    """Places of the grades that ``count`` of ``distinct`` words reach."""
+    grades = [0]
+    if count > 1:
+        grades += [1] * (count >= 2) + [2] * (count >= 3) + [3] * (100 * count >= distinct) + [4] * (50 * count >= distinct)
+    return [(name + g * 0x9E3779B97F4A7C15 >> 7) & ((1 << BITS) - 1) for g in grades]
+
+
+def text_features(words: set[str]) -> list[int]:
+    """Distinct places of a text."""
+    counts = Counter(n for w in words for n in word_names(w))
+    return sorted({p for n, c in counts.items() for p in graded(n, c, len(words))})
 
 
 @dataclass(frozen=True)
@@ -78,16 +89,20 @@ def _sigmoid(x: float) -> float:
 
 
 def _fit(rows: list[np.ndarray], extra: np.ndarray, y: np.ndarray, seed: int = 0):
-    """Follow-the-regularised-leader passes over the documents: bias, dense weights, weights of ``extra``."""
+    """Follow-the-regularised-leader passes over the documents: bias, dense weights, weights of ``extra``.
+
+    The bias stays at the log-odds of the category's share and words only speak for it: otherwise the bias, or the
+    words of every clean document, would sink until a single telling word no longer made up for them.
+    """
     size, more = 1 << BITS, extra.shape[1]
-    z, n = np.zeros(size + more + 1), np.zeros(size + more + 1)
-    tail = np.arange(size, size + more + 1)
+    z, n = np.zeros(size + more), np.zeros(size + more)
+    tail = np.arange(size, size + more)
     order = np.random.default_rng(seed)
 
     def weights(places: np.ndarray) -> np.ndarray:
         zi = z[places]
         w = -(zi - np.sign(zi) * PENALTY) / ((1.0 + np.sqrt(n[places])) / RATE + 1e-3)
-        return np.where(np.abs(zi) <= PENALTY, 0.0, w)
+        return np.where(np.abs(zi) <= PENALTY, 0.0, np.where(places < size, np.maximum(w, 0.0), w))
 
     share = min(max(float(y.mean()), 1e-3), 1 - 1e-3) if len(y) else 0.5
     base = math.log(share / (1 - share))
@@ -95,14 +110,14 @@ def _fit(rows: list[np.ndarray], extra: np.ndarray, y: np.ndarray, seed: int = 0
         for i in order.permutation(len(rows)):
             places = np.concatenate([rows[i], tail])
             x = np.ones(len(places))
-            x[len(rows[i]) : len(rows[i]) + more] = extra[i]
+            x[len(rows[i]) :] = extra[i]
             w = weights(places)
             g = (_sigmoid(base + float(w @ x)) - y[i]) * x
             sigma = (np.sqrt(n[places] + g * g) - np.sqrt(n[places])) / RATE
             z[places] += g - sigma * w
             n[places] += g * g
-    w = weights(np.arange(size + more + 1))
-    return base + w[-1], w[:size], w[size : size + more]
+    w = weights(np.arange(size + more))
+    return base, w[:size], w[size:]
 
 
 def _predict(model, rows: list[np.ndarray], extra: np.ndarray) -> np.ndarray:
@@ -120,7 +135,7 @@ def fit_chain(rows: list[np.ndarray], labels: dict[str, np.ndarray], folds: np.n
             share = min(max(share, 1e-6), 1 - 1e-6)
             none = np.zeros(0)
             steps.append(LinearStep(category, math.log(share / (1 - share)), none.astype(np.int64), none, np.zeros(extra.shape[1])))
-            extra = np.column_stack([extra, np.full(len(rows), share)])
+            extra = np.column_stack([extra, np.zeros(len(rows))])
             continue
         bias, w, we = _fit(rows, extra, y)
         places = np.flatnonzero(w)
@@ -131,7 +146,7 @@ def fit_chain(rows: list[np.ndarray], labels: dict[str, np.ndarray], folds: np.n
             if len(train) and len(test):
                 model = _fit([rows[i] for i in train], extra[train], y[train])
                 unseen[test] = _predict(model, [rows[i] for i in test], extra[test])
-        extra = np.column_stack([extra, unseen])
+        extra = np.column_stack([extra, unseen - y.mean()])
     return Chain(tuple(steps))
 
 
@@ -164,7 +179,7 @@ def train(
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [sorted({p for w in words for p in word_features(w)}) for words in _words(batch, "__text")]
+            rows = [text_features(words) for words in _words(batch, "__text")]
             arrays = [pa.array(rows, pa.list_(pa.int32())), batch.column("__fold"), batch.column("__id").cast(pa.string())]
             arrays += [batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(arrays, names=["places", "fold", "id", *names])
@@ -178,21 +193,24 @@ def train(
     return fit_chain(rows, y, table.column("fold").to_numpy())
 
 
-def score(docs: DataFrame, chain: Chain, text_column: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Chain, text_column: str = "text") -> DataFrame:
     """All rows and columns, plus ``p_<category>`` for each category of the chain."""
-    results = [f"p_{c}" for c in chain.categories]
+    results = [f"p_{c}" for c in model.categories]
     base = docs.drop(*results)
     names = base.columns
     # The weights are sparse: at most a few thousand places, whatever the corpus.
-    tables = [dict(zip(s.places.tolist(), s.weights.tolist())) for s in chain.steps]
-    biases, earlier = [s.bias for s in chain.steps], [s.earlier.tolist() for s in chain.steps]
+    tables = [dict(zip(s.places.tolist(), s.weights.tolist())) for s in model.steps]
+    biases, earlier = [s.bias for s in model.steps], [s.earlier.tolist() for s in model.steps]
+    shares = [_sigmoid(b) for b in biases]
     steps = range(len(tables))
 
+    weighted = set().union(*tables)
+
     class Seen(dict):
-        """Word to the places with a weight in any model; most words have none."""
+        """Word to its names with a weight at any grade; most words have none."""
 
         def __missing__(self, word: str):
-            value = tuple(p for p in word_features(word) if any(p in t for t in tables))
+            value = tuple(n for n in word_names(word) if not weighted.isdisjoint(graded(n, 1 << 30, 1)))
             self[word] = value
             return value
 
@@ -203,14 +221,17 @@ def score(docs: DataFrame, chain: Chain, text_column: str = "text") -> DataFrame
                 seen.clear()
             out: list[list[float]] = [[] for _ in steps]
             for words in _words(batch, text_column):
-                hit = set().union(*filter(None, map(seen.__getitem__, words)))
-                before: list[float] = []
+                counts = Counter(chain.from_iterable(filter(None, map(seen.__getitem__, words))))
+                hit = {p for n, c in counts.items() for p in graded(n, c, len(words))}
+                before: list[float] = []  # probabilities above the share, as in training
+                found: list[float] = []
                 for k in steps:
                     table = tables[k]
                     value = biases[k] + math.fsum(table.get(p, 0.0) for p in hit)
-                    before.append(_sigmoid(value + math.fsum(a * b for a, b in zip(earlier[k], before))))
+                    found.append(_sigmoid(value + math.fsum(a * b for a, b in zip(earlier[k], before))))
+                    before.append(found[k] - shares[k])
                 for k in steps:
-                    out[k].append(before[k])
+                    out[k].append(found[k])
             arrays = [*batch.columns, *(pa.array(x, pa.float64()) for x in out)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, *results])
 
