@@ -13,7 +13,7 @@ from riskloom.catalog.quality_queries import RAW_RULES, REPEATED_SQL
 from riskloom.catalog.quality_queries import _rules as rules_sql
 from riskloom.catalog.registry import register
 from riskloom.operators import explain, importance, linear, serving, trees
-from riskloom.operators.design import NUMBER, WITH_DERIVED, WITHOUT_GROUP, Term
+from riskloom.operators.design import FLAG, NUMBER, WITH_DERIVED, WITHOUT_GROUP, Term
 from riskloom.operators.features import add_features
 from riskloom.operators.folds import assign_folds, fold_balance
 from riskloom.operators.metrics import fold_metrics
@@ -479,6 +479,123 @@ def block_ratio(spark, sf_dir):
     return importance.block_ratio(summary, summary, "age_and_usage", blocks["age_and_usage"])
 
 
+# --------------------------------------------------------------------------- closed forms of fitted models
+#
+# A single unsampled tree of depth one on a flag predicts the class rates of the training rows, one boosting
+# round the logistic of twice their mean of -1 and 1; a logistic fit has no gradient left. All folds, all rows.
+
+STUMP = trees.TreeOptions(
+    forest_trees=1, forest_depth=1, forest_leaf=1, bootstrap=False, boosting_rounds=1, boosting_depth=1, sampling=1.0
+)
+FLAG_TERM = Term("young", "young", FLAG)
+RATES_SQL = FOLDS_SQL.replace(
+    "\nfinal ",
+    """,
+counted as (select repetition, fold, age <= 1 as young, count(*) as n, sum(y) as pos from folds group by repetition, fold, age <= 1),
+rates as (select a.repetition, a.fold, a.young, sum(b.pos) * 1e0 / sum(b.n) as rate
+  from (select distinct f.repetition, f.fold, v.young from counted f, (values (true), (false)) as v(young)) a
+  join counted b on a.repetition = b.repetition and a.fold <> b.fold and a.young = b.young
+  group by a.repetition, a.fold, a.young)
+final """,
+)
+
+
+def young(df):
+    """A flag whose rates lie on either side of one half: the library merges leaves of one majority."""
+    return df.withColumn("young", F.col("age") <= 1)
+
+
+def _stump_design(spark, sf_dir):
+    return linear.build_design(young(folds(spark, sf_dir)), {"flag": [FLAG_TERM]}, ROLES)
+
+
+def _stump_sql(p: str) -> str:
+    return RATES_SQL + f"""select f.repetition, f.fold, f.unit_id, f.y, {p} as p from folds f
+  join rates r on f.repetition = r.repetition and f.fold = r.fold and (f.age <= 1) = r.young"""
+
+
+@register("forest_stump_out_of_fold", _stump_sql("rate"), "p")
+def forest_stump(spark, sf_dir):
+    oof = trees.tree_out_of_fold(trees.FOREST, _stump_design(spark, sf_dir), options=STUMP)
+    return oof.select("repetition", "fold", "unit_id", "y", "p")
+
+
+@register("boosting_stump_out_of_fold", _stump_sql("1e0 / (1e0 + exp(-2e0 * (2e0 * rate - 1e0)))"), "p")
+def boosting_stump(spark, sf_dir):
+    oof = trees.tree_out_of_fold(trees.BOOSTING, _stump_design(spark, sf_dir), options=STUMP)
+    return oof.select("repetition", "fold", "unit_id", "y", "p")
+
+
+def _stump_scorer(spark, sf_dir):
+    design = _stump_design(spark, sf_dir)
+    model = trees.fit_final_tree(trees.FOREST, design, "flag", STUMP)
+    return trees.tree_scorer(model, trees.design_columns(design, "flag"))
+
+
+ALL_RATES_SQL = f"""with features as ({FEATURES}),
+rates as (select age <= 1 as young, count(*) filter (where label) * 1e0 / count(*) as rate from features group by age <= 1)
+final """
+
+
+@register(
+    "tree_scoring",
+    ALL_RATES_SQL
+    + """select unit_id, rate as risk, rate >= 0.75e0 as flagged, not (age between 0 and 10) as out_of_range
+  from features join rates on (age <= 1) = young""",
+    "risk",
+)
+def tree_scoring(spark, sf_dir):
+    score = _stump_scorer(spark, sf_dir)
+    return serving.score_units_with(young(features(spark, sf_dir)), score, THRESHOLD, {"age": (0, 10)})
+
+
+@register(
+    "tree_partial_dependence",
+    ALL_RATES_SQL
+    + """select 'young' as variable, case when young then 1e0 else 0e0 end as value, rate as risk from rates
+  union all select 'events', v, avg(rate) from (select distinct events * 1e0 as v from features), features join rates on (age <= 1) = young
+  group by v""",
+    "value risk",
+)
+def tree_dependence(spark, sf_dir):
+    score = _stump_scorer(spark, sf_dir)
+    table = young(features(spark, sf_dir))
+    return explain.partial_dependence_of(table, score, ["young", "events"])
+
+
+@register(
+    "logistic_optimality",
+    FOLDS_SQL
+    + """select a.repetition, a.fold, count(*) as n, cast(sum(b.y) as bigint) as n_positive, 0e0 as largest_gradient
+  from (select distinct repetition, fold from folds) a
+  join folds b on a.repetition = b.repetition and a.fold <> b.fold group by a.repetition, a.fold""",
+    "largest_gradient",
+)
+def optimality(spark, sf_dir):
+    """Largest gradient entry of the penalised loss at each fold's coefficients, from raw columns and SQL functions only."""
+    _, _, models = fitted(spark, sf_dir, [WITHOUT_GROUP])
+    terms = models[0].terms
+    rows = [
+        (m.repetition, m.fold, m.intercept, list(m.coefficients), list(m.centres), list(m.scales)) for m in models
+    ]
+    given = spark.createDataFrame(
+        rows, "repetition int, left_out int, b0 double, b array<double>, c array<double>, s array<double>"
+    )
+    # One row of parameters per fold.
+    joined = folds(spark, sf_dir).join(F.broadcast(given), "repetition").filter("fold <> left_out")
+    z = [(t.column() - F.col("c")[i]) / F.col("s")[i] for i, t in enumerate(terms)]
+    eta = F.col("b0")
+    for i, x in enumerate(z):
+        eta = eta + F.col("b")[i] * x
+    off = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta)) - F.col("y")
+    sums = [F.sum(off).alias("g0"), *[(F.sum(off * x) + F.first("b")[i]).alias(f"g{i + 1}") for i, x in enumerate(z)]]
+    result = joined.groupBy("repetition", "left_out").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("n_positive"), *sums)
+    largest = F.greatest(*[F.abs(f"g{i}") for i in range(len(terms) + 1)]) / F.col("n")
+    return result.select(
+        "repetition", F.col("left_out").alias("fold"), "n", "n_positive", F.round(largest, 8).alias("largest_gradient")
+    )
+
+
 # --------------------------------------------------------------------------- whole chain
 
 

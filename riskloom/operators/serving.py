@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -93,6 +93,28 @@ def score_units(
     )
 
 
+def score_units_with(
+    df: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    threshold: float,
+    ranges: Mapping[str, tuple[float, float]] | None = None,
+    row_id: str = "unit_id",
+) -> DataFrame:
+    """Risk and flag of every row by any model, given as a function that adds a ``risk`` column.
+
+    There are no contributions: those are read from coefficients.
+    """
+    outside = F.lit(False)
+    for column, (low, high) in (ranges or {}).items():
+        outside = outside | ~F.col(column).between(low, high)
+    return score(df).select(
+        row_id,
+        "risk",
+        (F.col("risk") >= F.lit(threshold)).alias("flagged"),
+        F.coalesce(outside, F.lit(True)).alias("out_of_range"),
+    )
+
+
 def seen_ranges(observed: DataFrame, roles: Roles = DEFAULT_ROLES) -> dict[str, tuple[float, float]]:
     """Range check limits from ``observed_ranges`` (one row)."""
     r = observed.first()
