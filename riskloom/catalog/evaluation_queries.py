@@ -17,6 +17,7 @@ from riskloom.plans.evaluation import (
     scenario_metrics,
 )
 from riskloom.roles import COST_RATIOS
+from riskloom.plans.evaluation import evaluate
 from riskloom.session import stage
 from riskloom.sources.tables import select_predictions
 
@@ -522,3 +523,42 @@ final """,
 def capacity(spark, sf_dir):
     table = curves.gain_curve(tied_scores(spark, sf_dir, "signal"), staged=True)
     return curves.capacity_plan(table, [25, 100, 777, 1000])
+
+
+def _ctes(text: str) -> str:
+    """The table expressions of a comparison text, without its frame."""
+    return text.strip().removeprefix("with ").removesuffix("final").rstrip()
+
+
+DECISION_SQL = (
+    "with "
+    + _ctes(THRESHOLD_SQL.replace("model = 'pseudo'", "model = 'signal'"))
+    + ",\n"
+    + _ctes(CALIBRATION_SQL)
+    + ",\n"
+    + _ctes(gain_sql("signal")).split("group by unit_id),\n", 1)[1]
+    + """,
+record as (select 'signal' as model, 'original' as feature_set, 3e0 as cost_ratio, round(threshold, 3) as threshold,
+  round(threshold_low, 3) as threshold_low, round(threshold_high, 3) as threshold_high, round(flagged_share, 4) as flagged_share,
+  round(false_negatives, 1) as mean_false_negatives, round(false_positives, 1) as mean_false_positives,
+  round((select avg(abs(deviation)) from k), 4) as calibration_error,
+  round((select captured_share from gain where slice = 3), 4) as captured_top30,
+  round((select lift from gain where slice = 3), 2) as lift_top30,
+  round((select captured_share from gain where slice = 5), 4) as captured_top50,
+  round((select lift from gain where slice = 5), 2) as lift_top50 from sensitivity where is_anchor)
+final select * from record"""
+)
+
+
+@register(
+    "decision_of_given_scores",
+    DECISION_SQL,
+    "cost_ratio threshold threshold_low threshold_high flagged_share mean_false_negatives mean_false_positives "
+    "calibration_error captured_top30 lift_top30 captured_top50 lift_top50",
+    V,
+    places=6,
+)
+def decision_of_given(spark, sf_dir):
+    """The whole evaluation of one model's predictions, down to its decision record."""
+    record = evaluate(predictions(spark, sf_dir), "signal", "original").decision
+    return spark.createDataFrame([tuple(record.values())], list(record))
