@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import band_order, col, positive, ratio, wilson
-from riskloom.operators.scan import approximate_quantiles, exact_quantiles
+from riskloom.operators.scan import approximate_quantiles, exact_quantiles, running_totals
 from riskloom.roles import (
     AGE_BAND,
     AGE_BANDS,
@@ -22,6 +22,7 @@ from riskloom.roles import (
     Z_95,
     Roles,
 )
+from riskloom.session import stage
 
 
 def counts(roles: Roles) -> list[Column]:
@@ -79,15 +80,10 @@ def evolution_by_age(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
             F.avg(roles.events).alias("mean_events"),
         )
     )
-    # One row per distinct age (0 to 30 by contract): a single small partition.
-    so_far = Window.orderBy(roles.age).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = running_totals(by_age, [], roles.age, ["n_units", "n_positive"])
     return (
-        by_age.withColumns(
-            {
-                "cum_units": F.sum("n_units").over(so_far),
-                "cum_positive": F.sum("n_positive").over(so_far),
-            }
-        )
+        totals.withColumnsRenamed({"cum_n_units": "cum_units", "cum_n_positive": "cum_positive"})
+        .drop("tot_n_units", "tot_n_positive")
         .withColumn("cum_rate", ratio("cum_positive", "cum_units"))
         .orderBy(roles.age)
     )
@@ -101,12 +97,16 @@ def evolution_with_interval(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> Data
 def risk_ranking(df: DataFrame, roles: Roles = DEFAULT_ROLES, z: float = Z_95) -> DataFrame:
     """Groups by descending rate with Wilson bounds; the width here is the unclipped 2 * margin."""
     g = roles.group
-    rated = add_rate(df.groupBy(g).agg(*counts(roles)))
+    rated = stage(add_rate(df.groupBy(g).agg(*counts(roles))))
     w = wilson("n_positive", "n_units", z)
-    # One row per group level.
-    order = Window.orderBy(F.col("rate").desc(), F.col(g))
-    return rated.select(
-        F.row_number().over(order).cast("bigint").alias("position"),
+    # Places are counted per distinct rate; only groups of one rate are put in order by name.
+    per_rate = rated.groupBy("rate").agg(F.count(F.lit(1)).alias("__n"))
+    before = running_totals(per_rate, [], "rate", ["__n"], descending=True)
+    before = before.select(F.col("rate").alias("__rate"), (F.col("cum___n") - F.col("__n")).alias("__before"))
+    tied = Window.partitionBy("rate").orderBy(g)
+    placed = rated.join(before, F.col("rate").eqNullSafe(F.col("__rate")))
+    return placed.select(
+        (F.col("__before") + F.row_number().over(tied)).cast("bigint").alias("position"),
         g,
         "n_units",
         "n_positive",

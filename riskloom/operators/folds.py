@@ -36,13 +36,17 @@ def assign_folds(
         )
         .withColumns(
             {
-                "__hash": F.md5(
-                    F.concat_ws(
-                        "-",
-                        F.lit(str(seed)),
-                        F.col("repetition").cast("string"),
-                        F.col(roles.unit_id).cast("string"),
-                    )
+                # Rows that share an id are dealt in the order of a hash of all they hold.
+                "__hash": F.concat(
+                    F.md5(
+                        F.concat_ws(
+                            "-",
+                            F.lit(str(seed)),
+                            F.col("repetition").cast("string"),
+                            F.col(roles.unit_id).cast("string"),
+                        )
+                    ),
+                    F.hex(F.xxhash64(*df.columns)),
                 ),
                 "__one": F.lit(1).cast("bigint"),
             }
