@@ -364,3 +364,34 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
         F.coalesce("items", none).alias("items"),
         F.col("spans"),
     )
+
+
+#: The digest of the query in SQL, for unique document ids.
+SQL = r"""
+with folded as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), asked as (
+  select coalesce(cast(item_id as varchar), 'null') as item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), windows as (
+  select distinct item, w[s:s + 9] as t
+  from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as s from asked where len(w) > 0)
+), sizes as (
+  select distinct len(t) as n from windows
+), spots as (
+  select doc_id, s, n, w[s:s + n - 1] as t
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as s from folded, sizes where len(w) >= n)
+), hits as (
+  select doc_id, s, n, item from spots join windows using (t)
+), covered as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(range(s, s + n)) as p from (select distinct doc_id, s, n from hits)) group by doc_id
+), listed as (
+  select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items from hits group by doc_id
+)
+select f.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from folded f left join covered using (doc_id) left join listed using (doc_id)
+"""

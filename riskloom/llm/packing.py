@@ -85,7 +85,7 @@ class PieceIds(dict):
         marked = [p for p in pieces if p[-1:] in _MARKS and p[-2:-1].isalnum()]
         stems = {p[:-1] for p in marked} | set(_MARKS) | pieces.difference(marked)
         new = [p for p in stems if p not in self]
-        words = [p for p in new if p.decode().isalpha()]
+        words = [p for p in new if p.isalpha() or not p.isascii() and p.decode().isalpha()]
         for at in range(0, len(words), JOINED):
             self._together(words[at : at + JOINED])
         self._each([p for p in new if p not in self])

@@ -11,7 +11,7 @@ from riskloom.llm import decontaminate, html_text, language_id, line_dedup, near
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {"op5_line_dedup": line_dedup.SQL}
+ORACLE_SQL: dict[str, str] = {"op2_decontamination": decontaminate.SQL, "op5_line_dedup": line_dedup.SQL}
 
 #: Chain of the toxicity query, in order, and the probability from which a document counts as toxic.
 CATEGORIES = ("low_quality", "toxic")
