@@ -35,8 +35,8 @@ from riskloom.roles import (
     SELECTION_METRIC,
     Roles,
 )
-from riskloom.session import stage
-from riskloom.sources.tables import save_model, write_layer, write_record
+from riskloom.session import discard, stage
+from riskloom.sources.tables import read_layer, save_model, write_layer, write_record
 
 MODELS = (BASELINE, LOGISTIC, FOREST, BOOSTING)
 GROUP_KEYS = ["model", "feature_set", "repetition", "fold"]
@@ -108,7 +108,13 @@ def run(
         parts.append(out_of_fold(linear, fold_models))
     parts += [tree_out_of_fold(k, trees, sets, options) for k in (FOREST, BOOSTING) if k in models]
 
-    predictions = stage(reduce(DataFrame.unionByName, parts), "model", "feature_set")
+    # The largest table is written once, to where it is wanted.
+    scored = reduce(DataFrame.unionByName, parts)
+    if target:
+        write_layer(scored, f"{target}/predictions", "model", "feature_set")
+        predictions = read_layer(features.sparkSession, f"{target}/predictions").select(scored.columns)
+    else:
+        predictions = stage(scored, "model", "feature_set")
     per_fold = stage(fold_metrics(predictions, GROUP_KEYS))
     comparison = stage(compare_models(per_fold, {s: len(names[s]) for s in sets}))
     best = select_model(comparison, n_folds * repetitions).first()
@@ -132,7 +138,6 @@ def run(
         spark = features.sparkSession
         write_layer(comparison, f"{target}/comparison")
         write_layer(per_fold, f"{target}/fold_metrics")
-        write_layer(predictions, f"{target}/predictions", "model", "feature_set")
         write_layer(tests, f"{target}/paired_tests")
         if fold_models:
             write_layer(model_table(spark, fold_models), f"{target}/fold_models")
@@ -141,4 +146,6 @@ def run(
         else:
             save_model(final, f"{target}/model")
         write_record(spark, chosen, f"{target}/model_metadata")
+    # What the result does not read any more goes with the plan.
+    discard(folds, *([trees.table] if trees else []))
     return Experiment(comparison, per_fold, predictions, tests, fold_models, linear, chosen, final)

@@ -41,11 +41,23 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._staged_at = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more; tables from elsewhere are left alone."""
+    for table in tables:
+        if path := getattr(table, "_staged_at", None):
+            _delete(table.sparkSession, path)
 
 
 def clear_staged(spark: SparkSession) -> None:
     """Delete what this application staged; call it when no staged table is in use."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, staging_root(spark))
