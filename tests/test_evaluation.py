@@ -200,7 +200,7 @@ def test_capacity_interpolates_the_gain(spark, oof):
     y = np.concatenate([[0], points["captured_share"]])
     want = np.interp([c / 240 for c in capacities], x, y)
     assert got["captured_share"].tolist() == pytest.approx(want.tolist())
-    assert got["found"].tolist() == [round(float(w) * 100) for w in want]
+    assert got["found"].tolist() == [round(float(w) * 80) for w in want]
     assert got["lift"].iloc[0] == 0.0
 
 
