@@ -33,9 +33,6 @@ from riskloom.sources.tables import (
     write_record,
 )
 
-# Models of the registered tree queries: fewer members than the defaults.
-SMALL_TREES = trees.TreeOptions(forest_trees=20, forest_depth=8, boosting_rounds=10)
-
 
 def features(spark, sf_dir):
     return add_features(units(spark, sf_dir), ROLES)
@@ -209,15 +206,15 @@ def decision(spark, sf_dir):
 
 @register("forest_fold_metrics", places=6)
 def forest(spark, sf_dir):
-    design = experiment.tree_design(folds(spark, sf_dir, 1), ROLES, [WITHOUT_GROUP])
-    oof = stage(trees.tree_out_of_fold(trees.FOREST, design, options=SMALL_TREES))
+    design = experiment.tree_design(folds(spark, sf_dir), ROLES)
+    oof = stage(trees.tree_out_of_fold(trees.FOREST, design))
     return fold_metrics(oof, experiment.GROUP_KEYS)
 
 
 @register("boosting_fold_metrics", places=6)
 def boosting(spark, sf_dir):
-    design = experiment.tree_design(folds(spark, sf_dir, 1), ROLES, [WITHOUT_GROUP])
-    oof = stage(trees.tree_out_of_fold(trees.BOOSTING, design, options=SMALL_TREES))
+    design = experiment.tree_design(folds(spark, sf_dir), ROLES)
+    oof = stage(trees.tree_out_of_fold(trees.BOOSTING, design))
     return fold_metrics(oof, experiment.GROUP_KEYS)
 
 

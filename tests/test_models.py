@@ -442,3 +442,33 @@ def test_trees_score_and_persist(spark, folded, tmp_path, kind):
         map(tuple, final.transform(once).select(columns).collect()))
     with pytest.raises(ValueError, match="unknown tree"):
         trees.estimator("stump")
+
+
+@pytest.mark.parametrize("name, kind", [("forest_fold_metrics", trees.FOREST), ("boosting_fold_metrics", trees.BOOSTING)])
+def test_tree_queries_run_the_whole_job(spark, sf_dir, monkeypatch, name, kind):
+    from riskloom.catalog import ENTRIES
+
+    fits = []
+
+    def noted(pipeline, rows):
+        fits.append((pipeline.getStages()[-1], rows))
+        raise InterruptedError
+
+    monkeypatch.setattr(trees.Pipeline, "fit", noted)
+    asked = []
+    whole = trees.tree_out_of_fold
+
+    def asked_for(kind, design, feature_sets=None, options=trees.TreeOptions(), folds=None, **kw):
+        pairs = design.table.select("repetition", "fold").distinct().count() if folds is None else len(folds)
+        asked.append((kind, sorted(feature_sets or design.sets), pairs))
+        return whole(kind, design, feature_sets, options, folds, **kw)
+
+    monkeypatch.setattr(trees, "tree_out_of_fold", asked_for)
+    with pytest.raises(InterruptedError):
+        ENTRIES[name].query(spark, sf_dir)
+    assert asked == [(kind, sorted(feature_sets(ROLES)), 25)]
+    model = fits[0][0]
+    if kind == trees.FOREST:
+        assert (model.getNumTrees(), model.getMaxDepth()) == (300, 30)
+    else:
+        assert model.getMaxIter() == 300
