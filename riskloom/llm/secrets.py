@@ -8,8 +8,9 @@ contexts they fire in and carries them over to tokens they don't reach. Decoding
 line of every whole text, all lines of a batch in step.
 
 Fixed patterns, leftmost and non-overlapping per kind: ``assign``, ``access`` and ``hex`` (PATTERNS). Spans are
-code points, end exclusive. A decoded span is the core of its tokens without quotes and punctuation; spans
-under LEAST characters or overlapping a fixed one are left out, so fixed spans always stay as they are.
+code points, end exclusive. A decoded span is all of its tokens, without the quotes, brackets and closing punctuation at
+its ends. Fixed spans always stay as they are: tokens that touch one are taken out of the decoded span, and what
+is left on either side is a span of its own. Spans under LEAST characters (as in the fixed rule) are left out.
 
 Defined cases: null and empty texts have no spans; rows are scanned one by one, repeated ones alike; without any
 labelled secret in the sample the field tags nothing; an empty table gives an empty table. Only id and
@@ -46,10 +47,11 @@ PLAIN_RUN = 24
 EPOCHS = 60
 RATE = 0.4
 PENALTY = 1e-3
-LEAST = 8
+LEAST = 6
 WORDS_KEPT = 400_000
 B, I, O = 0, 1, 2  # noqa: E741
-_CORE = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_=-])?")
+_BEFORE = "\"'`([{<"
+_BEHIND = "\"'`)]}>,;:."
 _SHAPE = str.maketrans(
     {**{chr(c): "9" for c in range(48, 58)}, **{chr(c): "a" for c in range(97, 123)}, **{chr(c): "A" for c in range(65, 91)}}
 )
@@ -295,8 +297,10 @@ class _WordScores(dict):
         return row
 
 
-def decode(texts: list[str | None], field: Field, words: _WordScores) -> Iterator[tuple[int, int, int]]:
-    """(text number, start, end) of every decoded secret."""
+def decode(
+    texts: list[str | None], field: Field, words: _WordScores, fixed: list[list[tuple[int, int, int]]] | None = None
+) -> Iterator[tuple[int, int, int]]:
+    """(text number, start, end) of every decoded secret, without the tokens that touch a span of ``fixed``."""
     lines, owner = [], []
     for i, text in enumerate(texts):
         for line in text.split("\n") if text else ():
@@ -340,10 +344,21 @@ def decode(texts: list[str | None], field: Field, words: _WordScores) -> Iterato
         while last + 1 < first[n] + lengths[n] and tags[last + 1] == I:
             last += 1
         spans = [m.span() for m in re.finditer(r"\S+", lines[n])]
-        lo, hi = spans[hit - first[n]][0], spans[last - first[n]][1]
-        core = max(_CORE.finditer(lines[n], lo, hi), key=lambda m: m.end() - m.start(), default=None)
-        if core and core.end() - core.start() >= LEAST:
-            yield owner[n], base[n] + core.start(), base[n] + core.end()
+        own = [(a - base[n], e - base[n]) for a, _, e in fixed[owner[n]]] if fixed else []
+        run: list[tuple[int, int]] = []
+        for span in [*spans[hit - first[n] : last - first[n] + 1], None]:
+            if span and all(span[1] <= a or span[0] >= e for a, e in own):
+                run.append(span)
+                continue
+            if run:
+                lo, hi = run[0][0], run[-1][1]
+                while lo < hi and lines[n][lo] in _BEFORE:
+                    lo += 1
+                while lo < hi and lines[n][hi - 1] in _BEHIND:
+                    hi -= 1
+                if hi - lo >= LEAST:
+                    yield owner[n], base[n] + lo, base[n] + hi
+            run = []
 
 
 def _runs(text: str) -> Iterator[tuple[list[str], list[int]]]:
@@ -361,8 +376,8 @@ def _runs(text: str) -> Iterator[tuple[list[str], list[int]]]:
         if own:
             spans = [m.span() for m in re.finditer(r"\S+", line)]
             words = [line[a:b] for a, b in spans]
-            hit = [any(a < y and b > x for x, y in own) for a, b in spans]
-            tags = [O if not h else I if i and hit[i - 1] else B for i, h in enumerate(hit)]
+            hit = [{k for k, (x, y) in enumerate(own) if a < y and b > x} for a, b in spans]
+            tags = [O if not h else I if i and h & hit[i - 1] else B for i, h in enumerate(hit)]
             yes = [i for i, h in enumerate(hit) if h]
             while yes:
                 lo = max(0, yes[0] - AROUND)
@@ -418,10 +433,9 @@ def scan(docs: DataFrame, field: Field, id_column: str = "doc_id", text_column:
             texts = batch.column("text").to_pylist()
             found = [base_spans(t) for t in texts]
             for block in range(0, len(texts), 200):
-                for i, start, end in decode(texts[block : block + 200], field, words):
-                    own = found[block + i]
-                    if all(end <= s or start >= e for s, _, e in own):
-                        own.append((start, 3, end))
+                fixed = found[block : block + 200]
+                for i, start, end in list(decode(texts[block : block + 200], field, words, fixed)):
+                    found[block + i].append((start, 3, end))
             rows = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(own)] for own in found]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, kind)], names=["doc_id", "spans"])
 

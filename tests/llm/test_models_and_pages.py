@@ -212,6 +212,30 @@ def test_field_finds_what_no_pattern_names(make_docs):
         assert own == (["Zk3+9dQpL0x7Rt5/uvWq1A=="] if i == len(texts) - 1 else [])
 
 
+@pytest.mark.parametrize(
+    "line, tags, found",
+    [
+        ("use xK9$mPq2!vR7@nL4 now", "OBO", ["xK9$mPq2!vR7@nL4"]),
+        ("use (\"pa55:w0rd#Trx9%Qm2\"), now", "OBO", ["pa55:w0rd#Trx9%Qm2"]),
+        ("use q7Rt2x now", "OBO", ["q7Rt2x"]),
+        ("at Zk3+9dQpL0x7Rt5 Wq1AuvRt5x7L0.", "OBI", ["Zk3+9dQpL0x7Rt5 Wq1AuvRt5x7L0"]),
+        ("at Zk3+9dQpL0x7Rt5 Wq1AuvRt5x7L0.", "OBB", ["Zk3+9dQpL0x7Rt5", "Wq1AuvRt5x7L0"]),
+        ("token=abcdef1 Wq1AuvRt5x7L0", "BI", ["Wq1AuvRt5x7L0"]),
+    ],
+)
+def test_decoded_spans_stay_whole(monkeypatch, line, tags, found):
+    monkeypatch.setattr(secrets, "viterbi", lambda *_: np.array(["BIO".index(t) for t in "O" + tags]))
+    field = secrets._empty_field()
+    text = "first\n" + line
+    got = secrets.decode([text], field, secrets._WordScores(field), [secrets.base_spans(text)])
+    assert [text[a:b] for _, a, b in got] == found
+
+
+def test_each_labelled_secret_begins_anew():
+    text = "here " + "0f" * 12 + " " + "1e" * 12 + " end"
+    assert [t for _, tags in secrets._runs(text) for t in tags] == [secrets.O, secrets.B, secrets.B, secrets.O]
+
+
 def test_fixed_patterns():
     key = "AKIA" + "Q" * 16
     text = f"ſecret=abcdefg PassWord: 'hunter2x' api-key=zzzzzzz api_key=short {key} {'0f' * 12} token=abcde"
