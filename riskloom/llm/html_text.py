@@ -1,7 +1,8 @@
 """Main text of web pages by minimum-cut labelling of their text blocks.
 
 A page is read into blocks: runs of text between block-level tags, with the open elements around them. Scripts,
-styles, forms, the head, comments in the markup and hidden elements hold no blocks. Each block gets a probability of being content
+styles, forms, the head, comments in the markup and hidden elements hold no blocks; a form around an article or main
+element, or around every block of the page, is not read as a form. Each block gets a probability of being content
 from a logistic model; its costs of either label are the negative logarithms, and they become the capacities to
 the two terminals of a graph. Blocks next to each other in page order are tied, and blocks with the same
 parent or grandparent element more strongly the closer they are in the tree: cutting a tie costs its weight.
@@ -37,7 +38,9 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import map_arrow
 
 # Fixed values of the markup language.
-SILENT = frozenset("script style template noscript head title form svg canvas iframe object select textarea button math audio video".split())
+SILENT = frozenset("script style template noscript head title svg iframe select textarea button audio video".split())
+#: Further forms of a formula beside the one that is shown; they do not end a block.
+UNSHOWN = frozenset(("annotation", "annotation-xml"))
 RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -57,6 +60,14 @@ HINTS = frozenset(
     disclaimer search complementary contentinfo""".split()
 )
 
+#: Hints that hold for an article inside the element too: each comment or teaser may be an article of its own.
+LASTING = frozenset(
+    """sidebar related recommended recommendations more trending comment comments reply replies respond discussion
+    disqus""".split()
+)
+#: Names that speak for boilerplate on an article itself.
+CARDS = HINTS | {"teaser", "teasers"}
+
 SAMPLE = 2_000
 EPOCHS = 300
 RATE = 0.5
@@ -82,6 +93,9 @@ class Element:
     content: bool
     hints: int
     children: int = 0
+    lasting: int = 0
+    form: Element | None = None
+    wraps: bool = False
 
 
 @dataclass
@@ -90,16 +104,19 @@ class Block:
     linked: int
     element: Element
     parts: list[str] = field(default_factory=list)
+    form: Element | None = None
 
 
-def _names(attributes: str) -> tuple[list[str], bool]:
-    """Words of class, id and role; whether the element is hidden."""
+def _names(attributes: str, article: bool = False) -> tuple[list[str], bool]:
+    """Words of class, id and role; whether the element is hidden. The topics an article is filed under do not count."""
     names, hidden = [], False
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if key in ("class", "id", "role", "aria-label"):
             for one in value.split():
                 words = _NAME.findall(one)
+                if article and len(words) > 1 and words[0] in ("tag", "category"):
+                    continue
                 if not _ABOUT.intersection(words):  # "with-sidebar" is about another element
                     names += words
         elif key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "")):
@@ -109,6 +126,22 @@ def _names(attributes: str) -> tuple[list[str], bool]:
     return names, hidden
 
 
+def _outside_forms(blocks: list[Block]) -> list[Block]:
+    """The blocks in no form, but for forms that wrap the page's text."""
+
+    def forms(block: Block) -> list[Element]:
+        found, form = [], block.form
+        while form is not None:
+            found.append(form)
+            form = form.parent.form
+        return found
+
+    around = [forms(b) for b in blocks]
+    if blocks and all(around) and all(a[-1] is around[0][-1] for a in around):
+        around[0][-1].wraps = True
+    return [b for b, a in zip(blocks, around) if all(f.wraps for f in a)]
+
+
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order."""
     root = Element("", None, False, False, False, 0)
@@ -122,7 +155,7 @@ def blocks_of(page: str) -> list[Block]:
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
             home = next(e for e in reversed(stack) if e.tag in BLOCKS or e.parent is None)
-            blocks.append(Block(text, min(linked, len(text)), home))
+            blocks.append(Block(text, min(linked, len(text)), home, form=stack[-1].form))
         parts.clear()
         linked = 0
 
@@ -136,6 +169,8 @@ def blocks_of(page: str) -> list[Block]:
     def close(tag: str) -> None:
         nonlocal depth_a
         while len(stack) > 1:
+            if stack[-1].tag == "form":
+                flush()
             gone = stack.pop()
             if gone.tag == "a":
                 depth_a -= 1
@@ -154,14 +189,14 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         if m[1]:  # end tag
-            if tag in BLOCKS or tag in SILENT:
+            if tag in BLOCKS or tag in SILENT or tag == "form":
                 flush()
             if any(e.tag == tag for e in stack):
                 close(tag)
             continue
         if tag == "br":
             add("\n")
-        if tag in BLOCKS or tag in SILENT:
+        if tag in BLOCKS or tag in SILENT or tag == "form":
             flush()
             if tag in CLOSES_P:  # an open paragraph ends here, with the inline tags in it
                 for e in reversed(stack):
@@ -180,17 +215,31 @@ def blocks_of(page: str) -> list[Block]:
                         break
         if tag in VOID:
             continue
-        names, hidden = _names(m[3] or "") if m[3] else ([], False)
+        names, hidden = _names(m[3], tag == "article") if m[3] else ([], False)
         top = stack[-1]
         top.children += 1
         element = Element(
             tag,
             top,
-            top.silent or tag in SILENT or hidden,
+            top.silent or tag in SILENT or tag in UNSHOWN or hidden,
             top.boilerplate or tag in BOILERPLATE,
             top.content or tag in CONTENT,
-            0 if tag in CONTENT or tag in ("html", "body") else top.hints + any(n in HINTS for n in names),
+            top.hints + any(n in HINTS for n in names),
+            lasting=top.lasting + any(n in LASTING for n in names),
+            form=top.form,
         )
+        if tag == "article":
+            element.hints = top.lasting + any(n in CARDS for n in names)
+            element.lasting = top.lasting + any(n in CARDS for n in names)
+        elif tag in ("main", "html", "body"):
+            element.hints = element.lasting = 0
+        if tag == "form":
+            element.form = element
+        elif tag in CONTENT and not (element.hints or element.boilerplate or element.silent):
+            form = element.form
+            while form is not None:
+                form.wraps = True
+                form = form.parent.form
         # A heading block of an article is content, not page furniture.
         if tag == "header" and top.content:
             element.boilerplate = top.boilerplate
@@ -203,7 +252,7 @@ def blocks_of(page: str) -> list[Block]:
             end = re.compile(rf"</{tag}\b", re.I).search(page, at)
             at = end.start() if end else len(page)
     flush()
-    return blocks
+    return _outside_forms(blocks)
 
 
 FEATURES = ("bias", "log_words", "link_share", "ends_sentence", "comma_rate", "word_length", "heading", "list_item", "paragraph", "digits", "short")
@@ -245,7 +294,8 @@ def train_weights(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
 
 
 def evidence(block: Block) -> float:
-    """Log-odds from explicit elements and names. Names count from the innermost article or main element on."""
+    """Log-odds from explicit elements and names. Names count from the innermost article or main element on,
+    the article's own included, and LASTING ones from outside an article as well."""
     e = block.element
     if e.boilerplate or e.hints:
         return -ELEMENT_EVIDENCE * e.boilerplate - HINT_EVIDENCE * min(e.hints, 2)

@@ -332,3 +332,44 @@ def test_page_edges(spark):
     assert html_text.extract(rows, weights, ["page_id"]).count() == 3
     deep = "<div>" * 3000 + "<p>" + "word, " * 300 + "</p>"
     assert re.match("word, word", html_text.main_text(deep, weights))
+
+
+STORY = "<article class='post tag-legal'><h1>A title of it</h1><p>First paragraph, which is long enough, ends here.</p>{}</article>"
+STORY_TEXT = "A title of it\n\nFirst paragraph, which is long enough, ends here."
+LONG = "<p>I liked this a lot, thank you very much, it is a great text, and a long one.</p>"
+
+
+@pytest.mark.parametrize(
+    "rest",
+    [
+        f"<div id='comments'><article class='comment'>{LONG}</article><article>{LONG}</article></div>",
+        f"<div class='related'><article class='card'>{LONG}</article></div>",
+        f"<aside class='sidebar'><div><article>{LONG}</article></div></aside>",
+        f"<article class='teaser'>{LONG}</article>",
+        f"<article class='comment'><article>{LONG}</article></article>",
+    ],
+)
+def test_articles_that_are_not_the_main_text(rest):
+    weights = np.array(html_text.PRIOR)
+    assert html_text.main_text(STORY.format("") + rest, weights) == STORY_TEXT
+    assert html_text.main_text(STORY.format(rest), weights) == STORY_TEXT
+    wrapped = f"<body class='sidebar'><div class='widget promo'>{STORY.format('')}</div>{rest}"
+    assert html_text.main_text(wrapped, weights) == STORY_TEXT
+
+
+def test_text_of_formulas_fallbacks_and_wrapping_forms():
+    weights = np.array(html_text.PRIOR)
+    formula = "<p>We know, as said before, that <math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></semantics></math> holds.</p>"
+    shown = "We know, as said before, that x=1 holds."
+    assert html_text.main_text(STORY.format(formula), weights) == f"{STORY_TEXT}\n\n{shown}"
+    for tag in ("object", "canvas"):
+        assert html_text.main_text(STORY.format(f"<{tag}><p>The drawing shows a house, a tree and a river.</p></{tag}>"), weights) == (
+            STORY_TEXT + "\n\nThe drawing shows a house, a tree and a river."
+        )
+    for form in ("<p>Skip</p><form id='all'>{}</form>", "<body><form>{}</form></body>"):
+        assert STORY_TEXT in html_text.main_text(form.format(STORY.format("")), weights)
+    plain = STORY.format("").replace("article", "div").replace(" tag-legal", "")
+    assert html_text.main_text(f"<body><form>{plain}</form></body>", weights) == STORY_TEXT
+    mail = "<form><p>Leave your name, your address and your question here.</p></form>"
+    assert html_text.main_text(STORY.format(mail), weights) == STORY_TEXT
+    assert html_text.main_text(f"<span><form>{LONG}</span>" + STORY.format(""), weights) == STORY_TEXT
