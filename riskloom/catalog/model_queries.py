@@ -181,9 +181,7 @@ def coefficients(spark, sf_dir):
 
 
 def _experiment(spark, sf_dir):
-    return experiment.run(
-        features(spark, sf_dir), ROLES, models=(linear.BASELINE, linear.LOGISTIC)
-    )
+    return experiment.run(features(spark, sf_dir), ROLES)
 
 
 @register("experiment_comparison", places=6)

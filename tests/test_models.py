@@ -472,3 +472,16 @@ def test_tree_queries_run_the_whole_job(spark, sf_dir, monkeypatch, name, kind):
         assert (model.getNumTrees(), model.getMaxDepth()) == (300, 30)
     else:
         assert model.getMaxIter() == 300
+
+
+@pytest.mark.parametrize("name", ["experiment_comparison", "experiment_paired_tests", "decision_record"])
+def test_registered_experiment_is_whole(spark, sf_dir, monkeypatch, name):
+    from riskloom.catalog import ENTRIES
+
+    def noted(features, roles, models=experiment.MODELS, sets=None, n_folds=5, repetitions=5, options=trees.TreeOptions()):
+        assert (tuple(models), sets, n_folds, repetitions, options) == (experiment.MODELS, None, 5, 5, trees.TreeOptions())
+        raise InterruptedError
+
+    monkeypatch.setattr(experiment, "run", noted)
+    with pytest.raises(InterruptedError):
+        ENTRIES[name].query(spark, sf_dir)
