@@ -312,30 +312,48 @@ def matches(index: DataFrame, items: DataFrame, width: int = WORDS, **columns) -
     )
 
 
-def proximity(index: DataFrame, phrases: dict[str, str], slop: int) -> DataFrame:
-    """(name, doc_id, first, last): the words of each phrase in order, within its length plus ``slop`` words.
+def proximity(index: DataFrame, items: DataFrame | dict[str, str], slop: int, width: int = WORDS, **columns) -> DataFrame:
+    """(name, doc_id, first, last): the words of each window in order, within its length plus ``slop`` words.
 
-    ``phrases`` is a stated, small set of query texts.
+    ``items`` is a table of test items, cut into windows and sent in blocks as in ``matches`` (``name`` is the item, each
+    place of an item counts once), or a stated, small set of query texts by name, each taken whole.
     """
-    known = WordHashes()
-    wanted = {name: known.of(words_of(text.encode())) for name, text in phrases.items()}
     kind = index.schema["ids"].dataType.elementType.simpleString()
+    if isinstance(items, dict):
+        known = WordHashes()
+        hashes = [known.of(words_of(text.encode())) for text in items.values()]
+        grid = np.zeros((len(hashes), max([len(h) for h in hashes], default=0)), np.uint64)
+        for i, h in enumerate(hashes):
+            grid[i, : len(h)] = h
+        blocks = [(grid, np.array([len(h) for h in hashes], np.int64), [[name] for name in items])]
+    else:
+        blocks = window_blocks(items, width, **columns)
+    results = None
+    for grid, sizes, names in blocks:
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            id_type = batch.schema.field("ids").type.value_type
-            out = []
-            for row in batch.to_pylist():
-                segment = Segment(row)
-                for name, window in wanted.items():
-                    for first, last in segment.near(window, slop) if len(window) else ():
-                        d = int(segment.document(np.array([first]))[0])
-                        base = int(segment.bases[d])
-                        out.append({"name": name, "doc_id": segment.ids[d], "first": first - base, "last": last - base})
-            schema = pa.schema([("name", pa.string()), ("doc_id", id_type), ("first", pa.int64()), ("last", pa.int64())])
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
-
-    return map_arrow(index, search, f"name string, doc_id {kind}, first bigint, last bigint")
+        def search(batches: Iterator[pa.RecordBatch], grid=grid, sizes=sizes, names=names) -> Iterator[pa.RecordBatch]:
+            used = np.arange(grid.shape[1]) < sizes[:, None]
+            for batch in batches:
+                id_type = batch.schema.field("ids").type.value_type
+                place = [("first", pa.int64()), ("last", pa.int64()), ("segment", pa.int64()), ("ordinal", pa.int32())]
+                schema = pa.schema([("name", pa.string()), ("doc_id", id_type), *place])
+                for row in batch.to_pylist():
+                    segment = Segment(row)
+                    term = segment.find(grid)
+                    out = []
+                    for w in np.flatnonzero(((term >= 0) | ~used).all(axis=1) & (sizes > 0)).tolist():
+                        for first, last in segment.near(grid[w, : sizes[w]], slop):
+                            d = int(segment.document(np.array([first]))[0])
+                            base = int(segment.bases[d])
+                            found = {"doc_id": segment.ids[d], "first": first - base, "last": last - base}
+                            found |= {"segment": row["segment"], "ordinal": d}
+                            out += [{"name": name, **found} for name in names[w]]
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+        found = map_arrow(index, search, f"name string, doc_id {kind}, first bigint, last bigint, segment bigint, ordinal int")
+        results = found if results is None else results.unionByName(found)
+    # Documents of one id stay apart; windows of an item that share a place meet.
+    return results.distinct().drop("segment", "ordinal")
 
 
 def _covered(spans):

@@ -78,6 +78,39 @@ def test_proximity_follows_words_in_order(make_docs):
     assert found == {(0, 1, 3), (1, 0, 1)}
 
 
+def brute_proximity(texts, items, slop, width):
+    found = set()
+    for name, t in items:
+        w = terms(t)
+        for window in [w[i : i + width] for i in range(max(1, len(w) - width + 1))] if w else ():
+            for d, text in enumerate(texts):
+                own = terms(text)
+                for first in range(len(own)):
+                    for last in range(first, min(len(own), first + len(window) + slop)):
+                        inner = iter(own[first : last + 1])
+                        if own[first] == window[0] and all(x in inner for x in window):
+                            found.add((str(name) if name is not None else "null", d, first, last))
+                            break
+    return found
+
+
+@pytest.mark.parametrize("block", [100_000, 5])
+def test_proximity_of_a_table_of_items(spark, make_docs, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(rng.randint(0, 25))) for _ in range(40)] + [None, "", "A, b! c"]
+    items = [(i, " ".join(rng.choice("abcdefz") for _ in range(n))) for i, n in enumerate([1, 2, 3, 4, 6, 9, 9])]
+    items += [(None, "a b c"), (20, ""), (21, None), (22, "c a a c"), (22, "c a a c")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for parts in (1, 5):
+        index = decontaminate.build_index(make_docs(texts).repartition(parts))
+        for slop in (0, 3):
+            rows = decontaminate.proximity(index, table, slop, width=4).collect()
+            got = [(r.name, r.doc_id, r.first, r.last) for r in rows]
+            assert len(got) == len(set(got)) and set(got) == brute_proximity(texts, items, slop, 4)
+    assert decontaminate.proximity(index, table.limit(0), 2).count() == 0
+
+
 # --------------------------------------------------------------------------- near duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
