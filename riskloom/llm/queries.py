@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, html_text, language_id, line_dedup, near_dup, packing, quality_rules, secrets, suffix_dedup, toxicity
+from riskloom.llm import decontaminate, fill_middle, html_text, language_id, line_dedup, near_dup, packing, quality_rules, secrets, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,3 +129,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.restore(fill_middle.transform(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
