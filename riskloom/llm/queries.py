@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, fill_middle, html_text, language_id, line_dedup, near_dup, packing, quality_rules, secrets, suffix_dedup, toxicity
+from riskloom.llm import decontaminate, fill_middle, html_text, language_id, line_dedup, manifest, near_dup, packing, quality_rules, secrets, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,3 +137,22 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.restore(fill_middle.transform(table(spark, sf_dir, "documents")))
     digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, and a later state of the table checked against it: every fifth text or so in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    made = manifest.manifest(docs, changed={"text": F.when(tampered, lowered).otherwise(F.col("text"))})
+    checked = made.withColumn("folded_root", manifest.folded(F.col("found"), F.col("at"), F.col("siblings")))
+    return checked.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof(F.col("siblings")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
