@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, fill_middle, html_text, language_id, line_dedup, manifest, near_dup, packing, quality_rules, secrets, suffix_dedup, toxicity
+from riskloom.llm import (
+    decontaminate,
+    fill_middle,
+    fingerprints,
+    html_text,
+    language_id,
+    line_dedup,
+    manifest,
+    near_dup,
+    packing,
+    quality_rules,
+    secrets,
+    suffix_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,6 +153,11 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+@query
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest, and a later state of the table checked against it: every fifth text or so in lower case."""
