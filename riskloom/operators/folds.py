@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import label01
@@ -12,6 +14,33 @@ from riskloom.roles import DEFAULT_ROLES, N_FOLDS, N_REPETITIONS, SEED, Roles
 _PREFIX_VALUES = 65_536  # four hexadecimal digits
 
 
+def _ranked(df: DataFrame, roles: Roles, repetitions: int, seed: int, once: bool) -> DataFrame:
+    """``__unit`` (all columns) and ``__key`` (its id) with ``__place`` (from 0) within repetition and outcome.
+
+    There is a row for each repetition; with ``once`` only that of the first one holds the unit.
+
+    Within a repetition and outcome, units are ranked by md5(seed-repetition-id). The leading hash digits cut
+    the ranking into equal parts, hence no task ever sees a whole outcome class, and ranks do not depend on
+    partitioning. Rows that share an id follow a hash of all they hold.
+    """
+    buckets = min(bucket_count(df.sparkSession), _PREFIX_VALUES)
+    dealt = df.select(
+        label01(roles.label).alias("y"),
+        F.struct(*df.columns).alias("__unit"),
+        F.xxhash64(*df.columns).alias("__row"),
+        F.col(roles.unit_id).alias("__key"),
+        F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))).alias("repetition"),
+    )
+    if once:
+        dealt = dealt.withColumn("__unit", F.when(F.col("repetition") == 0, F.col("__unit")))
+    name = F.concat_ws("-", F.lit(str(seed)), F.col("repetition").cast("string"), F.col("__key").cast("string"))
+    dealt = dealt.withColumns({"__hash": F.concat(F.md5(name), F.hex("__row")), "__one": F.lit(1).cast("bigint")})
+    prefix = F.conv(F.substring("__hash", 1, 4), 16, 10).cast("bigint")
+    bucket = F.floor(prefix * buckets / F.lit(_PREFIX_VALUES)).cast("int")
+    ranked = running_totals(dealt, ["repetition", "y"], "__hash", ["__one"], bucket=bucket)
+    return ranked.withColumn("__place", F.col("cum___one") - 1).drop("__hash", "__one", "cum___one", "tot___one")
+
+
 def assign_folds(
     df: DataFrame,
     roles: Roles = DEFAULT_ROLES,
@@ -21,43 +50,53 @@ def assign_folds(
 ) -> DataFrame:
     """Every row once per repetition with its ``fold`` and 0/1 outcome ``y``.
 
-    Within a repetition and outcome, units are ranked by md5(seed-repetition-id) and
-    dealt to the folds in turn, so fold sizes differ by at most one per outcome. The
-    leading hash digits cut the ranking into equal parts, hence no task ever sees a
-    whole outcome class, and the folds do not depend on partitioning.
+    Ranked units are dealt to the folds in turn, so fold sizes differ by at most one per outcome.
     """
-    buckets = min(bucket_count(df.sparkSession), _PREFIX_VALUES)
-    dealt = (
-        df.withColumns(
-            {
-                "y": label01(roles.label),
-                "repetition": F.explode(F.sequence(F.lit(0), F.lit(repetitions - 1))),
-            }
-        )
-        .withColumns(
-            {
-                # Rows that share an id are dealt in the order of a hash of all they hold.
-                "__hash": F.concat(
-                    F.md5(
-                        F.concat_ws(
-                            "-",
-                            F.lit(str(seed)),
-                            F.col("repetition").cast("string"),
-                            F.col(roles.unit_id).cast("string"),
-                        )
-                    ),
-                    F.hex(F.xxhash64(*df.columns)),
-                ),
-                "__one": F.lit(1).cast("bigint"),
-            }
-        )
+    ranked = _ranked(df, roles, repetitions, seed, once=False)
+    fold = (F.col("__place") % n_folds).cast("int").alias("fold")
+    own = [F.col("__unit")[c].alias(c) for c in df.columns if c not in ("y", "repetition", "fold")]
+    return ranked.select(*own, "y", "repetition", fold)
+
+
+def fold_vectors(
+    df: DataFrame,
+    roles: Roles = DEFAULT_ROLES,
+    n_folds: int = N_FOLDS,
+    repetitions: int = N_REPETITIONS,
+    seed: int = SEED,
+) -> DataFrame:
+    """Every row once with ``y`` and ``folds``, its fold of each repetition: the folds of ``assign_folds``.
+
+    Only the first repetition carries the row itself through the ranking; the others move id and hash. Equal rows are
+    neighbours in every ranking, so their places follow from the first one and their number.
+    """
+    ranked = _ranked(df, roles, repetitions, seed, once=True)
+    starts = [F.min(F.when(F.col("repetition") == r, F.col("__place"))).alias(f"__s{r}") for r in range(repetitions)]
+    per_unit = ranked.groupBy("__key", "__row", "y").agg(
+        F.any_value("__unit", True).alias("__unit"), F.count_if(F.col("repetition") == 0).alias("__n"), *starts
     )
-    prefix = F.conv(F.substring("__hash", 1, 4), 16, 10).cast("bigint")
-    bucket = F.floor(prefix * buckets / F.lit(_PREFIX_VALUES)).cast("int")
-    ranked = running_totals(dealt, ["repetition", "y"], "__hash", ["__one"], bucket=bucket)
-    return ranked.withColumn(
-        "fold", ((F.col("cum___one") - 1) % n_folds).cast("int")
-    ).drop("__hash", "__one", "cum___one", "tot___one")
+    copies = per_unit.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1)))
+    folds = F.array(*[((F.col(f"__s{r}") + F.col("__copy")) % n_folds).cast("int") for r in range(repetitions)])
+    own = [F.col("__unit")[c].alias(c) for c in df.columns if c not in ("y", "folds")]
+    return copies.select(*own, "y", folds.alias("folds"))
+
+
+def gathered_folds(folds: DataFrame, unit_columns: Sequence[str]) -> DataFrame:
+    """The rows of ``assign_folds`` brought to one per unit with ``folds``; units are told apart by ``unit_columns``."""
+    pairs = F.sort_array(F.collect_list(F.struct("repetition", "fold")))
+    per_unit = folds.groupBy(*unit_columns).agg(pairs.alias("__pairs"))
+    n = F.size("__pairs") / F.size(F.array_distinct(F.col("__pairs")["repetition"]))
+    copies = per_unit.withColumn("__n", n.cast("int")).withColumn(
+        "__copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))
+    )
+    own = F.filter(F.col("__pairs"), lambda _, i: i % F.col("__n") == F.col("__copy"))
+    return copies.select(*unit_columns, own["fold"].alias("folds"))
+
+
+def by_repetition(vectors: DataFrame) -> DataFrame:
+    """One row per unit and repetition, from a table with fold vectors: nothing is written for it."""
+    others = [c for c in vectors.columns if c != "folds"]
+    return vectors.select(F.posexplode("folds").alias("repetition", "fold"), *others)
 
 
 def fold_balance(folds: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import sigmoid
 from riskloom.operators.design import Term
+from riskloom.operators.folds import by_repetition, gathered_folds
 from riskloom.roles import DEFAULT_ROLES, Roles
 from riskloom.session import stage
 
@@ -118,11 +119,16 @@ def read_models(table: DataFrame) -> list[LinearModel]:
 
 @dataclass(frozen=True)
 class Design:
-    """Staged model inputs: repetition, fold, unit_id, y, and one column per distinct term."""
+    """Model inputs: one column per distinct term.
+
+    ``units`` is staged, one row per unit: unit_id, y, folds (one fold per repetition) and the terms. ``table`` is the
+    same with a row per repetition and fold, spread out while it is read.
+    """
 
     table: DataFrame
     terms: tuple[Term, ...]
     sets: dict[str, tuple[Term, ...]]
+    units: DataFrame
 
     def column(self, term: Term) -> str:
         return f"x{self.terms.index(term)}"
@@ -131,14 +137,20 @@ class Design:
 def build_design(
     folds: DataFrame, sets: dict[str, Sequence[Term]], roles: Roles = DEFAULT_ROLES
 ) -> Design:
-    """Evaluate all terms of all sets once and write them; passes then read only numbers."""
+    """Evaluate all terms of all sets once and write one row per unit; passes then read only numbers.
+
+    ``folds`` has the fold vectors of ``fold_vectors``, or the rows of ``assign_folds``, which are gathered.
+    """
     terms = tuple(dict.fromkeys(t for chosen in sets.values() for t in chosen))
     columns = [t.column().alias(f"x{i}") for i, t in enumerate(terms)]
-    table = folds.select(
-        "repetition", "fold", F.col(roles.unit_id).alias("unit_id"), "y", *columns
-    )
-    # Partitioned, because all-rows fits and tree fits read a single repetition.
-    return Design(stage(table, "repetition"), terms, {k: tuple(v) for k, v in sets.items()})
+    unit = [F.col(roles.unit_id).alias("unit_id"), "y", *columns]
+    names = ["unit_id", "y", *[f"x{i}" for i in range(len(terms))]]
+    if "folds" in folds.columns:
+        units = folds.select(*unit, "folds")
+    else:
+        units = gathered_folds(folds.select(*unit, "repetition", "fold"), names)
+    units = stage(units.select("unit_id", "folds", *names[1:]))
+    return Design(by_repetition(units), terms, {k: tuple(v) for k, v in sets.items()}, units)
 
 
 @dataclass
@@ -212,9 +224,6 @@ class Problem:
     done: bool = False
     halvings: int = field(default=0)
 
-    def takes(self, repetition: int, fold: int) -> bool:
-        return self.repetition == repetition and self.fold != fold
-
 
 def _partial_sums(
     batches: Iterator[pd.DataFrame], problems: list[tuple[int, Problem]], width: int, slots: int
@@ -225,25 +234,21 @@ def _partial_sums(
     for batch in batches:
         values = batch[names].to_numpy(dtype=float)
         outcome = batch["y"].to_numpy(dtype=float)
-        repetitions, folds = batch["repetition"].to_numpy(), batch["fold"].to_numpy()
-        for repetition, fold in sorted(set(zip(repetitions.tolist(), folds.tolist()))):
-            rows = (repetitions == repetition) & (folds == fold)
+        folds = np.stack(batch["folds"].to_list()) if len(batch) else np.zeros((0, 1))
+        for index, problem in problems:
+            # A problem that leaves no fold out takes every row.
+            rows = folds[:, problem.repetition] != problem.fold
             x, y = values[rows], outcome[rows]
-            for index, problem in problems:
-                if not problem.takes(repetition, fold):
-                    continue
-                z = np.empty((len(y), len(problem.columns) + 1))
-                z[:, 0] = 1.0
-                z[:, 1:] = (x[:, problem.columns] - problem.centre) / problem.scale
-                eta = z @ problem.weights
-                tail = np.exp(-np.abs(eta))
-                p = np.where(eta >= 0, 1.0, tail) / (1.0 + tail)
-                loss = np.sum(np.log1p(tail) + np.maximum(eta, 0.0) - y * eta)
-                hessian = (z * (p * (1.0 - p))[:, None]).T @ z
-                flat = np.concatenate(
-                    ([loss], z.T @ (p - y), hessian[np.triu_indices(z.shape[1])])
-                )
-                sums[index][: len(flat)] += flat
+            z = np.empty((len(y), len(problem.columns) + 1))
+            z[:, 0] = 1.0
+            z[:, 1:] = (x[:, problem.columns] - problem.centre) / problem.scale
+            eta = z @ problem.weights
+            tail = np.exp(-np.abs(eta))
+            p = np.where(eta >= 0, 1.0, tail) / (1.0 + tail)
+            loss = np.sum(np.log1p(tail) + np.maximum(eta, 0.0) - y * eta)
+            hessian = (z * (p * (1.0 - p))[:, None]).T @ z
+            flat = np.concatenate(([loss], z.T @ (p - y), hessian[np.triu_indices(z.shape[1])]))
+            sums[index][: len(flat)] += flat
     indices = np.fromiter(sums, dtype=np.int32)
     yield pd.DataFrame(
         {
@@ -259,10 +264,8 @@ def _evaluate(design: Design, open_problems: list[tuple[int, Problem]]) -> dict[
     width = len(design.terms)
     size = max(len(p.columns) for _, p in open_problems) + 1
     slots = 1 + size + size * (size + 1) // 2
-    needed = sorted({p.repetition for _, p in open_problems})
-    rows = design.table.filter(F.col("repetition").isin(needed)).drop("unit_id")
     summed = (
-        rows.mapInPandas(
+        design.units.drop("unit_id").mapInPandas(
             lambda it: _partial_sums(it, open_problems, width, slots),
             "problem int, slot int, value double",
         )
@@ -336,7 +339,7 @@ def _as_model(design: Design, problem: Problem) -> LinearModel:
 
 
 def fit_all_rows(design: Design, moments: dict | None = None) -> dict[str, LinearModel]:
-    """One model per feature set on all rows (those of the first repetition)."""
+    """One model per feature set on all rows."""
     moments = moments or fold_moments(design)
     problems = [
         _problem(design, s, 0, ALL_FOLDS, training_moments(moments, 0, ALL_FOLDS), None)
