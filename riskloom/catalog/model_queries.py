@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.catalog.inputs import ROLES, predictions, units, units_dirty, units_repeated
@@ -12,10 +14,10 @@ from riskloom.catalog.mart_queries import FEATURES
 from riskloom.catalog.quality_queries import RAW_RULES, REPEATED_SQL
 from riskloom.catalog.quality_queries import _rules as rules_sql
 from riskloom.catalog.registry import register
-from riskloom.operators import explain, importance, linear, serving, trees
+from riskloom.operators import ensembles, explain, importance, linear, serving, trees
 from riskloom.operators.design import FLAG, NUMBER, WITH_DERIVED, WITHOUT_GROUP, Term
 from riskloom.operators.features import add_features
-from riskloom.operators.folds import assign_folds, fold_balance
+from riskloom.operators.folds import assign_folds, by_repetition, fold_balance, fold_vectors
 from riskloom.operators.metrics import fold_metrics
 from riskloom.plans import experiment, mart
 from riskloom.plans.evaluation import evaluate
@@ -39,7 +41,8 @@ def features(spark, sf_dir):
 
 
 def folds(spark, sf_dir, repetitions=5):
-    return stage(assign_folds(features(spark, sf_dir), ROLES, repetitions=repetitions))
+    """Units with their fold vectors, staged."""
+    return stage(fold_vectors(features(spark, sf_dir), ROLES, repetitions=repetitions))
 
 
 FOLDS_SQL = f"""with features as ({FEATURES}),
@@ -202,18 +205,21 @@ def decision(spark, sf_dir):
     return spark.createDataFrame([tuple(record.values())], list(record))
 
 
+def _scored_parts(parts):
+    """The scores of all feature sets, staged."""
+    return stage(reduce(DataFrame.unionByName, parts))
+
+
 @register("forest_fold_metrics", places=6)
 def forest(spark, sf_dir):
     design = experiment.tree_design(folds(spark, sf_dir), ROLES)
-    oof = stage(trees.tree_out_of_fold(trees.FOREST, design))
-    return fold_metrics(oof, experiment.GROUP_KEYS)
+    return fold_metrics(_scored_parts(ensembles.out_of_fold(trees.FOREST, design)), experiment.GROUP_KEYS)
 
 
 @register("boosting_fold_metrics", places=6)
 def boosting(spark, sf_dir):
     design = experiment.tree_design(folds(spark, sf_dir), ROLES)
-    oof = stage(trees.tree_out_of_fold(trees.BOOSTING, design))
-    return fold_metrics(oof, experiment.GROUP_KEYS)
+    return fold_metrics(_scored_parts(ensembles.out_of_fold(trees.BOOSTING, design)), experiment.GROUP_KEYS)
 
 
 # --------------------------------------------------------------------------- given model
@@ -521,6 +527,117 @@ def boosting_stump(spark, sf_dir):
     return oof.select("repetition", "fold", "unit_id", "y", "p")
 
 
+#: The units that a fit reads, and their training rates outside each fold.
+FIT_SQL = FOLDS_SQL.replace(
+    "\nfinal ",
+    f""",
+sample as (select unit_id from (select unit_id, row_number() over (order by md5('42-fit-' || unit_id)) as place from features)
+  where place <= {STUMP.fit_rows}),
+counted as (select repetition, fold, age <= 1 as young, count(*) as n, sum(y) as pos from folds
+  where unit_id in (select unit_id from sample) group by repetition, fold, age <= 1),
+fits as (select a.repetition, a.fold, a.young, sum(b.n) filter (where b.young = a.young) * 1e0 as n,
+    sum(b.pos) filter (where b.young = a.young) * 1e0 as pos, sum(b.pos) * 1e0 / sum(b.n) as rate
+  from (select distinct f.repetition, f.fold, v.young from counted f, (values (true), (false)) as v(young)) a
+  join counted b on a.repetition = b.repetition and a.fold <> b.fold group by a.repetition, a.fold, a.young),
+round_1 as (select *, ln(rate / (1e0 - rate)) - 0.05e0 * (n * rate - pos) / (n * rate * (1e0 - rate) + 1e0) as m1 from fits),
+round_2 as (select *, 1e0 / (1e0 + exp(-m1)) as p1 from round_1),
+boosted as (select *, 1e0 / (1e0 + exp(-(m1 - 0.05e0 * (n * p1 - pos) / (n * p1 * (1e0 - p1) + 1e0)))) as p2 from round_2)
+final """,
+)
+
+
+def _fit_sql(p: str) -> str:
+    return FIT_SQL + f"""select f.repetition, f.fold, f.unit_id, f.y, {p} as p from folds f
+  join boosted r on f.repetition = r.repetition and f.fold = r.fold and (f.age <= 1) = r.young"""
+
+
+def _out_of_fold(spark, sf_dir, kind, options):
+    oof = ensembles.out_of_fold(kind, _stump_design(spark, sf_dir), ["flag"], options)[0]
+    return oof.select("repetition", "fold", "unit_id", "y", "p")
+
+
+@register("forest_tree_out_of_fold", _fit_sql("r.pos / r.n"), "p")
+def forest_tree(spark, sf_dir):
+    """One unsampled tree of depth one: the rate of the training rows on its side."""
+    return _out_of_fold(spark, sf_dir, trees.FOREST, STUMP)
+
+
+@register("boosting_rounds_out_of_fold", _fit_sql("p2"), "p")
+def boosting_rounds(spark, sf_dir):
+    """Two rounds by gradient and curvature with penalised leaf values."""
+    return _out_of_fold(spark, sf_dir, trees.BOOSTING, replace(STUMP, boosting_rounds=2))
+
+
+#: Rates of the fitted units by the flag, no fold left out.
+FINAL_SQL = f"""with features as ({FEATURES}),
+sample as (select age <= 1 as young, cast(label as integer) as y from
+  (select *, row_number() over (order by md5('42-fit-' || unit_id)) as place from features) where place <= {STUMP.fit_rows}),
+rates as (select young, sum(y) * 1e0 / count(*) as rate from sample group by young)
+final """
+
+
+def _final_tree(spark, sf_dir):
+    return ensembles.fit_final(trees.FOREST, _stump_design(spark, sf_dir), "flag", STUMP)
+
+
+@register(
+    "tree_node_table",
+    FINAL_SQL
+    + """select 0 as tree, 0 as node, 'young' as term, 0.5e0 as threshold, 1 as "left", 2 as "right", cast(null as double) as value
+  union all select 0, case when young then 2 else 1 end, null, null, null, null, rate from rates""",
+    "value",
+)
+def tree_nodes(spark, sf_dir):
+    nodes = ensembles.node_table(spark, _final_tree(spark, sf_dir))
+    return nodes.select("tree", "node", "term", "threshold", "left", "right", "value")
+
+
+@register("tree_model_round_trip", FINAL_SQL + "select unit_id, rate as risk from features join rates on (age <= 1) = young", "risk")
+def tree_round_trip(spark, sf_dir):
+    """A model written as a table of nodes, read again, scores every unit."""
+    path = layer_path(spark)
+    write_layer(ensembles.node_table(spark, _final_tree(spark, sf_dir)), path)
+    model = ensembles.read_ensemble(read_layer(spark, path))
+    return ensembles.scorer(model)(young(features(spark, sf_dir))).select("unit_id", "risk")
+
+
+TREE_IMPORTANCE_SQL = FIT_SQL.replace(
+    "\nfinal ",
+    """,
+tried as (select repetition, fold, unit_id, y, age <= 1 as young, unnest(range(5)) as permutation from folds),
+ring as (select *, md5('42-' || repetition || '-' || permutation || '-' || unit_id) as o from tried),
+moved as (select *, coalesce(lead(young) over w, first_value(young) over w) as nyoung from ring
+  window w as (partition by repetition, fold, permutation order by o, unit_id)),
+scores as (select m.repetition, m.fold, m.permutation, m.y, round(f.pos / f.n, 12) as s from moved m
+    join fits f on m.repetition = f.repetition and m.fold = f.fold and m.nyoung = f.young
+  union all select m.repetition, m.fold, -1, m.y, round(f.pos / f.n, 12) from folds m
+    join fits f on m.repetition = f.repetition and m.fold = f.fold and (m.age <= 1) = f.young),
+ties as (select repetition, fold, permutation, s, sum(y) as pos, count(*) - sum(y) as neg from scores group by repetition, fold, permutation, s),
+below as (select *, sum(neg) over (partition by repetition, fold, permutation order by s) - neg as under from ties),
+auc as (select repetition, fold, permutation, sum(pos * (under + neg / 2e0)) / (sum(pos) * sum(neg)) as auc
+  from below group by repetition, fold, permutation)
+final """,
+)
+
+
+@register(
+    "tree_permutation_importance",
+    TREE_IMPORTANCE_SQL
+    + """select a.repetition, a.fold, 'young' as block, r.auc as reference_auc, r.auc - avg(a.auc) as auc_drop from auc a
+  join auc r on a.repetition = r.repetition and a.fold = r.fold and r.permutation = -1
+  where a.permutation >= 0 group by a.repetition, a.fold, r.auc""",
+    "reference_auc auc_drop",
+    places=6,
+)
+def tree_importance(spark, sf_dir):
+    design = _stump_design(spark, sf_dir)
+    pairs = [(r, f) for r in range(N_REPETITIONS) for f in range(N_FOLDS)]
+    models = ensembles.fit(trees.FOREST, design, "flag", pairs, STUMP)
+    score = ensembles.fold_scorer(spark, models)
+    found = importance.permutation_importance_of(design, score, "flag", {"young": ("young",)})
+    return found.select("repetition", "fold", "block", "reference_auc", "auc_drop")
+
+
 def _stump_scorer(spark, sf_dir):
     design = _stump_design(spark, sf_dir)
     model = trees.fit_final_tree(trees.FOREST, design, "flag", STUMP)
@@ -577,7 +694,7 @@ def optimality(spark, sf_dir):
         rows, "repetition int, left_out int, b0 double, b array<double>, c array<double>, s array<double>"
     )
     # One row of parameters per fold.
-    joined = folds(spark, sf_dir).join(F.broadcast(given), "repetition").filter("fold <> left_out")
+    joined = by_repetition(folds(spark, sf_dir)).join(F.broadcast(given), "repetition").filter("fold <> left_out")
     z = [(t.column() - F.col("c")[i]) / F.col("s")[i] for i, t in enumerate(terms)]
     eta = F.col("b0")
     for i, x in enumerate(z):

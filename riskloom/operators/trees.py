@@ -1,4 +1,4 @@
-"""Tree ensembles over the same folds.
+"""Tree ensembles of the library, one distributed fit over all rows at a time; ``ensembles`` fits many at once.
 
 They are the library's ensembles, which differ from others in two ways that no option reaches: boosting has no
 penalty on leaf values, and columns are sampled for each node, not for each tree. Numeric columns are cut at
@@ -25,14 +25,18 @@ from riskloom.operators.linear import Design
 from riskloom.roles import SEED
 
 FOREST, BOOSTING = "forest", "boosting"
+LIBRARY_DEPTH = 30
 
 
 @dataclass(frozen=True)
 class TreeOptions:
-    """Fixed hyperparameters. The library needs a depth limit for a forest without one: 30 is its largest."""
+    """Fixed hyperparameters. The library needs a depth limit for a forest without one: 30 is its largest.
+
+    ``leaf_penalty``, ``least_curvature`` and ``fit_rows`` (the units that a fit may read) are for ``ensembles``.
+    """
 
     forest_trees: int = 300
-    forest_depth: int = 30
+    forest_depth: int | None = None
     forest_leaf: int = 5
     boosting_rounds: int = 300
     boosting_depth: int = 3
@@ -41,6 +45,9 @@ class TreeOptions:
     bootstrap: bool = True
     bins: int = 256
     seed: int = SEED
+    leaf_penalty: float = 1.0
+    least_curvature: float = 1.0
+    fit_rows: int = 5_000
 
 
 def estimator(kind: str, options: TreeOptions = TreeOptions()):
@@ -48,7 +55,7 @@ def estimator(kind: str, options: TreeOptions = TreeOptions()):
     if kind == FOREST:
         return RandomForestClassifier(
             numTrees=options.forest_trees,
-            maxDepth=options.forest_depth,
+            maxDepth=LIBRARY_DEPTH if options.forest_depth is None else options.forest_depth,
             minInstancesPerNode=options.forest_leaf,
             featureSubsetStrategy="sqrt",
             bootstrap=options.bootstrap,

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
+from riskloom.operators import ensembles
 from riskloom.operators.design import feature_sets, group_levels, terms_for
-from riskloom.operators.folds import assign_folds
+from riskloom.operators.ensembles import Ensemble
+from riskloom.operators.folds import fold_vectors
 from riskloom.operators.linear import (
     BASELINE,
     LOGISTIC,
@@ -26,7 +27,7 @@ from riskloom.operators.linear import (
 )
 from riskloom.operators.metrics import compare_models, fold_metrics, select_model
 from riskloom.operators.stats import paired_tests
-from riskloom.operators.trees import BOOSTING, FOREST, TreeOptions, fit_final_tree, tree_out_of_fold
+from riskloom.operators.trees import BOOSTING, FOREST, TreeOptions
 from riskloom.roles import (
     DEFAULT_ROLES,
     N_FOLDS,
@@ -36,7 +37,7 @@ from riskloom.roles import (
     Roles,
 )
 from riskloom.session import discard, stage
-from riskloom.sources.tables import read_layer, save_model, write_layer, write_record
+from riskloom.sources.tables import read_layer, write_layer, write_record
 
 MODELS = (BASELINE, LOGISTIC, FOREST, BOOSTING)
 GROUP_KEYS = ["model", "feature_set", "repetition", "fold"]
@@ -51,7 +52,7 @@ class Experiment:
     fold_models: list[LinearModel]
     design: Design | None
     chosen: dict[str, object]
-    final: LinearModel | PipelineModel
+    final: LinearModel | Ensemble
 
 
 def linear_design(
@@ -90,7 +91,7 @@ def run(
     # Folds carry only what the models read.
     used = dict.fromkeys(c for s in sets for c in names[s])
     folds = stage(
-        assign_folds(
+        fold_vectors(
             features.select(roles.unit_id, roles.label, *used), roles, n_folds, repetitions
         )
     )
@@ -106,7 +107,9 @@ def run(
         full = fit_all_rows(linear, moments)
         fold_models = fit_folds(linear, full, moments)
         parts.append(out_of_fold(linear, fold_models))
-    parts += [tree_out_of_fold(k, trees, sets, options) for k in (FOREST, BOOSTING) if k in models]
+    for kind in (FOREST, BOOSTING):
+        if kind in models:
+            parts += ensembles.out_of_fold(kind, trees, sets, options)
 
     # The largest table is written once, to where it is wanted.
     scored = reduce(DataFrame.unionByName, parts)
@@ -132,7 +135,7 @@ def run(
     if best["model"] == LOGISTIC:
         final = full[best["feature_set"]]
     else:
-        final = fit_final_tree(best["model"], trees, best["feature_set"], options)
+        final = ensembles.fit_final(best["model"], trees, best["feature_set"], options)
 
     if target:
         spark = features.sparkSession
@@ -144,8 +147,8 @@ def run(
         if isinstance(final, LinearModel):
             write_layer(model_table(spark, [final]), f"{target}/model")
         else:
-            save_model(final, f"{target}/model")
+            write_layer(ensembles.node_table(spark, final), f"{target}/model")
         write_record(spark, chosen, f"{target}/model_metadata")
     # What the result does not read any more goes with the plan.
-    discard(folds, *([trees.table] if trees else []))
+    discard(folds, *([trees.units] if trees else []))
     return Experiment(comparison, per_fold, predictions, tests, fold_models, linear, chosen, final)

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import explain, importance, linear, serving, trees
+from riskloom.operators import ensembles, explain, importance, linear, serving, trees
 from riskloom.operators.design import NUMBER, Term, feature_sets, terms_for
 from riskloom.operators.features import add_features
 from riskloom.operators.folds import assign_folds, fold_balance
@@ -448,30 +448,20 @@ def test_trees_score_and_persist(spark, folded, tmp_path, kind):
 def test_tree_queries_run_the_whole_job(spark, sf_dir, monkeypatch, name, kind):
     from riskloom.catalog import ENTRIES
 
-    fits = []
+    whole, fits = ensembles.fit, []
 
-    def noted(pipeline, rows):
-        fits.append((pipeline.getStages()[-1], rows))
-        raise InterruptedError
-
-    monkeypatch.setattr(trees.Pipeline, "fit", noted)
-    asked = []
-    whole = trees.tree_out_of_fold
-
-    def asked_for(kind, design, feature_sets=None, options=trees.TreeOptions(), folds=None, **kw):
-        pairs = design.table.select("repetition", "fold").distinct().count() if folds is None else len(folds)
-        asked.append((kind, sorted(feature_sets or design.sets), pairs))
-        return whole(kind, design, feature_sets, options, folds, **kw)
+    def noted(*args, **kw):
+        fits.append((args, whole(*args, **kw)))
+        return fits[-1][1]
 
-    monkeypatch.setattr(trees, "tree_out_of_fold", asked_for)
-    with pytest.raises(InterruptedError):
-        ENTRIES[name].query(spark, sf_dir)
-    assert asked == [(kind, sorted(feature_sets(ROLES)), 25)]
-    model = fits[0][0]
-    if kind == trees.FOREST:
-        assert (model.getNumTrees(), model.getMaxDepth()) == (300, 30)
-    else:
-        assert model.getMaxIter() == 300
+    monkeypatch.setattr(ensembles, "fit", noted)
+    rows = ENTRIES[name].query(spark, sf_dir).collect()
+    assert len(rows) == 75 and {r.model for r in rows} == {kind}
+    assert sorted(args[2] for args, _ in fits) == sorted(feature_sets(ROLES))
+    for args, models in fits:
+        assert args[0] == kind and args[4] == trees.TreeOptions()
+        assert [(m.repetition, m.fold) for m in models] == [(r, f) for r in range(5) for f in range(5)]
+        assert {len(m.trees.root) for m in models} == {300}
 
 
 @pytest.mark.parametrize("name", ["experiment_comparison", "experiment_paired_tests", "decision_record"])
