@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -226,22 +226,26 @@ class Problem:
 
 
 def _partial_sums(
-    batches: Iterator[pd.DataFrame], problems: list[tuple[int, Problem]], width: int, slots: int
-) -> Iterator[pd.DataFrame]:
+    batches: Iterator[pa.RecordBatch], problems: list[tuple[int, Problem]], width: int, slots: int
+) -> Iterator[pa.RecordBatch]:
     """Sums of loss, gradient and upper Hessian triangle over this task's rows."""
     sums = {index: np.zeros(slots) for index, _ in problems}
-    names = [f"x{i}" for i in range(width)]
     for batch in batches:
-        values = batch[names].to_numpy(dtype=float)
-        outcome = batch["y"].to_numpy(dtype=float)
-        folds = np.stack(batch["folds"].to_list()) if len(batch) else np.zeros((0, 1))
+        n = batch.num_rows
+        values = np.empty((n, width))
+        for i in range(width):
+            values[:, i] = batch.column(f"x{i}").to_numpy(zero_copy_only=False)
+        outcome = batch.column("y").to_numpy().astype(float)
+        folds = batch.column("folds").flatten().to_numpy().reshape(n, -1)
         for index, problem in problems:
             # A problem that leaves no fold out takes every row.
-            rows = folds[:, problem.repetition] != problem.fold
-            x, y = values[rows], outcome[rows]
+            rows = np.flatnonzero(folds[:, problem.repetition] != problem.fold)
+            y = outcome[rows]
             z = np.empty((len(y), len(problem.columns) + 1))
             z[:, 0] = 1.0
-            z[:, 1:] = (x[:, problem.columns] - problem.centre) / problem.scale
+            z[:, 1:] = values[rows[:, None], problem.columns]
+            z[:, 1:] -= problem.centre
+            z[:, 1:] /= problem.scale
             eta = z @ problem.weights
             tail = np.exp(-np.abs(eta))
             p = np.where(eta >= 0, 1.0, tail) / (1.0 + tail)
@@ -250,12 +254,13 @@ def _partial_sums(
             flat = np.concatenate(([loss], z.T @ (p - y), hessian[np.triu_indices(z.shape[1])]))
             sums[index][: len(flat)] += flat
     indices = np.fromiter(sums, dtype=np.int32)
-    yield pd.DataFrame(
-        {
-            "problem": np.repeat(indices, slots),
-            "slot": np.tile(np.arange(slots, dtype=np.int32), len(indices)),
-            "value": np.concatenate(list(sums.values())),
-        }
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.repeat(indices, slots)),
+            pa.array(np.tile(np.arange(slots, dtype=np.int32), len(indices))),
+            pa.array(np.concatenate(list(sums.values()))),
+        ],
+        names=["problem", "slot", "value"],
     )
 
 
@@ -265,7 +270,7 @@ def _evaluate(design: Design, open_problems: list[tuple[int, Problem]]) -> dict[
     size = max(len(p.columns) for _, p in open_problems) + 1
     slots = 1 + size + size * (size + 1) // 2
     summed = (
-        design.units.drop("unit_id").mapInPandas(
+        design.units.drop("unit_id").mapInArrow(
             lambda it: _partial_sums(it, open_problems, width, slots),
             "problem int, slot int, value double",
         )
