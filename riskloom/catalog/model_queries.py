@@ -236,6 +236,49 @@ GIVEN = linear.LinearModel(
 )
 THRESHOLD = 0.75
 
+@register(
+    "coefficient_table_of_given_model",
+    """with s as (select stddev_pop(age) as age, stddev_pop(usage_km) as usage_km, stddev_pop(events) as events from units),
+terms as (select 'age' as variable, 0.8e0 as standardised, age as scale, 1e0 as unit_factor, 'per year of age' as unit from s
+  union all select 'usage_km', 0.3e0, usage_km, 10000e0, 'per 10,000 of usage' from s
+  union all select 'events', -0.2e0, events, 1e0, 'per recorded event' from s)
+final select variable, standardised, exp(standardised) as odds_per_sd, scale, standardised / scale as "natural",
+  exp(standardised / scale) as odds_per_unit, unit_factor, unit, exp(standardised / scale * unit_factor) as odds_communicable,
+  abs(standardised) as magnitude from terms""",
+    'standardised odds_per_sd scale "natural" odds_per_unit odds_communicable magnitude',
+    places=8,
+)
+def given_coefficients(spark, sf_dir):
+    """Scales from all units, stated coefficients: every column of the table follows."""
+    design = experiment.linear_design(folds(spark, sf_dir, 1), ROLES, [WITHOUT_GROUP])
+    every = linear.training_moments(linear.fold_moments(design), 0, linear.ALL_FOLDS)
+    at = [design.terms.index(t) for t in GIVEN.terms]
+    model = replace(
+        GIVEN, centres=tuple(float(every.mean[i]) for i in at), scales=tuple(float(every.variance[i] ** 0.5) for i in at)
+    )
+    return explain.coefficient_table(linear.model_table(spark, [model]), ROLES)
+
+
+@register(
+    "out_of_fold_of_given_models",
+    FOLDS_SQL
+    + """select 'logistic' as model, 'without_group' as feature_set, repetition, fold, unit_id, y,
+  1e0 / (1e0 + exp(-(1.1e0 + fold * 0.1e0 - repetition * 0.2e0 + (age - 4e0) / 2e0 * 0.8e0
+    + (usage_km - 100000e0) / 50000e0 * 0.3e0 + (events - 1.4e0) / 1.2e0 * -0.2e0))) as p from folds""",
+    "p",
+    places=8,
+)
+def given_out_of_fold(spark, sf_dir):
+    """Each fold scored by its own model: stated coefficients, an intercept that tells the models apart."""
+    design = experiment.linear_design(folds(spark, sf_dir), ROLES, [WITHOUT_GROUP])
+    models = [
+        replace(GIVEN, repetition=r, fold=f, intercept=1.1 + f * 0.1 - r * 0.2)
+        for r in range(N_REPETITIONS)
+        for f in range(N_FOLDS)
+    ]
+    return linear.out_of_fold(design, models)
+
+
 PARTS_SQL = """with parts as (select *, (age - 4e0) / 2e0 * 0.8e0 as ca, (usage_km - 100000e0) / 50000e0 * 0.3e0 as cu,
   (events - 1.4e0) / 1.2e0 * -0.2e0 as ce from units),
 scored as (select *, 1e0 / (1e0 + exp(-(1.1e0 + ca + cu + ce))) as risk from parts)

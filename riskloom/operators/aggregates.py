@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import band_order, col, positive, ratio, wilson
-from riskloom.operators.scan import approximate_quantiles, exact_quantiles, running_totals
+from riskloom.operators.scan import SMALL_SIDE, approximate_quantiles, exact_quantiles, running_totals, sampled_bucket
 from riskloom.roles import (
     AGE_BAND,
     AGE_BANDS,
@@ -97,16 +97,15 @@ def evolution_with_interval(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> Data
 def risk_ranking(df: DataFrame, roles: Roles = DEFAULT_ROLES, z: float = Z_95) -> DataFrame:
     """Groups by descending rate with Wilson bounds; the width here is the unclipped 2 * margin."""
     g = roles.group
-    rated = stage(add_rate(df.groupBy(g).agg(*counts(roles))))
+    # Rate and name are one ordering key, so groups that share a rate are dealt over many buckets as well.
+    rated = stage(
+        add_rate(df.groupBy(g).agg(*counts(roles))).withColumns({"__down": -F.col("rate"), "__one": F.lit(1).cast("bigint")})
+    )
     w = wilson("n_positive", "n_units", z)
-    # Places are counted per distinct rate; only groups of one rate are put in order by name.
-    per_rate = rated.groupBy("rate").agg(F.count(F.lit(1)).alias("__n"))
-    before = running_totals(per_rate, [], "rate", ["__n"], descending=True)
-    before = before.select(F.col("rate").alias("__rate"), (F.col("cum___n") - F.col("__n")).alias("__before"))
-    tied = Window.partitionBy("rate").orderBy(g)
-    placed = rated.join(before, F.col("rate").eqNullSafe(F.col("__rate")))
+    key = rated.withColumn("__key", F.struct("__down", g))
+    placed = running_totals(key, [], "__key", ["__one"], bucket=sampled_bucket(rated, ["__down", g]))
     return placed.select(
-        (F.col("__before") + F.row_number().over(tied)).cast("bigint").alias("position"),
+        F.col("cum___one").cast("bigint").alias("position"),
         g,
         "n_units",
         "n_positive",
@@ -305,6 +304,10 @@ def histogram(
     ranges = ranges.withColumnRenamed(by, "__by")
     if dict(df.dtypes)[by] == "boolean":
         ranges = F.broadcast(ranges)  # three rows at most
+    else:
+        ranges = stage(ranges)
+        if ranges.limit(SMALL_SIDE + 1).count() <= SMALL_SIDE:
+            ranges = F.broadcast(ranges)
     width = (F.col("high") - F.col("low")) / F.lit(float(bins))
     slot = F.when(width == 0.0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("low")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskloom.roles import (
@@ -303,6 +303,31 @@ def require(df: DataFrame, contract: Contract, row_id: str | None = None) -> Dat
     return df
 
 
+def observed(
+    df: DataFrame, contract: Contract, row_id: str | None = None, checked: DataFrame | None = None
+) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` whose rules are counted by whatever action reads it, and the check to call after that action.
+
+    So a check rides on the pass that writes a table and needs none of its own. ``checked`` names the columns that the
+    contract is about, if ``df`` holds more. A rule broken by no row is counted zero whatever tasks are run again; if
+    any is broken, ``require`` counts once more, exactly, for its message.
+    """
+    table = df if checked is None else checked
+    if schema_failures(_without(table, row_id), contract):
+        require(table, contract, row_id)
+    rules = row_rules(table, contract)
+    if not rules:
+        return df, lambda: None
+    observation = Observation()
+    counted = df.observe(observation, *[F.count_if(bad).alias(f"r{i}") for i, (*_, bad, _) in enumerate(rules)])
+
+    def check() -> None:
+        if any(observation.get.values()):
+            require(table, contract, row_id)
+
+    return counted, check
+
+
 def coerce(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
     """Project to the contract's columns in order, in their declared types."""
     types = {k.lower(): v for k, v in df.dtypes}

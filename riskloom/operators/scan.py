@@ -10,8 +10,10 @@ however frequent, makes a bucket large.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from riskloom.session import stage
 
 _BUCKET, _HEAD, _AT = "__bucket", "__head", "__at"
+_SAMPLED = 40  # sampled rows for each bucket
 # A side is broadcast only when it is counted to have no more rows than this.
 SMALL_SIDE = 10_000
 
@@ -51,6 +54,30 @@ def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str = _
     return placed.withColumn(name, F.col(name).cast("int")).drop(_AT)
 
 
+def sampled_bucket(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> Column:
+    """Bucket number that rises with the order of several columns together, nulls first; ``df`` is staged.
+
+    Split points are rows of a bounded sample, so rows that agree in the first column are cut by the next ones.
+    They go to the tasks with the function, not into the plan, and are searched by halves.
+    """
+    buckets = buckets or bucket_count(df.sparkSession)
+    share = min(1.0, _SAMPLED * buckets / max(df.count(), 1))
+
+    def key(row):
+        return tuple((0, 0) if v is None else (1, v) for v in row)
+
+    rows = df.select(*columns)
+    sample = sorted({key(r) for r in (rows if share == 1.0 else rows.sample(False, share, 42)).collect()})
+    points = sorted({sample[i * len(sample) // buckets] for i in range(1, buckets)}) if sample else []
+
+    @F.arrow_udf("int")
+    def place(*values: pa.Array) -> pa.Array:
+        found = zip(*(v.to_pylist() for v in values))
+        return pa.array([bisect_right(points, key(r)) for r in found], pa.int32())
+
+    return place(*columns)
+
+
 def _in_buckets(
     df: DataFrame, order: str, staged: bool, bucket: Column | None = None
 ) -> DataFrame:

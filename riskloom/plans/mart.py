@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from riskloom.operators import aggregates
 from riskloom.operators.cleaning import cleaning_report, drop_duplicate_rows, fix_types
 from riskloom.operators.contracts import (
+    ContractError,
     clean_contract,
     coerce,
     feature_contract,
+    observed,
     raw_contract,
     require,
     risk_contract,
@@ -19,7 +21,7 @@ from riskloom.operators.contracts import (
 from riskloom.operators.features import add_features
 from riskloom.operators.quality import column_profile
 from riskloom.roles import DEFAULT_ROLES, Roles
-from riskloom.session import stage
+from riskloom.session import discard, stage
 from riskloom.sources.tables import canonical_view, open_source, project_source, source_id, write_layer
 
 # Aggregates over the clean table, and those that need the bands.
@@ -58,15 +60,22 @@ def clean_step(source: DataFrame, roles: Roles = DEFAULT_ROLES) -> Cleaned:
     """Strict: neither the input nor the output may break its contract.
 
     Repeated rows are those equal in *all* columns of the source, so they are taken out before anything is
-    projected. The cleaned table is staged, because its check, its report and the mart read it.
+    projected. The cleaned table is staged, because its report and the mart read it; both contracts are checked by the
+    pass that writes it, which fails before anything reads the table.
     """
     named = source_id(source, roles)
     contract = raw_contract(roles)
-    require(project_source(source, roles), contract, named)
-    once = project_source(drop_duplicate_rows(source), roles)
+    counted, source_holds = observed(source, contract, named, project_source(source, roles))
+    once = project_source(drop_duplicate_rows(counted), roles)
     typed = coerce(once, contract, [named] if named else [])
-    table = stage(fix_types(typed, roles, check=False))
-    require(table, clean_contract(roles), named)
+    counted, table_holds = observed(fix_types(typed, roles, check=False), clean_contract(roles), named)
+    table = stage(counted)
+    try:
+        source_holds()
+        table_holds()
+    except ContractError:
+        discard(table)
+        raise
     return Cleaned(table, cleaning_report(source, table, roles))
 
 
@@ -90,8 +99,8 @@ def build_aggregates(
     return results
 
 
-def mart_step(table: DataFrame, roles: Roles = DEFAULT_ROLES) -> Mart:
-    features = build_features(table, roles)
+def mart_step(table: DataFrame, roles: Roles = DEFAULT_ROLES, strict: bool = True) -> Mart:
+    features = build_features(table, roles, strict)
     return Mart(features, build_aggregates(table, features, roles))
 
 
@@ -105,11 +114,14 @@ def run(
     """Whole chain, from a path or a table. Without ``target`` no layer is written."""
     df = open_source(spark, source, **read_options) if isinstance(source, str) else source
     cleaned = clean_step(df, roles)
-    mart = mart_step(cleaned.table, roles)
+    # The feature contract is checked by the pass that writes the features, if one does.
+    mart = mart_step(cleaned.table, roles, strict=not target)
     if target:
+        counted, features_hold = observed(mart.features, feature_contract(roles), source_id(cleaned.table, roles))
+        write_layer(counted, f"{target}/features")
+        features_hold()
         write_layer(cleaned.table, f"{target}/clean")
         write_layer(cleaned.report, f"{target}/cleaning_report")
-        write_layer(mart.features, f"{target}/features")
         for name, table in mart.tables.items():
             write_layer(table, f"{target}/{name}")
     return cleaned, mart

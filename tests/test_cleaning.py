@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.operators import contracts
 from riskloom.operators.cleaning import binarise_label, clean, drop_duplicate_rows, label_as_text
-from riskloom.operators.contracts import ContractError
+from riskloom.operators.contracts import ContractError, raw_contract
 from riskloom.plans import mart
 from riskloom.roles import Roles
 from riskloom.sources import tables
@@ -145,3 +146,42 @@ def test_all_unknown_labels_are_counted(spark):
     df = spark.createDataFrame([("A", 1, 1, 1, f"x{i}") for i in range(25)], "grp string, age int, usage_km int, events int, label string")
     with pytest.raises(ValueError, match=r"and 5 more, 25 rows in all"):
         binarise_label(df, ROLES)
+
+
+# ------------------------------------------------------------------ checks that ride on a write
+
+
+def test_observed_check_raises_like_require(spark):
+    contract = raw_contract(ROLES)
+    rows = [("A", 3, 100, 0, "Sim"), ("Z", 3, -1, 0, "Sim")]
+    df = spark.createDataFrame(rows, "grp string, age bigint, usage_km bigint, events bigint, label string")
+    counted, holds = contracts.observed(df, contract)
+    counted.write.format("noop").mode("overwrite").save()
+    with pytest.raises(contracts.ContractError) as error:
+        holds()
+    with pytest.raises(contracts.ContractError) as direct:
+        contracts.require(df, contract)
+    assert str(error.value) == str(direct.value)
+    good, holds = contracts.observed(df.filter("grp = 'A'"), contract)
+    assert good.count() == 1
+    holds()
+    with pytest.raises(contracts.ContractError):
+        contracts.observed(df.drop("age"), contract)
+
+
+def test_cleaning_reads_the_source_once(spark):
+    """The table is written by the pass that checks source and result; only the row count reads the source again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [("A", 3, 100, 0, "Sim"), ("B", 4, 200, 1, "Não"), ("B", 4, 200, 1, "Não")]
+    df = spark.createDataFrame(rows, "grp string, age bigint, usage_km bigint, events bigint, label string")
+    source = df.mapInArrow(noted, df.schema)
+    cleaned = mart.clean_step(source, ROLES)
+    assert seen.value == 3
+    assert cleaned.table.count() == 2
+    assert {r["check"]: r["value"] for r in cleaned.report.collect()}["duplicates removed"] == "1"

@@ -9,10 +9,12 @@ from riskloom.operators.scan import (
     average_ranks,
     exact_quantiles,
     running_totals,
+    sampled_bucket,
     split_points,
     value_counts,
     with_bucket,
 )
+from riskloom.session import stage
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +111,23 @@ def test_bucket_edges_are_left_closed(spark):
     df = spark.createDataFrame([(0.5,), (1.0,), (1.5,), (2.0,)], "v double")
     got = with_bucket(df, "v", [1.0, 2.0], "b").orderBy("v").select(F.collect_list("b")).first()[0]
     assert got == [0, 1, 1, 2]
+
+
+# ------------------------------------------------------------------ several ordering columns
+
+
+def test_sampled_bucket_splits_ties(spark):
+    """All rows share the first column: the second one deals them evenly."""
+    df = stage(spark.range(20_000).select(F.lit(0.0).alias("a"), F.concat(F.lit("g"), "id").alias("b")))
+    sizes = sorted(r["count"] for r in df.groupBy(sampled_bucket(df, ["a", "b"], 16).alias("k")).count().collect())
+    assert len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+
+
+def test_sampled_bucket_rises_with_the_order(spark):
+    rows = [(None if i % 7 == 0 else float(i % 5), None if i % 11 == 0 else f"é{i}") for i in range(600)]
+    df = stage(spark.createDataFrame(rows, "a double, b string"))
+    got = df.withColumn("k", sampled_bucket(df, ["a", "b"], 9)).orderBy(F.asc_nulls_first("a"), F.asc_nulls_first("b")).collect()
+    ks = [r.k for r in got]
+    assert ks == sorted(ks) and len(set(ks)) > 6
+    empty = stage(df.filter("false"))
+    assert empty.withColumn("k", sampled_bucket(empty, ["a"])).count() == 0
