@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import band_order, col, positive, ratio, wilson
-from riskloom.operators.scan import SMALL_SIDE, approximate_quantiles, exact_quantiles, running_totals, sampled_bucket
+from riskloom.operators.scan import (
+    SMALL_SIDE,
+    approximate_quantiles,
+    bracket_aggregates,
+    quantiles_in_brackets,
+    running_totals,
+    sampled_bucket,
+)
 from riskloom.roles import (
     AGE_BAND,
     AGE_BANDS,
@@ -48,15 +55,20 @@ def add_wilson(df: DataFrame, z: float = Z_95) -> DataFrame:
 def group_profile(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Counts, rate, means, exact median usage and maximum events per group."""
     g = roles.group
-    profile = df.groupBy(g).agg(
-        *counts(roles),
-        F.avg(roles.age).alias("mean_age"),
-        F.avg(roles.usage).alias("mean_usage"),
-        F.avg(roles.events).alias("mean_events"),
-        F.max(roles.events).alias("max_events"),
+    middle = {"median_usage": 0.5}
+    # Brackets of the median come with the means; only usage values near it are looked at again.
+    profile = stage(
+        df.groupBy(g).agg(
+            *counts(roles),
+            F.avg(roles.age).alias("mean_age"),
+            F.avg(roles.usage).alias("mean_usage"),
+            F.avg(roles.events).alias("mean_events"),
+            F.max(roles.events).alias("max_events"),
+            *bracket_aggregates([roles.usage], middle),
+        )
     )
     medians = (
-        exact_quantiles(df, [roles.usage], {"median_usage": 0.5}, keys=[g])
+        quantiles_in_brackets(df, [roles.usage], middle, profile, keys=[g])
         .drop("variable")
         .withColumnRenamed(g, "__g")
     )
@@ -263,12 +275,15 @@ def describe(
         F.struct(F.lit(c).alias("variable"), *[F.col(f"{c}__{p}").alias(p) for p in parts])
         for c in columns
     ]
-    moments = df.agg(*aggregates).select(F.inline(F.array(*records)))
     shares = {"q25": 0.25, "median": 0.5, "q75": 0.75}
     if accuracy:
+        moments = df.agg(*aggregates)
         quartiles = approximate_quantiles(df, columns, shares, accuracy)
     else:
-        quartiles = exact_quantiles(df, columns, shares)
+        # The pass for the moments also says near which values the quartiles lie.
+        moments = stage(df.agg(*aggregates, *bracket_aggregates(columns, shares)))
+        quartiles = quantiles_in_brackets(df, columns, shares, moments)
+    moments = moments.select(F.inline(F.array(*records)))
     n = F.col("n").cast("double")
     skew = F.when(
         n > 2, F.col("g1") * F.sqrt(n * (n - F.lit(1.0))) / (n - F.lit(2.0))

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import ratio
-from riskloom.operators.scan import approximate_quantiles, exact_quantiles
+from riskloom.operators.scan import approximate_quantiles, exact_quantiles, value_counts
 from riskloom.roles import DEFAULT_ROLES, TUKEY_FACTOR, YEARLY_USAGE_RANGE, Roles
+from riskloom.session import stage
 
 # Kinds of columns in the profile.
 CATEGORY, NUMBER, TARGET = "category", "number", "target"
@@ -87,10 +88,12 @@ def tukey_outliers(
     """
     columns = list(columns)
     shares = {"q1": 0.25, "q3": 0.75}
+    # One pass counts the distinct values; quartiles and outliers are read from those counts.
+    counts = stage(value_counts(df, [], columns))
     if accuracy:
         quartiles = approximate_quantiles(df, columns, shares, accuracy)
     else:
-        quartiles = exact_quantiles(df, columns, shares)
+        quartiles = exact_quantiles(df, columns, shares, counts=counts)
     fences = (
         quartiles.withColumn("iqr", F.col("q3") - F.col("q1"))
         .withColumns(
@@ -105,9 +108,9 @@ def tukey_outliers(
     aggregates = []
     for c in columns:
         fence = limits.get(c)
-        x = F.col(c).cast("double")
-        outside = (x < fence["lower"]) | (x > fence["upper"]) if fence else F.lit(False)
-        aggregates.append(F.count_if(outside).alias(f"{c}__out"))
+        x = F.col("value")
+        outside = (F.col("variable") == c) & ((x < fence["lower"]) | (x > fence["upper"])) if fence else F.lit(False)
+        aggregates.append(F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias(f"{c}__out"))
     records = []
     for c in columns:
         fence = limits.get(c)
@@ -122,9 +125,10 @@ def tukey_outliers(
                 ratio(f"{c}__out", "__rows").alias("share_outliers"),
             )
         )
-    return df.agg(F.count(F.lit(1)).alias("__rows"), *aggregates).select(
-        F.inline(F.array(*records))
-    )
+    # The number of rows needs no column.
+    rows = df.agg(F.count(F.lit(1)).alias("__rows"), F.lit(1).alias("__one"))
+    outside = counts.agg(*aggregates, F.lit(1).alias("__one"))
+    return rows.join(outside, "__one").select(F.inline(F.array(*records)))
 
 
 def usage_consistency(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:

@@ -41,7 +41,8 @@ def split_points(df: DataFrame, column: str, buckets: int | None = None) -> list
     # Cuts may be half a bucket off; small sketches keep their merge cheap.
     accuracy = max(1_000, 2 * buckets)
     cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, accuracy)).first()[0]
-    return sorted(set(cuts or []))
+    # Infinite values lie in the outermost buckets anyway.
+    return sorted({c for c in cuts or [] if abs(c) < float("inf")})
 
 
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], name: str = _BUCKET) -> DataFrame:
@@ -235,6 +236,85 @@ def exact_quantiles(
     return rows.groupBy(*keys).agg(*aggregates).select(*keys, *results)
 
 
+#: Accuracy of the sketches behind brackets, and rows up to which a bracket holds everything.
+_BRACKET_ACCURACY, _BRACKET_ALL = 5_000, 20_000
+_LOWS, _HIGHS, _ROWS = "__lows_", "__highs_", "__rows_"
+
+
+def bracket_aggregates(columns: Sequence[str], probabilities: dict[str, float]) -> list[Column]:
+    """Aggregates that go along with any other pass: between which values each quantile must lie.
+
+    A mergeable sketch gives values a little below and above the wanted rank. They only say where to look:
+    ``quantiles_in_brackets`` counts exactly.
+    """
+    reach = 3.0 / _BRACKET_ACCURACY
+    found = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        for name, sign in ((_LOWS, -1.0), (_HIGHS, 1.0)):
+            shares = [min(max(p + sign * reach, 0.0), 1.0) for p in probabilities.values()]
+            found.append(F.percentile_approx(x, shares, _BRACKET_ACCURACY).alias(name + c))
+        found.append(F.count(x).alias(_ROWS + c))
+    return found
+
+
+def bracket_columns(columns: Sequence[str]) -> list[str]:
+    return [name + c for c in columns for name in (_LOWS, _HIGHS, _ROWS)]
+
+
+def quantiles_in_brackets(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: dict[str, float],
+    brackets: DataFrame,
+    keys: Sequence[str] = (),
+    plotting: float = 1.0,
+) -> DataFrame:
+    """``exact_quantiles`` given the staged result of ``bracket_aggregates``: one row per key group.
+
+    Values beyond a bracket count as one value on its side, so the shuffle holds the few values near each quantile
+    instead of all distinct ones. A quantile that its bracket turned out not to hold is found the plain way.
+    """
+    infinite = float("inf")
+    names = list(probabilities)
+    wanted = brackets.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], *bracket_columns(columns))
+    # Without keys it is one row.
+    if not keys or wanted.limit(SMALL_SIDE + 1).count() <= SMALL_SIDE:
+        wanted = F.broadcast(wanted)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{i}"))
+    entries = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        every = F.col(_ROWS + c) <= _BRACKET_ALL
+        for i, name in enumerate(names):
+            low, high = F.col(_LOWS + c)[i], F.col(_HIGHS + c)[i]
+            value = F.when(every, x).when(x < low, -infinite).when(x > high, infinite).otherwise(x)
+            entries.append(F.struct(F.lit(f"{name}/{c}").alias("variable"), value.alias("value")))
+    near = (
+        df.select(*keys, *columns)
+        .join(wanted, same)
+        .select(*keys, F.inline(F.array(*entries)))
+        .filter(F.col("value").isNotNull())
+        .groupBy(*keys, "variable", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    found = exact_quantiles(df, columns, probabilities, keys, plotting, counts=stage(near))
+    # Each variable is in one row per quantile; only its own quantile counts there.
+    own = [F.max(F.when(F.col("variable").startswith(f"{n}/"), F.col(n))).alias(n) for n in names]
+    column = F.expr("substring(variable, instr(variable, '/') + 1)").alias("variable")
+    found = found.groupBy(*keys, column).agg(*own)
+    # Without keys it is one row per column.
+    found = stage(found) if keys else df.sparkSession.createDataFrame(found.collect(), found.schema)
+    missed = F.lit(False)
+    for n in names:
+        missed = missed | F.isnan(n) | (F.abs(n) == infinite)
+    if found.filter(missed).isEmpty():
+        return found
+    return exact_quantiles(df, columns, probabilities, keys, plotting)
+
+
 def approximate_quantiles(
     df: DataFrame,
     columns: Sequence[str],

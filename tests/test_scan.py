@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.scan import (
     average_ranks,
+    bracket_aggregates,
     exact_quantiles,
+    quantiles_in_brackets,
     running_totals,
     sampled_bucket,
     split_points,
@@ -131,3 +133,35 @@ def test_sampled_bucket_rises_with_the_order(spark):
     assert ks == sorted(ks) and len(set(ks)) > 6
     empty = stage(df.filter("false"))
     assert empty.withColumn("k", sampled_bucket(empty, ["a"])).count() == 0
+
+
+# ------------------------------------------------------------------ quantiles in brackets
+
+
+@pytest.mark.parametrize("keep_all", [0, 20_000])
+def test_brackets_hold_the_exact_quantiles(spark, monkeypatch, keep_all):
+    from riskloom.operators import scan
+
+    monkeypatch.setattr(scan, "_BRACKET_ALL", keep_all)
+    rng = np.random.default_rng(3)
+    n = 9_000
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b", None], n), "v": rng.normal(size=n).round(3), "w/x": rng.integers(0, 5, n).astype(float)})
+    pdf.loc[rng.random(n) < 0.1, "v"] = 7.0
+    df = spark.createDataFrame(pdf, "g string, v double, `w/x` double").withColumnRenamed("w/x", "w")
+    df = df.withColumn("v", F.when(F.col("v") > 2.5, None).otherwise(F.col("v")))
+    probabilities = {"q": 0.25, "m": 0.5, "top": 0.95}
+    for keys in ([], ["g"]):
+        brackets = stage(df.groupBy(*keys).agg(*bracket_aggregates(["v", "w"], probabilities)))
+        got = quantiles_in_brackets(df, ["v", "w"], probabilities, brackets, keys)
+        want = exact_quantiles(df, ["v", "w"], probabilities, keys)
+        columns = [*keys, "variable", *probabilities]
+        assert sorted(got.select(columns).collect(), key=repr) == sorted(want.select(columns).collect(), key=repr)
+
+
+def test_missed_brackets_fall_back(spark):
+    df = stage(spark.range(50_000).select(F.col("id").cast("double").alias("v")))
+    wrong = stage(df.agg(*bracket_aggregates(["v"], {"m": 0.5})).withColumn("__lows_v", F.array(F.lit(40_000.0))).withColumn("__highs_v", F.array(F.lit(41_000.0))))
+    assert quantiles_in_brackets(df, ["v"], {"m": 0.5}, wrong).first().m == 24_999.5
+    right = stage(df.agg(*bracket_aggregates(["v"], {"m": 0.5})))
+    assert quantiles_in_brackets(df, ["v"], {"m": 0.5}, right).first().m == 24_999.5
+    assert quantiles_in_brackets(df.filter("false"), ["v"], {"m": 0.5}, stage(df.filter("false").agg(*bracket_aggregates(["v"], {"m": 0.5})))).collect() == []
