@@ -1,6 +1,7 @@
 """Corpus pipeline: documents to packed sequences, one operator of riskloom.llm per stage.
 
-Stages filter or clean whole documents and keep the columns of the table, except the last, which packs. Rows
+Stages filter or clean whole documents and keep the columns of the table, whatever their names, except the last,
+which packs. Rows
 that share an id share a verdict; rows equal in id and text count as copies from the third stage on. A null
 id is an id like any other. Missing labels or an empty benchmark table make their stage keep everything.
 """
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import decontaminate, line_dedup, near_dup
@@ -37,35 +38,48 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """``docs`` with all columns but id and text under names that no operator uses, and the way back to the old ones."""
+    inner = {c: c if c in ("doc_id", "text") else f"__column{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
+    return renamed, {c: F.col(n).alias(c) for c, n in inner.items()}
+
+
 @_scoped
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain calls toxic go."""
-    scores = toxicity_scores(docs, table(spark, sf_dir, "labels"))
-    return scores.filter(F.col("p_toxic") < TOXIC_AT).select(docs.columns)
+    inner, back = _apart(docs)
+    scores = toxicity_scores(inner, table(spark, sf_dir, "labels"))
+    return scores.filter(F.col("p_toxic") < TOXIC_AT).select(*back.values())
 
 
 @_scoped
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated three-line windows go; a document of which no line is left goes too."""
-    result = line_dedup.dedup_lines(docs)
+    inner, back = _apart(docs)
+    result = line_dedup.dedup_lines(inner)
     result = result.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
-    return result.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
+    if "n_chars" in back:
+        back["n_chars"] = F.length("text").cast("bigint").alias("n_chars")
+    return result.select(*back.values())
 
 
 @_scoped
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity 0.8) the document with the least id stays."""
-    found = near_dup.near_duplicates(docs, width=5, percent=80)
+    inner, back = _apart(docs)
+    found = near_dup.near_duplicates(inner, width=5, percent=80)
     gone = stage(found.filter(~F.col("kept")).select("doc_id").distinct())
     # The join has dealt rows by id already, so equal rows meet without another shuffle.
-    return _without(docs, gone).dropDuplicates(["doc_id", "text"])
+    return _without(inner, gone).dropDuplicates(["doc_id", "text"]).select(*back.values())
 
 
 @_scoped
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a ten-word window of a benchmark item go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, stage(found.filter("n_hit > 0").select("doc_id").distinct()))
+    inner, back = _apart(docs)
+    found = decontaminate.contamination(inner, table(spark, sf_dir, "benchmark"))
+    return _without(inner, stage(found.filter("n_hit > 0").select("doc_id").distinct())).select(*back.values())
 
 
 @_scoped
