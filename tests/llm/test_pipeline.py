@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskloom.llm.queries import ORACLE_SQL, QUERIES
@@ -68,6 +69,21 @@ def test_stages_match_brute_force(spark, folder, tmp_path):
     assert max(fill.values()) <= 4096
 
 
+def test_stages_leave_clashing_columns_alone(spark, folder, clashing):
+    """Columns named like those an operator adds come out as they went in."""
+    extra = clashing | {"p_low_quality": "mine", "n_removed": "mine", "toxic": 9, "n_hit": "h", "__gone": 4, "contaminated": None}
+    plain = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = plain.withColumns({k: F.lit(v).cast("string" if v is None else type(v).__name__.replace("str", "string").replace("bool", "boolean")) for k, v in extra.items()})
+    for name, work in corpus_pipeline.STAGES[:-1]:
+        got = work(spark, docs, folder)
+        assert got.columns == docs.columns and got.dtypes == docs.dtypes, name
+        rows = got.collect()
+        assert rows and all(r[k] == v for r in rows for k, v in extra.items()), name
+        assert sorted((r.doc_id, r.text, r.n_chars) for r in rows) == sorted(
+            (r.doc_id, r.text, r.n_chars) for r in work(spark, plain, folder).collect()
+        )
+
+
 def test_run_equals_the_stages_and_cleans_up(spark, folder):
     rows = corpus_pipeline.run(spark, folder)
     assert rows.count() > 100 and set(rows.columns) >= {"doc_id", "sequence_id", "offset"}
@@ -95,4 +111,4 @@ def test_entry_point_registers_them():
     import __spark_entry__ as entry
 
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
