@@ -104,7 +104,10 @@ def tree_out_of_fold(
     def score_fold(task: tuple[str, int, int]) -> DataFrame:
         name, repetition, fold = task
         columns = [design.column(t) for t in design.sets[name]]
-        same = design.table.filter(F.col("repetition") == repetition)
+        # One row per unit: a repetition's folds are one entry of the fold vectors.
+        same = design.units.select(
+            F.lit(repetition).alias("repetition"), F.col("folds")[repetition].alias("fold"), "unit_id", "y", *columns
+        )
         model = fit_tree(kind, same.filter(F.col("fold") != fold), columns, options)
         return model.transform(same.filter(F.col("fold") == fold)).select(
             F.lit(kind).alias("model"),
@@ -128,8 +131,7 @@ def fit_final_tree(
 ) -> PipelineModel:
     """Refit on all rows, each once."""
     terms: Sequence[Term] = design.sets[feature_set]
-    once = design.table.filter(F.col("repetition") == 0)
-    return fit_tree(kind, once, [design.column(t) for t in terms], options)
+    return fit_tree(kind, design.units, [design.column(t) for t in terms], options)
 
 
 def tree_scorer(model: PipelineModel, design_columns: Sequence[tuple[str, Term]]):
