@@ -1,12 +1,12 @@
 """Line dedup: windows of three consecutive lines that occurred earlier are taken out.
 
 Lines are the ``\\n``-split pieces of a text. Every run of three consecutive lines with at least one
-non-blank line is a window, known by the 128-bit hash of its text. Occurrences are ordered by document id,
+non-blank line is a window, known by the 128-bit hash of its text. A text of one or two lines is one window as
+a whole; it can only equal other texts of as many lines. Occurrences are ordered by document id,
 then text hash, then line number; the first one stays. A line goes if any later occurrence covers it, so
 overlapping occurrences merge into one removed stretch.
 
-Defined cases: a null or empty text has no window and is returned unchanged, as is a text of one or two
-lines. Rows equal in id and text are one document: they count once and both get the same result. A null id
+Defined cases: a null or blank text has no window and is returned unchanged. Rows equal in id and text are one document: they count once and both get the same result. A null id
 sorts first. An empty table gives an empty table. All other columns are passed through unchanged.
 """
 
@@ -28,14 +28,14 @@ _ID, _TEXT_HASH, _GONE = "__ld_id", "__ld_text", "__ld_gone"
 
 
 def _windows(lines: Column) -> Column:
-    """Hash of each window; null where all its lines are blank."""
+    """Hash of each window, the whole text if it has fewer lines; null where all its lines are blank."""
 
     def window(i: Column) -> Column:
         joined = F.array_join(F.slice(lines, i, WINDOW), "\n")
         return F.when(joined.rlike(NOT_BLANK), F.unhex(F.md5(joined)))
 
-    last = F.size(lines) - (WINDOW - 1)
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), window))
+    last = F.greatest(F.size(lines) - (WINDOW - 1), F.lit(1))
+    return F.when(lines.isNotNull(), F.transform(F.sequence(F.lit(1), last), window))
 
 
 def later_windows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -58,9 +58,9 @@ def later_windows(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return later.groupBy(_ID, _TEXT_HASH).agg(F.sort_array(F.collect_set("start")).alias(_GONE))
 
 
-def covered(starts: list[int]) -> set[int]:
-    """Line numbers under the windows."""
-    return {line for s in starts for line in range(s, s + WINDOW)}
+def covered(starts: list[int], lines: int) -> set[int]:
+    """Line numbers under the windows of a text."""
+    return {line for s in starts for line in range(s, min(s + WINDOW, lines))}
 
 
 def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -91,7 +91,7 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
             column = batch.column(names.index(text_column))
             for text, starts in zip(column.to_pylist(), batch.column(_GONE).to_pylist()):
                 lines = text.split("\n") if text is not None else []
-                out = covered(starts) if starts else ()
+                out = covered(starts, len(lines)) if starts else ()
                 before.append(len(lines))
                 removed.append(len(out))
                 kept.append("\n".join([x for i, x in enumerate(lines) if i not in out]) if out else text)
@@ -111,16 +111,16 @@ SQL = r"""
 with lines as (
   select doc_id, string_split(text, chr(10)) as l from documents where text is not null
 ), spots as (
-  select doc_id, l, unnest(range(1, len(l) - 1)) as s from lines
+  select doc_id, l, unnest(range(1, greatest(len(l) - 1, 2))) as s from lines
 ), windows as (
-  select doc_id, s, array_to_string(l[s:s+2], chr(10)) as w from spots
+  select doc_id, s, len(l) as n_lines, array_to_string(l[s:s+2], chr(10)) as w from spots
 ), kinds as (
   select w, min(doc_id * 1000000 + s) as first, count(*) as n from windows
   where regexp_matches(w, '[^\x20\x09-\x0D]') group by w having count(*) > 1
 ), gone as (
   select distinct doc_id, s + k as line
   from windows join kinds using (w), (select unnest([0, 1, 2]) as k)
-  where doc_id * 1000000 + s <> first
+  where doc_id * 1000000 + s <> first and s + k <= n_lines
 ), split_lines as (
   select doc_id, unnest(l) as x, generate_subscripts(l, 1) as line from lines
 ), rebuilt as (

@@ -16,11 +16,11 @@ def brute_lines(texts):
     seen, gone = set(), collections.defaultdict(set)
     for i, t in enumerate(texts):
         lines = t.split("\n") if t is not None else []
-        for s in range(len(lines) - 2):
+        for s in range(max(1, len(lines) - 2)):
             w = "\n".join(lines[s : s + 3])
             if WORD.search(w):
                 if w in seen:
-                    gone[i].update(range(s, s + 3))
+                    gone[i].update(range(s, min(s + 3, len(lines))))
                 seen.add(w)
     return [t if not gone[i] else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in enumerate(texts)]
 
@@ -44,11 +44,12 @@ def test_lines_match_brute_force(make_docs, lined):
 def test_line_edges(spark, make_docs, clashing):
     assert line_dedup.dedup_lines(make_docs([])).count() == 0
     same = "k\nl\nm"
-    docs = make_docs([(5, same), (5, same), (None, same), (7, "q")], **clashing)
+    docs = make_docs([(5, same), (5, same), (None, same), (7, "q"), (8, "q"), (9, "q\nr"), (10, " "), (11, " ")], **clashing)
     rows = line_dedup.dedup_lines(docs).collect()
     kept = {(r.doc_id, r.text) for r in rows}
-    # The null id comes first; the repeated row is one document and goes as a whole.
-    assert kept == {(None, same), (5, ""), (7, "q")} and len(rows) == 4
+    # The null id comes first; the repeated row is one document and goes as a whole, a repeated short text too.
+    assert kept == {(None, same), (5, ""), (7, "q"), (8, ""), (9, "q\nr"), (10, " "), (11, " ")} and len(rows) == 8
+    assert {r.doc_id: (r.n_lines, r.n_removed) for r in rows}[8] == (1, 1)
     assert set(docs.columns) <= set(rows[0].asDict())
 
 
