@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import contextlib
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.session import shared_folder
@@ -69,6 +69,28 @@ def clear_scope(spark: SparkSession, scope: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# --------------------------------------------------------------------------- samples
+
+_SPREAD = 1 << 30
+
+
+def share_of(sample: int, rows: int) -> int:
+    """Bound of ``__deal`` below which about ``sample`` of ``rows`` rows lie."""
+    return min(_SPREAD, _SPREAD * sample // max(rows, 1))
+
+
+def sampled(df: DataFrame, share: int | Column, columns: Sequence[str]) -> DataFrame:
+    """Rows whose ``__deal``, a hash of ``columns`` below 2**30, is under ``share``; equal rows count once.
+
+    The bound is one on rows, whatever the ids: a null or repeated id deals its rows by the other columns, and of
+    rows equal in all ``columns`` one is left. A table of few different rows, each there very often, may leave none.
+    """
+    cells = [F.col(f"`{c}`") for c in columns]
+    deal = F.pmod(F.xxhash64(*cells), F.lit(_SPREAD))
+    picked = df.withColumn("__deal", deal).filter(F.col("__deal") < share)
+    return picked.withColumn("__row", F.xxhash64(F.lit("row"), *cells)).dropDuplicates(["__row"]).drop("__row")
+
+
 # --------------------------------------------------------------------------- Arrow batches
 
 

@@ -4,20 +4,22 @@ Texts are folded to lower case and everything but letters to blanks; n-grams of
 to 2**BITS places. Term frequencies count as 1 + ln(tf), weighted by the inverse document frequency over all documents that may
 be learned from, and scaled to length one. The model is trained by follow-the-regularised-leader with an
 elastic-net penalty (most weights stay exactly zero), and its scores are then calibrated by one temperature,
-fitted on the part of the sample that the training did not see.
+fitted on the part of the sample that the training did not see, against smoothed targets: a part without any error
+would otherwise ask for a temperature of zero and scores of one.
 
-The fit reads about ``sample`` documents, dealt evenly over the languages by a hash of the id (a documented
-bound); document frequencies and predictions cover all rows and whole texts, long ones in portions. Language,
+The fit reads about ``sample`` documents, dealt evenly over the languages by a hash of id, text and language (a documented
+bound on rows, equal rows counting once); document frequencies and predictions cover all rows and whole texts, long ones in portions. Language,
 source and id never enter a prediction.
 
 Defined cases: null texts and texts without a letter get ``und`` and score 0, as does everything if nothing can be
 learned; documents with a null id or language are predicted but not learned from; repeated rows are
-predicted alike; an empty table gives an empty table. Only id, text and language are read.
+predicted alike; of equal probabilities the language first in order wins; an empty table gives an empty table. Only id, text and language are read.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import map_arrow
+from riskloom.llm.common import map_arrow, sampled, share_of
 
 ORDERS = (1, 2, 3)
 BITS = 15
@@ -35,6 +37,8 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 #: One in this many sample documents calibrates instead of training.
 CALIBRATE = 5
+#: Range in which the temperature is looked for; a warning says if the best one lies at its end.
+TEMPERATURES = (0.05, 20.0)
 #: Characters handled at a time.
 PORTION = 200_000
 UNDETERMINED = "und"
@@ -118,21 +122,31 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes:
 
 
 def temperature(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature of least log loss, by golden-section search on its logarithm."""
-    if not len(labels):
+    """The temperature of least log loss, by golden-section search on its logarithm.
+
+    Targets are smoothed: of a language with n texts the right one counts (n + 1) / (n + 2), the others share the rest.
+    """
+    classes = scores.shape[1] if len(labels) else 0
+    if classes < 2:
         return 1.0
+    n = np.bincount(labels, minlength=classes)[labels]
+    targets = np.repeat((1 / (n + 2) / (classes - 1))[:, None], classes, axis=1)
+    targets[np.arange(len(labels)), labels] = (n + 1) / (n + 2)
 
     def loss(t: float) -> float:
         p = _softmax(scores / math.exp(t))
-        return float(-np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-300)).mean())
+        return float(-(targets * np.log(np.maximum(p, 1e-300))).sum(axis=1).mean())
 
-    lo, hi, ratio = math.log(0.05), math.log(20), (math.sqrt(5) - 1) / 2
+    ends = [math.log(t) for t in TEMPERATURES]
+    (lo, hi), ratio = ends, (math.sqrt(5) - 1) / 2
     for _ in range(60):
         a, b = hi - ratio * (hi - lo), lo + ratio * (hi - lo)
         if loss(a) <= loss(b):
             hi = b
         else:
             lo = a
+    if min(lo - ends[0], ends[1] - hi) < 1e-6:
+        warnings.warn(f"the best temperature lies at an end of {TEMPERATURES}", stacklevel=2)
     return math.exp((lo + hi) / 2)
 
 
@@ -169,12 +183,10 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
     languages = [r["lang"] for r in shares]
     n, df = document_frequencies(docs)
     idf = np.log((1 + n) / (1 + df)) + 1
-    part = F.create_map(
-        *[x for r in shares for x in (F.lit(r["lang"]), F.lit(min(1 << 30, (1 << 30) * sample // len(shares) // r["count"])))]
-    )
-    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    picked = docs.filter(spread < part[F.col("lang")]).select(
-        "text", "lang", F.col("doc_id").cast("string").alias("id"), F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(CALIBRATE)).alias("part")
+    docs = docs.select("doc_id", "text", "lang")
+    part = F.create_map(*[F.lit(x) for r in shares for x in (r["lang"], share_of(sample // len(shares), r["count"]))])
+    picked = sampled(docs, part[F.col("lang")], docs.columns).select(
+        "text", "lang", "__deal", F.pmod(F.xxhash64(F.lit("part"), "__deal"), F.lit(CALIBRATE)).alias("part")
     )
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,14 +198,14 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
                     pa.array([p.astype(np.int32) for p in places], pa.list_(pa.int32())),
                     pa.array([c[p].astype(np.int32) for c, p in zip(counts, places)], pa.list_(pa.int32())),
                     batch.column("lang"),
-                    batch.column("id"),
+                    batch.column("__deal"),
                     batch.column("part"),
                 ],
-                names=["places", "counts", "lang", "id", "part"],
+                names=["places", "counts", "lang", "deal", "part"],
             )
 
-    table = map_arrow(picked, sparse, "places array<int>, counts array<int>, lang string, id string, part bigint").toArrow()
-    table = table.sort_by([("id", "ascending"), ("lang", "ascending")])
+    table = map_arrow(picked, sparse, "places array<int>, counts array<int>, lang string, deal bigint, part bigint").toArrow()
+    table = table.sort_by([("deal", "ascending"), ("lang", "ascending")])
     number = {lang: i for i, lang in enumerate(languages)}
     labels = np.array([number[x] for x in table.column("lang").to_pylist()], np.int64)
     rows = []
