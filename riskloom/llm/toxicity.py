@@ -8,10 +8,12 @@ steps of follow-the-leader kind), which leaves weights on a few thousand word fe
 
 Features of a text: its words, and the first STEMS characters of words (so unseen endings of a known stem still
 count), in grades: that one distinct word has the stem, that two or three have, and that those two or more are
-1% or 2% of the distinct words (a stem may be harmless alone and not in numbers). They are hashed to 2**BITS places.
+1% or 2% of the distinct words (a stem may be harmless alone and not in numbers). With them go shares that
+tell the make of a text, not its subject: signs, capitals and digits per byte, repeated lines and repeated words, each
+in grades from SHARES on. All are hashed to 2**BITS places.
 
-The fit reads at most ``sample`` labelled documents on average (a documented bound, dealt by hash of the
-id); every row is scored. Defined cases: null or empty texts have no words and get the model's constant;
+The fit reads at most ``sample`` labelled documents on average (a documented bound on rows, dealt by hash of the
+id and, where ids repeat, of id and text; equal rows count once); every row is scored. Defined cases: null or empty texts have no words and get the model's constant;
 unlabelled, null-labelled and repeated label rows are fine (a document is positive for a category if any of
 its label rows is); without labels, or with one class only, the category's share is its probability. Rows
 equal in id are scored each on its own text. Other columns pass through; result names replace equal ones.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -33,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import map_arrow
+from riskloom.llm.common import map_arrow, sampled, share_of
 
 BITS = 20
 SAMPLE = 12_000
@@ -42,7 +45,10 @@ EPOCHS = 8
 PENALTY = 4.0
 RATE = 1.0
 STEMS = (4, 5, 6, 7)
+#: A share counts as each of these grades that it reaches.
+SHARES = (0.01, 0.03, 0.06, 0.1, 0.2, 0.35, 0.5)
 _WORD = re.compile(r"[^\W\d_]+")
+_SIGNS, _CAPITALS, _DIGITS = b"#*$%&|<>!~^=", string.ascii_uppercase.encode(), string.digits.encode()
 
 
 def word_names(word: str) -> list[int]:
@@ -58,10 +64,27 @@ def graded(name: int, count: int, distinct: int) -> list[int]:
     return [(name + g * 0x9E3779B97F4A7C15 >> 7) & ((1 << BITS) - 1) for g in grades]
 
 
-def text_features(words: set[str]) -> list[int]:
+def _grade_places() -> list[list[int]]:
+    names = ("signs", "capitals", "digits", "lines", "words")
+    return [[xxhash.xxh3_64_intdigest(f"share {n} {at}") >> 7 & ((1 << BITS) - 1) for at in SHARES] for n in names]
+
+
+_GRADES = _grade_places()
+
+
+def make_places(text: str, words: list[str]) -> list[int]:
+    """Places of the shares that tell the make of a text."""
+    raw = text.encode("utf-8", "surrogatepass")
+    size, lines = max(len(raw), 1), [x for x in raw.split(b"\n") if x]
+    shares = [(len(raw) - len(raw.translate(None, c))) / size for c in (_SIGNS, _CAPITALS, _DIGITS)]
+    shares += [1 - len(set(x)) / len(x) if x else 0.0 for x in (lines, words)]
+    return [p for share, places in zip(shares, _GRADES) for at, p in zip(SHARES, places) if share >= at]
+
+
+def text_features(words: set[str], make: list[int]) -> list[int]:
     """Distinct places of a text."""
     counts = Counter(n for w in words for n in word_names(w))
-    return sorted({p for n, c in counts.items() for p in graded(n, c, len(words))})
+    return sorted({p for n, c in counts.items() for p in graded(n, c, len(words))}.union(make))
 
 
 @dataclass(frozen=True)
@@ -150,9 +173,12 @@ def fit_chain(rows: list[np.ndarray], labels: dict[str, np.ndarray], folds: np.n
     return Chain(tuple(steps))
 
 
-def _words(batch: pa.RecordBatch, column: str) -> Iterator[set[str]]:
-    for text in pc.utf8_lower(batch.column(column)).to_pylist():
-        yield set(_WORD.findall(text)) if text else set()
+def _words(batch: pa.RecordBatch, column: str) -> Iterator[tuple[set[str], list[int]]]:
+    """Distinct words and make of each text."""
+    texts = batch.column(column)
+    for text, low in zip(texts.to_pylist(), pc.utf8_lower(texts).to_pylist()):
+        words = _WORD.findall(low) if low else []
+        yield set(words), make_places(text, words) if text else []
 
 
 def train(
@@ -167,25 +193,25 @@ def train(
     wanted = [F.max(F.col(c).cast("int")).alias(f"__y{i}") for i, c in enumerate(categories)]
     known = labels.filter(F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("__id")).agg(*wanted)
     known = known.dropna()
-    count = max(known.count(), 1)
-    spread = F.pmod(F.xxhash64(F.col("__id")), F.lit(1 << 30))
-    picked = known.filter(spread < F.lit(min(1 << 30, (1 << 30) * sample // count)))
-    side = picked.withColumn("__fold", F.pmod(F.xxhash64(F.lit("fold"), F.col("__id")), F.lit(FOLDS)))
+    side = sampled(known, share_of(sample, known.count()), ["__id"]).drop("__deal")
     # The sample is bounded by its parameter; it is the side that travels.
     pairs = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__text")).join(
         F.broadcast(side), "__id"
     )
+    # A second deal for ids that many rows share; this count reads ids only.
+    pairs = sampled(pairs, share_of(sample, pairs.count()), ["__id", "__text"])
+    pairs = pairs.withColumn("__fold", F.pmod(F.xxhash64(F.lit("fold"), "__deal"), F.lit(FOLDS)))
     names = [f"__y{i}" for i in range(len(categories))]
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [text_features(words) for words in _words(batch, "__text")]
-            arrays = [pa.array(rows, pa.list_(pa.int32())), batch.column("__fold"), batch.column("__id").cast(pa.string())]
+            rows = [text_features(words, make) for words, make in _words(batch, "__text")]
+            arrays = [pa.array(rows, pa.list_(pa.int32())), batch.column("__fold"), batch.column("__deal")]
             arrays += [batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays(arrays, names=["places", "fold", "id", *names])
+            yield pa.RecordBatch.from_arrays(arrays, names=["places", "fold", "deal", *names])
 
-    schema = "places array<int>, fold bigint, id string, " + ", ".join(f"{n} int" for n in names)
-    table = map_arrow(pairs, places, schema).toArrow().sort_by([("id", "ascending")])
+    schema = "places array<int>, fold bigint, deal bigint, " + ", ".join(f"{n} int" for n in names)
+    table = map_arrow(pairs, places, schema).toArrow().sort_by([("deal", "ascending")])
     offsets = table.column("places").combine_chunks()
     flat, cuts = offsets.flatten().to_numpy(), offsets.offsets.to_numpy()
     rows = [flat[a:b] for a, b in zip(cuts[:-1] - cuts[0], cuts[1:] - cuts[0])]
@@ -220,9 +246,9 @@ def score(docs: DataFrame, model: Chain, text_column: str = "text") -> DataFrame
             if len(seen) > 500_000:
                 seen.clear()
             out: list[list[float]] = [[] for _ in steps]
-            for words in _words(batch, text_column):
+            for words, make in _words(batch, text_column):
                 counts = Counter(chain.from_iterable(filter(None, map(seen.__getitem__, words))))
-                hit = {p for n, c in counts.items() for p in graded(n, c, len(words))}
+                hit = {p for n, c in counts.items() for p in graded(n, c, len(words))}.union(make)
                 before: list[float] = []  # probabilities above the share, as in training
                 found: list[float] = []
                 for k in steps:
