@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import map_arrow
+from riskloom.llm.common import map_arrow, sampled, share_of
 
 # Fixed values of the markup language.
 SILENT = frozenset("script style template noscript head title svg iframe select textarea button audio video".split())
@@ -69,6 +69,8 @@ LASTING = frozenset(
 CARDS = HINTS | {"teaser", "teasers"}
 
 SAMPLE = 2_000
+#: Blocks of one page that the fit may use.
+PAGE_BLOCKS = 200
 EPOCHS = 300
 RATE = 0.5
 PENALTY = 0.01
@@ -383,31 +385,31 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
 
 
 def train(pages: DataFrame, id_column: str = "page_id", html_column: str = "html", sample: int = SAMPLE) -> np.ndarray:
-    """Weights from the explicit blocks of about ``sample`` pages, dealt by a hash of the id."""
-    count = max(pages.count(), 1)
-    spread = F.pmod(F.xxhash64(F.col(id_column)), F.lit(1 << 30))
-    picked = pages.filter(spread < F.lit(min(1 << 30, (1 << 30) * sample // count))).select(
-        F.col(html_column).alias("html"), F.col(id_column).cast("string").alias("id")
-    )
+    """Weights from the explicit blocks of about ``sample`` pages, dealt by a hash of id and html (equal rows count once).
+
+    A page gives at most PAGE_BLOCKS blocks, evenly spaced.
+    """
+    rows = pages.select(F.col(id_column).alias("id"), F.col(html_column).alias("html"))
+    picked = sampled(rows, share_of(sample, pages.count()), ["id", "html"]).select("html", "__deal")
     width = len(FEATURES)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, labels, ids = [], [], []
-            for page, name in zip(batch.column("html").to_pylist(), batch.column("id").to_pylist()):
-                for block in blocks_of(page) if page else ():
-                    e = block.element
-                    bad = e.boilerplate or e.hints > 0
-                    if bad or e.content:
-                        rows.append(features(block))
-                        labels.append(int(not bad))
-                        ids.append(name)
+            rows, labels, deals = [], [], []
+            for page, deal in zip(batch.column("html").to_pylist(), batch.column("__deal").to_pylist()):
+                marked = [b for b in blocks_of(page) if b.element.boilerplate or b.element.hints or b.element.content] if page else []
+                taken = range(len(marked)) if len(marked) <= PAGE_BLOCKS else np.linspace(0, len(marked) - 1, PAGE_BLOCKS).astype(int)
+                for i in taken:
+                    e = marked[i].element
+                    rows.append(features(marked[i]))
+                    labels.append(int(not (e.boilerplate or e.hints > 0)))
+                    deals.append(deal)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.int32()), pa.array(ids, pa.string())],
-                names=["row", "label", "id"],
+                [pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.int32()), pa.array(deals, pa.int64())],
+                names=["row", "label", "deal"],
             )
 
-    table = map_arrow(picked, sums, "row array<double>, label int, id string").toArrow().sort_by([("id", "ascending")])
+    table = map_arrow(picked, sums, "row array<double>, label int, deal bigint").toArrow().sort_by([("deal", "ascending")])
     rows = np.array(table.column("row").to_pylist(), float).reshape(-1, width)
     return train_weights(rows, table.column("label").to_numpy().astype(float))
 
