@@ -3,9 +3,11 @@
 The field tags the white-space tokens of each line as B(egin), I(nside) or O(utside) of a secret. A token's
 score comes from its own shape, the words before and after it, and features of the whole text; a matrix scores
 transitions (I cannot follow O). It is trained by maximum likelihood (forward-backward, adaptive gradient
-steps) on token runs of a bounded sample of documents, labelled by the fixed patterns: it learns the shapes and
-contexts they fire in and carries them over to tokens they don't reach. Decoding is Viterbi over every
-line of every whole text, all lines of a batch in step.
+steps) on token runs of a bounded sample of documents, labelled by the fixed patterns, and on copies of them: labelled
+runs with random strings of other alphabets, lengths and forms in the secret's place, and plain runs with ordinary
+ids, numbers, names and addresses. So it learns what random strings are like, and that dashed ids, long numbers and
+addresses without a password are none. Decoding is Viterbi over every line of every whole text, all lines of a batch in
+step; lines that no path with a secret can win (``may_hold``, exact) are left out.
 
 Fixed patterns, leftmost and non-overlapping per kind: ``assign``, ``access`` and ``hex`` (PATTERNS). Spans are
 code points, end exclusive. A decoded span is all of its tokens, without the quotes, brackets and closing punctuation at
@@ -19,17 +21,19 @@ text are read.
 
 from __future__ import annotations
 
+import random
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import map_arrow
+from riskloom.llm.common import map_arrow, sampled, share_of
 
 #: Kind, pattern, least length of the group that counts, in the order of the listing.
 ASSIGN = re.compile(
@@ -44,6 +48,11 @@ SAMPLE = 20_000
 #: Tokens on each side of a labelled one that go into the training run.
 AROUND = 8
 PLAIN_RUN = 24
+#: Tokens of one training run, and runs of one text, that the fit may use.
+RUN_TOKENS = 64
+TEXT_RUNS = 32
+#: Labelled runs with another string in the secret's place, and plain runs with ordinary ids, made for the fit.
+COPIES = 2_000
 EPOCHS = 60
 RATE = 0.4
 PENALTY = 1e-3
@@ -56,6 +65,8 @@ _SHAPE = str.maketrans(
     {**{chr(c): "9" for c in range(48, 58)}, **{chr(c): "a" for c in range(97, 123)}, **{chr(c): "A" for c in range(65, 91)}}
 )
 _RUN = re.compile(r"(.)\1+")
+_EDGES = _BEFORE + _BEHIND + "!?"
+_HEXADECIMAL = frozenset(string.hexdigits)
 
 
 def base_spans(text: str | None) -> list[tuple[int, int, int]]:
@@ -83,25 +94,38 @@ def _shape(word: str) -> str:
 
 
 def own_key(word: str) -> tuple:
-    """What the own features of a token are made of."""
-    n = len(word)
-    plain = word.isalpha()
-    digits = 0 if plain else sum(c.isdigit() for c in word)
-    letters = n if plain else sum(c.isalpha() for c in word)
-    sign = not plain and ("=" in word or ":" in word)
-    return _shape(word)[:24], n, digits, letters, len(set(word)) * 4 // n, word[0] in "\"'", sign
+    """What the own features of a token are made of; its first and last entries are what it tells its neighbours."""
+    core = word.strip(_EDGES) or word
+    shape, n = _shape(core), len(core)
+    sign = "=" in word or ":" in word
+    if core.isalpha():
+        marks, digits, hexadecimal = (0, 0, 0, False, False), 0, False
+        kinds = (not core.isupper(), not core.islower(), False, False)
+    else:
+        digits = sum(map(str.isdigit, core))
+        letters = sum(map(str.isalpha, core))
+        bare = core.replace("-", "")
+        hexadecimal = 0 < digits < n and _HEXADECIMAL.issuperset(bare) and letters > 0
+        marks = (min(core.count("-"), 5), min(core.count("."), 3), min(core.count("/"), 4), "@" in core, "://" in core)
+        kinds = ("a" in shape, "A" in shape, digits > 0, digits + letters < n)
+    return shape[:6], min(n, 48), min(len(shape), 16), min(len(set(core)), 24), 8 * digits // n, kinds, marks, hexadecimal, word[0] in "\"'", sign
 
 
 def own_features(key: tuple) -> list[str]:
-    """Shape features of a token itself."""
-    shape, n, digits, letters, varied, quoted, sign = key
-    both = digits > 0 and letters > 0
+    """Features of a token itself: its alphabet, how often it changes the class of character, how varied it is."""
+    shape, n, changes, distinct, digits, kinds, (dashes, dots, slashes, at, scheme), hexadecimal, quoted, sign = key
+    mix = "".join(letter for letter, held in zip("aA9*", kinds) if held)
     # Graded features hold from their bound on, so that longer or more varied tokens than those seen count as well.
-    names = [f"mixed {t}" for t in (8, 12, 16, 24, 32) if both and n >= t]
-    names += [f"changes {t}" for t in (3, 5, 8, 12) if both and len(shape) >= t]
-    names += [f"digits {t}" for t in (1, 2, 3) if both and 8 * digits >= t * n]
-    names += [f"varied {t}" for t in (1, 2, 3) if both and varied >= t]
-    return [*names, f"kind {digits > 0} {letters > 0}", f"shape {shape[:6]}", f"quoted {quoted}", f"assigns {sign}"]
+    names = [f"length {t}" for t in (6, 8, 10, 12, 16, 20, 24, 32, 40) if n >= t]
+    names += [f"changes {t}" for t in (3, 4, 5, 6, 8, 10, 12) if changes >= t]
+    names += [f"rate {t}" for t in range(1, 7) if 8 * changes >= t * n]
+    names += [f"distinct {t}" for t in (6, 8, 10, 12, 16, 20) if distinct >= t]
+    names += [f"digits {t}" for t in range(1, 8) if digits >= t]
+    names += [f"mix {mix}", f"mix {mix} length {min(n // 8, 4)}", f"mix {mix} changes {min(changes // 2, 6)}"]
+    names += [f"{name} {count}" for name, count in (("dashes", dashes), ("dots", dots), ("slashes", slashes)) if count]
+    if hexadecimal:
+        names += [f"hexadecimal {min(n // 4, 8)} {dashes > 0}"]
+    return [*names, f"address {at} {scheme} {mix}", f"shape {shape}", f"quoted {quoted}", f"assigns {sign}"]
 
 
 def core_of(word: str) -> str:
@@ -110,7 +134,8 @@ def core_of(word: str) -> str:
 
 def near_features(word: str, side: str) -> list[str]:
     """What a token says about its neighbour: the word, its shape, whether it assigns."""
-    return [f"{side} {core_of(word)}", *_near_shape(_shape(word)[:6], "=" in word or ":" in word, side)]
+    key = own_key(word)
+    return [f"{side} {core_of(word)}", *_near_shape(key[0], key[-1], side)]
 
 
 def _near_shape(shape: str, sign: bool, side: str) -> list[str]:
@@ -167,61 +192,185 @@ def without_context(runs: list[tuple[list[str], list[int], list[str]]]) -> list[
     return copies
 
 
+def _drawn(rng: random.Random, alphabet: str, least: int, most: int) -> str:
+    return "".join(rng.choices(alphabet, k=rng.randint(least, most)))
+
+
+def strange(rng: random.Random) -> str:
+    """A random string such as secrets are: from some alphabet, alone, behind a prefix, in parts or in an address."""
+    mixed = string.ascii_letters + string.digits
+    form = rng.randrange(9)
+    if form == 0:
+        return _drawn(rng, string.hexdigits[:16], 16, 64)
+    if form == 1:
+        return _drawn(rng, string.digits + "ABCDEF", 16, 64)
+    if form == 2:
+        return _drawn(rng, mixed + "+/", 16, 64) + rng.choice(("", "=", "=="))
+    if form == 3:
+        return _drawn(rng, string.ascii_lowercase, 2, 4) + rng.choice("_-") + _drawn(rng, mixed, 16, 40)
+    if form == 4:
+        return ".".join(_drawn(rng, mixed + "_-", 12, 40) for _ in range(3))
+    if form == 5:
+        user, password = _drawn(rng, string.ascii_lowercase, 3, 8), _drawn(rng, mixed + "!#$%&*+-_", 8, 20)
+        host = _drawn(rng, string.ascii_lowercase, 3, 9) + rng.choice((".com", ".org", ":5432", ".net/x"))
+        return f"{_drawn(rng, string.ascii_lowercase, 4, 8)}://{user}:{password}@{host}"
+    if form == 6:
+        return _drawn(rng, mixed + "!@#$%^&*+-_?", 10, 28)
+    return _drawn(rng, mixed if form == 7 else rng.choice((string.ascii_lowercase, string.ascii_uppercase)) + string.digits, 12, 48)
+
+
+def ordinary(rng: random.Random, word: str) -> str:
+    """An id, number, name or address that is no secret."""
+    number, low = _drawn(rng, string.digits, 1, 20), word.strip(_EDGES).lower() or "x"
+    form = rng.randrange(14)
+    if form == 0:
+        return "-".join(_drawn(rng, string.hexdigits[:16], n, n) for n in (8, 4, 4, 4, 12))
+    if form == 1:
+        return f"{rng.randint(1900, 2099)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}" + rng.choice(("", "T10:20:30Z", "T08:01"))
+    if form == 2:
+        return ".".join(str(rng.randint(0, 255)) for _ in range(rng.choice((2, 3, 4))))
+    if form == 3:
+        return f"{low}.{rng.choice('abcdef')}{rng.randint(1, 99)}@{low}.org"
+    if form == 4:
+        return f"https://www.{low}.org/{low}/{number[:6]}" + rng.choice(("", ".html", f"/{low}-{low}"))
+    if form == 5:
+        return f"/{low}/{low}{rng.randint(1, 9)}/{low}.txt"
+    if form == 6:
+        return low + low.capitalize() + rng.choice(("", low.capitalize(), number[:2]))
+    if form == 7:
+        return f"{low}_{low}" + rng.choice(("", f"_{number[:3]}"))
+    if form == 8:
+        return low + number[:4]
+    if form == 9:
+        return low[:4].upper() + "-" + number[:8]
+    if form == 10:
+        return rng.choice(("v", "$", "+", "#", "")) + rng.choice((f"{number[:3]}.{number[:2]}", f"{number[:2]},{number[:3]}", number))
+    if form == 11:
+        return low + rng.choice("#$%&*!|=") * rng.randint(1, 4)
+    if form == 12:
+        return f"{low}-{low}-{rng.choice((low, number[:3]))}"
+    return number
+
+
+def made_runs(runs: list[tuple[list[str], list[int], list[str]]], copies: int = COPIES) -> list[tuple[list[str], list[int], list[str]]]:
+    """Copies of labelled runs with strange strings for the secret, three of four among plain words; of plain runs with ordinary ids."""
+    rng = random.Random(0)
+    labelled = [r for r in runs if any(t != O for t in r[1])]
+    plain = [r for r in runs if all(t == O for t in r[1])]
+    words = [w for own, _, _ in plain for w in own]
+    made = []
+    for k in range(copies):
+        own, tags, file = labelled[k % len(labelled)]
+        among = bool(plain) and k % 4 > 0
+        shown = [rng.choice(words) if among and t == O else w for w, t in zip(own, tags)]
+        frame = rng.choice(("{}", "{}", "{}", '"{}"', "{},", "{}.", "({})"))
+        shown = [w if t == O else frame.format(strange(rng)) for w, t in zip(shown, tags)]
+        made.append((shown, tags, rng.choice(plain)[2] if among else file))
+        if plain:
+            own, tags, file = plain[rng.randrange(len(plain))]
+            made.append(([ordinary(rng, w) if rng.random() < 0.2 else w for w in own], tags, file))
+    return made
+
+
+class _Groups:
+    """Tokens with equal features, numbered once, so that a pass over the tokens touches one number each."""
+
+    def __init__(self, names: dict[str, int]):
+        self.names, self.known = names, {}
+        self.pick: list[int] = []
+        self.owner: list[int] = []
+
+    def number(self, key, features) -> int:
+        found = self.known.get(key)
+        if found is None:
+            found = self.known[key] = len(self.known)
+            picked = [self.names.setdefault(f, len(self.names)) for f in features()]
+            self.pick += picked
+            self.owner += [found] * len(picked)
+        return found
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        return np.stack([np.bincount(self.owner, weights[self.pick, k], len(self.known)) for k in range(3)], axis=1)
+
+    def gradient(self, of: np.ndarray, off: np.ndarray) -> np.ndarray:
+        own = np.stack([np.bincount(of, off[:, k], len(self.known)) for k in range(3)], axis=1)
+        return np.stack([np.bincount(self.pick, own[self.owner, k], len(self.names)) for k in range(3)], axis=1)
+
+
+def _log_total(x: np.ndarray, axis: int) -> np.ndarray:
+    top = x.max(axis=axis, keepdims=True)
+    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
+
+
+def forward_backward(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log partition of each run, tag probabilities and expected numbers of moves; ``e`` is padded, the longest run first."""
+    longest = e.shape[1]
+    active = [int((lengths > t).sum()) for t in range(longest)]
+    alpha, beta = np.zeros_like(e), np.zeros_like(e)
+    alpha[:, 0] = e[:, 0] + start
+    for t in range(1, longest):
+        n = active[t]
+        alpha[:n, t] = e[:n, t] + _log_total(alpha[:n, t - 1, :, None] + moves, 1)
+        alpha[n:, t] = alpha[n:, t - 1]
+    for t in range(longest - 2, -1, -1):
+        n = active[t + 1]
+        beta[:n, t] = _log_total(moves + (e[:n, t + 1] + beta[:n, t + 1])[:, None, :], 2)
+    z = _log_total(alpha[:, -1], 1)
+    held = np.arange(longest) < lengths[:, None]
+    p = np.exp(np.minimum(alpha + beta - z[:, None, None], 0)) * held[:, :, None]
+    expected = np.zeros((3, 3))
+    for t in range(1, longest):
+        n = active[t]
+        both = alpha[:n, t - 1, :, None] + moves + (e[:n, t] + beta[:n, t])[:, None, :] - z[:n, None, None]
+        expected += np.exp(np.minimum(both, 0)).sum(axis=0)
+    return z, p, expected
+
+
 def train_field(runs: list[tuple[list[str], list[int], list[str]]]) -> Field:
     """``runs``: tokens, tags and file features of each training run."""
     if not any(t != O for _, tags, _ in runs for t in tags):
         return _empty_field()
-    runs = [*runs, *without_context(runs)]
-    longest = max(len(w) for w, _, _ in runs)
+    runs = sorted([*runs, *without_context(runs), *made_runs(runs)], key=lambda r: -len(r[0]))
+    lengths = np.array([len(w) for w, _, _ in runs])
+    longest = int(lengths[0])
     names: dict[str, int] = {}
-    pick, rows, slots, tags = [], [], [], np.full((len(runs), longest), -1)
+    own_of, file_of, before_of, after_of = (_Groups(names) for _ in range(4))
+    tokens, tags = [], np.full((len(runs), longest), -1)
     for r, (words, own, file) in enumerate(runs):
+        text = file_of.number(tuple(file), lambda: file)  # noqa: B023
         for t, word in enumerate(words):
-            features = own_features(own_key(word)) + file
-            features += near_features(words[t - 1], "before") if t else ["first"]
-            features += near_features(words[t + 1], "after") if t + 1 < len(words) else ["last"]
-            pick += [names.setdefault(f, len(names)) for f in features]
-            rows += [r] * len(features)
-            slots += [t] * len(features)
+            key = own_key(word)
+            left, right = words[t - 1] if t else None, words[t + 1] if t + 1 < len(words) else None
+            tokens.append(
+                (
+                    own_of.number(key, lambda: own_features(key)),  # noqa: B023
+                    text,
+                    before_of.number(left, lambda: near_features(left, "before") if left is not None else ["first"]),  # noqa: B023
+                    after_of.number(right, lambda: near_features(right, "after") if right is not None else ["last"]),  # noqa: B023
+                )
+            )
         tags[r, : len(own)] = own
-    pick, rows, slots = np.array(pick), np.array(rows), np.array(slots)
+    groups, tokens = (own_of, file_of, before_of, after_of), np.array(tokens)
+    for group in groups:
+        group.pick, group.owner = np.array(group.pick), np.array(group.owner)
     mask = tags >= 0
     weights, moves, start = np.zeros((len(names), 3)), np.zeros((3, 3)), np.zeros(3)
     seen = [np.full_like(weights, 1e-8), np.full_like(moves, 1e-8), np.full_like(start, 1e-8)]
-    flat = rows * longest + slots
     gold = np.zeros((len(runs), longest, 3))
-    r, t = np.nonzero(mask)
-    gold[r, t, tags[r, t]] = 1
+    r, t_of = np.nonzero(mask)  # in the order of the tokens
+    gold[r, t_of, tags[r, t_of]] = 1
     gold_moves = np.zeros((3, 3))
     pairs = mask[:, 1:]
     np.add.at(gold_moves, (tags[:, :-1][pairs], tags[:, 1:][pairs]), 1)
 
-    def total(x: np.ndarray, axis: int) -> np.ndarray:
-        top = x.max(axis=axis, keepdims=True)
-        return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
-
     for _ in range(EPOCHS):
-        e = np.stack(
-            [np.bincount(flat, weights[pick, k], len(runs) * longest).reshape(len(runs), longest) for k in range(3)], axis=2
-        )
+        e = np.zeros((len(runs), longest, 3))
+        e[r, t_of] = sum(group.scores(weights)[of] for group, of in zip(groups, tokens.T))
         m, s = moves.copy(), start.copy()
         m[O, I], s[I] = _NEVER, _NEVER
-        alpha, beta = np.zeros_like(e), np.zeros_like(e)
-        alpha[:, 0] = e[:, 0] + s
-        for t in range(1, longest):
-            new = e[:, t] + total(alpha[:, t - 1, :, None] + m, 1)
-            alpha[:, t] = np.where(mask[:, t, None], new, alpha[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            new = total(m + (e[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-            beta[:, t] = np.where(mask[:, t + 1, None], new, 0.0)
-        z = total(alpha[:, -1], 1)
-        p = np.exp(np.minimum(alpha + beta - z[:, None, None], 0)) * mask[:, :, None]
-        expected = np.zeros((3, 3))
-        for t in range(1, longest):
-            both = alpha[:, t - 1, :, None] + m + (e[:, t] + beta[:, t])[:, None, :] - z[:, None, None]
-            expected += (np.exp(np.minimum(both, 0)) * mask[:, t, None, None]).sum(axis=0)
-        off = (p - gold).reshape(-1, 3)
-        g = np.stack([np.bincount(pick, off[flat, k], len(names)) for k in range(3)], axis=1) + PENALTY * weights
+        _, p, expected = forward_backward(e, lengths, m, s)
+        off = (p - gold)[r, t_of]
+        g = sum(group.gradient(of, off) for group, of in zip(groups, tokens.T)) + PENALTY * weights
         steps = [(weights, g), (moves, expected - gold_moves), (start, (p - gold)[:, 0].sum(axis=0))]
         for (w, g), h in zip(steps, seen):
             h += g * g
@@ -265,6 +414,21 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, field: Field) -> np.ndarray
     return tags
 
 
+def may_hold(scores: np.ndarray, starts: np.ndarray, field: Field) -> np.ndarray:
+    """Which lines (by their first token) can have a best path other than all O.
+
+    Against all O, a secret gains at most the best move into B and back to O at its begin, and the best move into I
+    at each further token. If no begin gains, and all gains of I together do not make up for the best begin, O stays.
+    """
+    moves, stay = field.moves, field.moves[O, O]
+    back = max(0.0, moves[B, O] - stay, moves[I, O] - stay)
+    begin = scores[:, B] - scores[:, O] + (moves[:, B].max() - stay + back)
+    begin[starts] = (scores[starts, B] - scores[starts, O]) + (max(field.start[B] - field.start[O], 0.0) + back)
+    inside = scores[:, I] - scores[:, O] + (max(moves[B, I], moves[I, I]) - stay)
+    best = np.maximum.reduceat(begin, starts)
+    return (best >= -1e-9) | (best + np.add.reduceat(np.maximum(inside, 0.0), starts) >= -1e-9)
+
+
 class _WordScores(dict):
     """Row of each distinct word in ``table``: its own, before and after scores (three tags each)."""
 
@@ -280,7 +444,7 @@ class _WordScores(dict):
         own = self.own.get(key)
         if own is None:
             own = self.own[key] = self.field.of(own_features(key))
-        around = (key[0][:6], key[6])
+        around = (key[0], key[-1])
         near = self.near.get(around)
         if near is None:
             sides = [self.field.of(_near_shape(*around, side)) for side in ("before", "after")]
@@ -328,8 +492,15 @@ def decode(
     scores[ends] += field.of(["last"])
     file = np.array([field.of(file_features(t)) if t else np.zeros(3) for t in texts])
     scores += np.repeat(file[np.array(owner)], lengths, axis=0)
-    tags = viterbi(scores, lengths, field)
+    tags = np.full(len(scores), O, np.int8)
+    open_lines = np.zeros(len(lengths), bool)
+    open_lines[some] = may_hold(scores, starts, field)
+    if open_lines.any():
+        chosen = np.repeat(open_lines, lengths)
+        tags[chosen] = viterbi(scores[chosen], lengths[open_lines], field)
     hits = np.flatnonzero(tags == B)
+    if not len(hits):
+        return
     line_of = np.searchsorted(np.cumsum(lengths), hits, side="right")
     first = np.cumsum(lengths) - lengths
     base: dict[int, int] = {}
@@ -382,7 +553,7 @@ def _runs(text: str) -> Iterator[tuple[list[str], list[int]]]:
             while yes:
                 lo = max(0, yes[0] - AROUND)
                 hi = yes[0] + AROUND + 1
-                while any(i < hi + AROUND and i >= hi for i in yes):
+                while hi - lo < RUN_TOKENS and any(i < hi + AROUND and i >= hi for i in yes):
                     hi += AROUND
                 yield words[lo:hi], tags[lo:hi]
                 yes = [i for i in yes if i >= hi]
@@ -395,17 +566,17 @@ def _runs(text: str) -> Iterator[tuple[list[str], list[int]]]:
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> Field:
-    """Fit on about ``sample`` documents, dealt by a hash of the id; one in four of those without a secret is used."""
-    count = max(docs.count(), 1)
-    spread = F.pmod(F.xxhash64(F.col(id_column)), F.lit(1 << 30))
-    picked = docs.filter(spread < F.lit(min(1 << 30, (1 << 30) * sample // count)))
-    base = picked.select(F.col(text_column).alias("text"), (F.pmod(spread, F.lit(4)) == 0).alias("plain"))
+    """Fit on about ``sample`` documents, dealt by a hash of id and text (equal rows count once); one in four of those
+    without a secret is used, of each text at most TEXT_RUNS runs of at most about RUN_TOKENS tokens."""
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    picked = sampled(rows, share_of(sample, docs.count()), ["id", "text"])
+    base = picked.select("text", (F.pmod("__deal", F.lit(4)) == 0).alias("plain"))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, tags, files = [], [], []
             for text, plain in zip(batch.column("text").to_pylist(), batch.column("plain").to_pylist()):
-                for w, t in _runs(text) if text else ():
+                for w, t in islice(_runs(text), TEXT_RUNS) if text else ():
                     if plain or any(x != O for x in t):
                         words.append(w)
                         tags.append(t)
