@@ -2,13 +2,14 @@
 
 import random
 import re
+import string
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import html_text, language_id, packing, secrets, toxicity
+from riskloom.llm import common, html_text, language_id, packing, secrets, toxicity
 
 # --------------------------------------------------------------------------- packing
 
@@ -130,6 +131,56 @@ def test_temperature_restores_calibration():
     assert language_id.temperature(scores * 5, labels) == pytest.approx(5, rel=0.15)
 
 
+def test_temperature_without_any_error_stays_off_its_bound():
+    labels = np.arange(300) % 3
+    scores = np.where(np.eye(3)[labels] == 1, 2.0, 0.0)
+    t = language_id.temperature(scores, labels)
+    top = language_id._softmax(scores / t)[np.arange(300), labels]
+    # The smoothed target of a language with 100 texts is the best that its scores can reach.
+    assert t > 2 * language_id.TEMPERATURES[0] and top == pytest.approx(101 / 102, rel=1e-3)
+    assert language_id.temperature(scores[:0], labels[:0]) == 1.0
+    with pytest.warns(UserWarning, match="temperature"):
+        language_id.temperature(np.array([[0.0, 2.0], [2.0, 0.0]] * 4), np.array([0, 1] * 4))
+
+
+# --------------------------------------------------------------------------- samples
+
+
+@pytest.mark.parametrize("rows", [
+    [(None, f"text {i}") for i in range(3000)],
+    [(5, f"text {i}") for i in range(3000)],
+    [(i, "same") for i in range(3000)],
+    [(7, "same")] * 3000,
+    [(None, None)] * 3000,
+])
+def test_samples_bound_rows_whatever_the_ids(spark, rows):
+    df = spark.createDataFrame(rows, "id long, text string").repartition(5)
+    different = len(set(rows))
+    n = common.sampled(df, common.share_of(300, 3000), ["id", "text"]).count()
+    assert n <= 1 if different == 1 else 240 < n < 360
+    assert common.sampled(df, common.share_of(5000, 3000), ["id", "text"]).count() == different
+
+
+def test_fits_read_bounded_rows(spark, monkeypatch):
+    """Null and repeated ids bring no more rows to the driver than the bound says."""
+    seen = []
+    monkeypatch.setattr(secrets, "train_field", lambda runs: seen.append(len(runs)))
+    texts = [f"call it {i} token={'ab1' * 4}{i} now and then" for i in range(2000)]
+    for ids in ([None] * 2000, [5] * 2000):
+        secrets.train(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string"), sample=50)
+    assert all(20 < n < 100 for n in seen)
+    seen.clear()
+    monkeypatch.setattr(toxicity, "fit_chain", lambda rows, labels, folds: seen.append(len(rows)))
+    docs = spark.createDataFrame([(i % 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    toxicity.train(docs, spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int"), ["toxic"], sample=50)
+    assert 20 < seen[0] < 100
+    seen.clear()
+    monkeypatch.setattr(html_text, "train_weights", lambda rows, labels: seen.append(len(rows)))
+    pages = [(None, f"<article>{'<p>a b</p>' * 400}<p>{i}</p></article>") for i in range(300)]
+    html_text.train(spark.createDataFrame(pages, "page_id long, html string"), sample=30)
+    assert 10 * html_text.PAGE_BLOCKS < seen[0] < 60 * html_text.PAGE_BLOCKS
+
+
 # --------------------------------------------------------------------------- toxicity
 
 
@@ -182,6 +233,28 @@ def test_toxicity_edges(spark, make_docs):
     assert toxicity.score(make_docs([]), toxicity.Chain(())).count() == 0
 
 
+def test_make_of_a_text_is_learned_where_words_say_nothing():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(200)]
+    rows, bad = [], []
+    for i in range(400):
+        own = [rng.choice(words) for _ in range(40)]
+        if i % 4 == 0:
+            own = [[w + "###", w.upper(), f"{w}\n"][i // 4 % 3] for w in own] if i // 4 % 3 < 2 else ["one line\n"] * 20
+        text = " ".join(own)
+        found = toxicity._WORD.findall(text.lower())
+        rows.append(np.array(toxicity.text_features(set(found), toxicity.make_places(text, found))))
+        bad.append(float(i % 4 == 0))
+    fit, held = slice(0, 300), range(300, 400)
+    step = toxicity.fit_chain(rows[fit], {"bad": np.array(bad[fit])}, np.arange(300) % 3).steps[0]
+    table = dict(zip(step.places.tolist(), step.weights.tolist()))
+    found = [step.bias + sum(table.get(int(p), 0.0) for p in rows[i]) > 0 for i in held]
+    assert found == [i % 4 == 0 for i in held]
+    assert toxicity.make_places("abcd", ["abcd"]) == []
+    signs, capitals, digits, lines, repeats = toxicity._GRADES
+    assert toxicity.make_places("A#a\n", ["a", "a"]) == signs[:5] + capitals[:5] + repeats  # a quarter, a quarter, a half
+
+
 # --------------------------------------------------------------------------- secrets
 
 
@@ -262,6 +335,102 @@ def test_viterbi_matches_enumeration():
         at += n
 
 
+def test_forward_backward_matches_enumeration():
+    import itertools
+
+    rng = np.random.default_rng(9)
+    moves, start = rng.normal(size=(3, 3)), np.array([0.3, -1e4, 0.1])
+    moves[2, 1] = -1e4
+    lengths = np.array([5, 3, 3, 1])
+    e = rng.normal(size=(4, 5, 3)) * (np.arange(5) < lengths[:, None])[:, :, None]
+    z, p, expected = secrets.forward_backward(e, lengths, moves, start)
+    counts = np.zeros((3, 3))
+    for r, n in enumerate(lengths.tolist()):
+        paths = list(itertools.product(range(3), repeat=n))
+        value = np.array([start[x[0]] + sum(moves[a, b] for a, b in zip(x, x[1:])) + sum(e[r, t, k] for t, k in enumerate(x)) for x in paths])
+        chance = np.exp(value - value.max())
+        assert z[r] == pytest.approx(np.log(chance.sum()) + value.max())
+        chance /= chance.sum()
+        own = np.zeros((5, 3))
+        for x, c in zip(paths, chance):
+            for t, k in enumerate(x):
+                own[t, k] += c
+            for a, b in zip(x, x[1:]):
+                counts[a, b] += c
+        assert np.allclose(p[r], own)
+    assert np.allclose(expected, counts)
+    # Both are the derivatives of the log partition.
+    step = 1e-6
+    for t, k in ((0, 0), (2, 2), (4, 1)):
+        e[0, t, k] += step
+        assert (secrets.forward_backward(e, lengths, moves, start)[0][0] - z[0]) / step == pytest.approx(p[0, t, k], abs=1e-4)
+        e[0, t, k] -= step
+    moves[0, 2] += step
+    assert (secrets.forward_backward(e, lengths, moves, start)[0].sum() - z.sum()) / step == pytest.approx(expected[0, 2], abs=1e-4)
+
+
+def test_lines_left_out_hold_no_secret():
+    rng = np.random.default_rng(4)
+    left_out = 0
+    for trial in range(60):
+        moves, start = rng.normal(size=(3, 3)), np.array([rng.normal(), -1e4, rng.normal()])
+        moves[2, 1] = -1e4
+        field = secrets.Field({}, moves, start)
+        lengths = rng.integers(1, 6, 30)
+        scores = rng.normal(size=(lengths.sum(), 3))
+        scores[:, 2] += rng.uniform(0, 4)
+        starts = np.cumsum(lengths) - lengths
+        may = secrets.may_hold(scores, starts, field)
+        tags = secrets.viterbi(scores, lengths, field)
+        assert not (tags[~np.repeat(may, lengths)] != secrets.O).any()
+        left_out += int((~may).sum())
+    assert left_out > 100
+
+
+def test_field_recall_and_precision_by_kind():
+    rng = random.Random(41)
+    letters = string.ascii_letters + string.digits
+    draw = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    secret = {
+        "prefix": lambda: "ghp_" + draw(letters, 36),
+        "base64": lambda: draw(letters + "+/", 43) + "=",
+        "token": lambda: ".".join(draw(letters + "-_", n) for n in (20, 40, 30)),
+        "short": lambda: draw(letters, 16),
+        "signs": lambda: f"{draw(letters, 4)}${draw(letters, 4)}!{draw(letters, 3)}@{draw(letters, 3)}",
+        "hex": lambda: draw("0123456789abcdef", 20),
+        "address": lambda: f"postgres://admin:{draw(letters, 12)}@db.internal:5432/main",
+    }
+    harmless = {
+        "dashed": lambda: "-".join(draw("0123456789abcdef", n) for n in (8, 4, 4, 4, 12)),
+        "number": lambda: draw("0123456789", rng.randint(5, 18)),
+        "mail": lambda: f"{draw('abcdefgh', 6)}{rng.randint(1, 99)}@mail.org",
+        "page": lambda: f"https://example.com/a/{draw('abcdefgh', 6)}/{rng.randint(1, 9999)}",
+    }
+    runs = []
+    for i, text in enumerate(secret_texts()):
+        runs += [(w, t, secrets.file_features(text)) for w, t in secrets._runs(text)]
+    field = secrets.train_field(sorted(runs))
+    words = secrets._WordScores(field)
+    plain = [t.replace("\n", " ").split() for t in secret_texts(seed=8) if "token" not in t]
+    contexts = (["{}"], ["the", "credential", "is", "{}", "and"], ["passphrase", "{}", ","])
+
+    def share(kind):
+        hit = 0
+        for k in range(120):
+            own, value = list(rng.choice(plain)), kind()
+            at = rng.randint(1, len(own) - 1)
+            own[at:at] = [w.replace("{}", value) for w in contexts[k % 3]]
+            text = " ".join(own)
+            a = text.index(value)
+            fixed = [secrets.base_spans(text)]
+            spans = [(x, y) for _, x, y in secrets.decode([text], field, words, fixed)] + [(x, y) for x, _, y in fixed[0]]
+            hit += any(x < a + len(value) and y > a for x, y in spans)
+        return hit / 120
+
+    assert {name: s for name, kind in secret.items() if (s := share(kind)) < 0.85} == {}
+    assert {name: s for name, kind in harmless.items() if (s := share(kind)) > 0.02} == {}
+
+
 def test_secret_edges(make_docs, clashing):
     docs = make_docs([None, "", "plain", (None, "token=abcdef1"), (5, "token=abcdef1"), (5, "token=abcdef1"), "w " * 50_000], **clashing)
     field = secrets.train(make_docs(["nothing here"]))
@@ -322,6 +491,17 @@ def test_cut_is_minimal():
         assert cost == pytest.approx(brute_cut(source, sink, ties))
 
 
+def test_ties_decide_where_a_block_says_little(monkeypatch):
+    """Without any telling element a short line goes with its neighbours, which only the ties of the cut can do."""
+    long = "<p>" + "Some words of a longer text, and then a few more of them, as it goes on. " * 6 + "</p>"
+    page = f"<div>{long}<div>so it was</div>{long}</div>"
+    weights = np.array(html_text.PRIOR)
+    assert "so it was" in html_text.main_text(page, weights)
+    for tie in ("NEXT_TIE", "PARENT_TIE", "GRANDPARENT_TIE"):
+        monkeypatch.setattr(html_text, tie, 0.0)
+    assert "so it was" not in html_text.main_text(page, weights)
+
+
 def test_page_edges(spark):
     weights = np.array(html_text.PRIOR)
     assert [html_text.main_text(x, weights) for x in (None, "", "<p", "<script>x", "<!-- a", "<nav>a</nav>")] == [""] * 6
