@@ -8,8 +8,11 @@ shrunk towards its language and the whole table: thresholds are read from the we
 shares, its language's and the table's, with PRIOR rows for each of the latter two. So a small group does not
 set its own rules, and no switch decides when it may.
 
-Thresholds are Tukey fences: from the quartiles, FENCE interquartile ranges outwards, the range counted as at
-least the rule's ``floor`` (ratios that are nearly always zero have none). The thresholds then join the rows.
+Thresholds are fences: from the quartiles, FENCE interquartile ranges outwards. Ratios that are nearly always
+zero have no such range; there the fence lies EVENTS events away, counted in a text of the group's median size,
+which is read from sketches of the denominators. So either width comes from the merged sketches, and no rule has
+a cutoff of its own. A fence is never nearer than the sketch can tell values apart. The thresholds then join
+the rows.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Defined cases: null or empty texts have no words, all ratios zero, and
 fail the base rule; a null lang or source is a group of its own; repeated rows count as often as they appear;
@@ -28,13 +31,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskloom.llm.common import BROADCAST_ROWS, map_arrow, stage
+from riskloom.llm.common import BROADCAST_ROWS, map_arrow, sized, stage
 
 GAMMA = 1.02
 #: Values below this count as zero (bucket null).
 LEAST = 1e-6
-FENCE = 3.0
+FENCE = 5.0
+EVENTS = 4
 PRIOR = 200
+#: Stands for the null bucket where buckets are put in order; below ``log(LEAST) / log(GAMMA)``.
+ZERO = -1000
+#: Rows of cumulated language sketches, an array each, up to which they are sent to all executors.
+SKETCH_ROWS = 500
 SHINGLE = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30
@@ -44,24 +52,26 @@ SYMBOLS = b"#*$%&|<>"
 
 @dataclass(frozen=True)
 class Rule:
-    """A ratio, the least interquartile range to assume, and which sides are fenced."""
+    """A ratio, what one event adds to its top, and which sides are fenced."""
 
     name: str
     top: str
     bottom: str
-    floor: float
+    event: int = 1
     low: bool = False
     high: bool = True
 
 
 RULES = (
-    Rule("word_length", "word_chars", "n_words", 0.35, low=True),
-    Rule("symbol_ratio", "n_symbols", "n_words", 0.03),
-    Rule("dup_line_ratio", "n_dup_lines", "n_lines", 0.16),
-    Rule("repeat_ratio", "n_repeat_words", "n_words", 0.08),
-    Rule("same_word_ratio", "n_same_words", "n_words", 0.05),
-    Rule("upper_ratio", "n_upper", "word_chars", 0.05),
+    Rule("word_length", "word_chars", "n_words", low=True),
+    Rule("symbol_ratio", "n_symbols", "n_words"),
+    Rule("dup_line_ratio", "n_dup_lines", "n_lines"),
+    Rule("repeat_ratio", "n_repeat_words", "n_words", event=2 * SHINGLE),
+    Rule("same_word_ratio", "n_same_words", "n_words"),
+    Rule("upper_ratio", "n_upper", "word_chars"),
 )
+#: Denominators, whose sketches give the size of a text.
+SIZES = tuple(dict.fromkeys(r.bottom for r in RULES))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_same_words", "n_upper")
 
 _CLASS = np.zeros(256, np.uint8)
@@ -137,8 +147,12 @@ def base_failed() -> Column:
 
 
 def sketches(counts: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, rule, bucket, n): mergeable by adding ``n``. Texts without words are left out."""
-    pairs = F.array(*[F.struct(F.lit(r.name).alias("rule"), ratio(r).alias("v")) for r in RULES])
+    """(lang, source, rule, bucket, n): mergeable by adding ``n``. Texts without words are left out.
+
+    ``rule`` names a ratio or a denominator.
+    """
+    values = [(r.name, ratio(r)) for r in RULES] + [(c, F.col(c).cast("double")) for c in SIZES]
+    pairs = F.array(*[F.struct(F.lit(name).alias("rule"), v.alias("v")) for name, v in values])
     long = counts.filter("n_words > 0").select(
         F.col(lang).alias("lang"), F.col(source).alias("source"), F.explode(pairs).alias("x")
     )
@@ -150,61 +164,97 @@ def sketches(counts: DataFrame, lang: str = "lang", source: str = "source") -> D
     )
 
 
-def thresholds(sketch: DataFrame) -> DataFrame:
-    """(lang, source, rule, low, high) of every group.
+def _background(cells: DataFrame) -> DataFrame:
+    """(lang, rule, bucket, w): language and table sketches as one cumulated weight, PRIOR rows each.
 
-    Group, language and table sketches are merged with weights; the windows below run over the buckets of one
-    group, whose number is bounded by the logarithm of the value range, not by rows.
+    One row per language, rule and bucket of the table, however many sources a language has. The sums are whole
+    numbers until the end, so that no order of adding shows.
     """
-    spark = sketch.sparkSession
-    by_lang = sketch.groupBy("lang", "rule", "bucket").agg(F.sum("n").alias("n"))
-    overall = by_lang.groupBy("rule", "bucket").agg(F.sum("n").alias("n"))
-    lang_total = by_lang.groupBy("lang", "rule").agg(F.sum("n").alias("t"))
-    all_total = overall.groupBy("rule").agg(F.sum("n").alias("t"))
-    groups = sketch.groupBy("lang", "source", "rule").agg(F.sum("n").alias("own"))
-    lang_share = by_lang.alias("b").join(
-        lang_total.alias("t"), F.col("b.lang").eqNullSafe(F.col("t.lang")) & (F.col("b.rule") == F.col("t.rule"))
-    ).select("b.lang", "b.rule", "bucket", (PRIOR * F.col("n") / F.col("t")).alias("w"))
-    all_share = overall.join(all_total, "rule").select("rule", "bucket", (PRIOR * F.col("n") / F.col("t")).alias("w"))
-    g = groups.select(F.col("lang").alias("gl"), F.col("source").alias("gs"), F.col("rule").alias("gr"))
-    parts = [
-        sketch.select("lang", "source", "rule", "bucket", F.col("n").cast("double").alias("w")),
-        g.join(lang_share, F.col("gl").eqNullSafe(F.col("lang")) & (F.col("gr") == F.col("rule"))).select(
-            F.col("gl").alias("lang"), F.col("gs").alias("source"), "rule", "bucket", "w"
-        ),
-        g.join(all_share, F.col("gr") == F.col("rule")).select(
-            F.col("gl").alias("lang"), F.col("gs").alias("source"), "rule", "bucket", "w"
-        ),
-    ]
-    merged = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    merged = merged.groupBy("lang", "source", "rule", "bucket").agg(F.sum("w").alias("w"))
-    key = ["lang", "source", "rule"]
-    ordered = Window.partitionBy(*key).orderBy(F.col("bucket").asc_nulls_first())
-    value = F.when(F.col("bucket").isNull(), 0.0).otherwise(
-        F.pow(F.lit(GAMMA), F.col("bucket")) * 2 / (1 + GAMMA)
-    )
-    run = merged.withColumns(
-        {
-            "__to": F.sum("w").over(ordered),
-            "__all": F.sum("w").over(Window.partitionBy(*key)),
-            "__value": value,
-        }
+    by_lang = stage(cells.groupBy("lang", "rule", "bucket").agg(F.sum("n").alias("n")))
+    overall = by_lang.groupBy("rule", "bucket").agg(F.sum("n").alias("n_all"))
+    langs = by_lang.groupBy("lang", "rule").agg(F.sum("n").alias("t")).alias("g")
+    grid = langs.join(overall, "rule").select("lang", "rule", "t", "bucket", "n_all")
+    found = grid.alias("x").join(
+        by_lang.alias("y"),
+        F.col("x.lang").eqNullSafe(F.col("y.lang"))
+        & (F.col("x.rule") == F.col("y.rule"))
+        & (F.col("x.bucket") == F.col("y.bucket")),
+        "left",
     )
+    found = found.select("x.*", F.coalesce("y.n", F.lit(0)).alias("n"))
+    whole = Window.partitionBy("lang", "rule")
+    ordered = whole.orderBy("bucket")
+    share = F.sum("n").over(ordered) / F.col("t") + F.sum("n_all").over(ordered) / F.sum("n_all").over(whole)
+    return found.select("lang", "rule", "bucket", (PRIOR * share).alias("w"))
 
-    def quantile(q: float) -> Column:
-        # Shares are compared with a margin far above rounding and far below one row.
-        return F.min(F.when(F.col("__to") >= q * F.col("__all") * (1 - 1e-9), F.col("__value")))
 
-    quartiles = run.groupBy(*key).agg(quantile(0.25).alias("q1"), quantile(0.75).alias("q3"))
-    rules = spark.createDataFrame(
-        [(r.name, r.floor, r.low, r.high) for r in RULES], "rule string, floor double, low boolean, high boolean"
+def quartiles(sketch: DataFrame) -> DataFrame:
+    """(lang, source, rule, q1, q2, q3) of the merged sketch of every group.
+
+    Only a group's own buckets meet the background's weight there. A quartile lies at an own bucket or between
+    two; in the second case the background alone rises, and one search of its array finds the place.
+    """
+    cells = sketch.withColumn("bucket", F.coalesce("bucket", F.lit(ZERO)))
+    cells = cells.groupBy("lang", "source", "rule", "bucket").agg(F.sum("n").alias("n"))
+    background = stage(_background(cells))
+    own = cells.alias("x").join(
+        background.alias("y"),
+        F.col("x.lang").eqNullSafe(F.col("y.lang"))
+        & (F.col("x.rule") == F.col("y.rule"))
+        & (F.col("x.bucket") == F.col("y.bucket")),
     )
-    reach = FENCE * F.greatest(F.col("q3") - F.col("q1"), F.col("floor"))
-    return quartiles.join(F.broadcast(rules), "rule").select(
-        *key,
-        F.when(F.col("low"), F.col("q1") - reach).otherwise(F.lit(float("-inf"))).alias("low"),
-        F.when(F.col("high"), F.col("q3") + reach).otherwise(F.lit(float("inf"))).alias("high"),
+    own = own.select("x.*", F.col("y.w").alias("w"))
+    key = ["lang", "source", "rule"]
+    whole = Window.partitionBy(*key)
+    own = own.withColumns({"to": F.sum("n").over(whole.orderBy("bucket")), "all": F.sum("n").over(whole)})
+    shares = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    picks = []
+    for name, q in shares.items():
+        # Shares are compared with a margin far above rounding and far below one row.
+        need = q * (F.col("all") + 2 * PRIOR) * (1 - 1e-9)
+        reached = F.col("to") + F.col("w") >= need
+        picks += [
+            F.min(F.when(reached, F.col("bucket"))).alias(f"{name}_at"),
+            (F.first(need) - F.coalesce(F.min(F.when(reached, F.col("to") - F.col("n"))), F.first("all"))).alias(
+                f"{name}_rest"
+            ),
+        ]
+    groups = own.groupBy(*key).agg(*picks)
+    curves = background.groupBy(F.col("lang").alias("__l"), F.col("rule").alias("__r")).agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "w"))).alias("__curve")
     )
+    curves = sized(stage(curves), SKETCH_ROWS)
+    joined = groups.join(curves, F.col("lang").eqNullSafe(F.col("__l")) & (F.col("rule") == F.col("__r")))
+
+    def value(name: str) -> Column:
+        between = F.filter("__curve", lambda x: x["w"] >= F.col(f"{name}_rest"))
+        at = F.least(F.col(f"{name}_at"), F.get(between, F.lit(0))["bucket"])
+        middle = F.pow(F.lit(GAMMA), at) * 2 / (1 + GAMMA)
+        return F.when(at == ZERO, 0.0).otherwise(middle).alias(name)
+
+    return joined.select(*key, *[value(name) for name in shares])
+
+
+def thresholds(sketch: DataFrame) -> DataFrame:
+    """(lang, source, rule, low, high, by_events) of every group; ``by_events``: events set the width, not quartiles."""
+    named = F.map_from_entries(F.collect_list(F.struct("rule", F.struct("q1", "q2", "q3"))))
+    groups = quartiles(sketch).groupBy("lang", "source").agg(named.alias("q"))
+    limits = []
+    for r in RULES:
+        q1, q3 = F.col("q")[r.name]["q1"], F.col("q")[r.name]["q3"]
+        spread = FENCE * (q3 - q1)
+        size = F.greatest(F.col("q")[r.bottom]["q2"], F.lit(1.0))
+        events = EVENTS * r.event / size
+        reach = F.greatest(spread, events, (GAMMA - 1) * q3)
+        limits.append(
+            F.struct(
+                F.lit(r.name).alias("rule"),
+                (q1 - reach if r.low else F.lit(float("-inf"))).alias("low"),
+                (q3 + reach if r.high else F.lit(float("inf"))).alias("high"),
+                (events > spread).alias("by_events"),
+            )
+        )
+    return groups.select("lang", "source", F.inline(F.array(*limits)))
 
 
 def judge(counts: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:

@@ -1,6 +1,7 @@
 """Line dedup and quality rules against brute force, and their edge cases."""
 
 import collections
+import math
 import random
 import re
 
@@ -101,6 +102,78 @@ def test_sketches_merge_and_do_not_depend_on_partitions(make_docs):
     assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
 
 
+def brute_limits(rows):
+    """(lang, source, rule): limits, by weights of every single row."""
+    rows = [r for r in rows if r.n_words > 0]
+
+    def rounded_up(v):
+        if v < quality_rules.LEAST:
+            return 0.0
+        bucket = math.ceil(math.log(v) / math.log(quality_rules.GAMMA))
+        return quality_rules.GAMMA**bucket * 2 / (1 + quality_rules.GAMMA)
+
+    def quantile(lang, source, value, q):
+        in_lang = sum(r.lang == lang for r in rows)
+        weights = collections.Counter()
+        for r in rows:
+            w = quality_rules.PRIOR / len(rows) + quality_rules.PRIOR / in_lang * (r.lang == lang)
+            weights[rounded_up(value(r))] += w + (r.lang == lang and r.source == source)
+        left = q * sum(weights.values()) - 1e-6
+        for v in sorted(weights):
+            left -= weights[v]
+            if left <= 0:
+                return v
+
+    limits = {}
+    for lang, source in {(r.lang, r.source) for r in rows}:
+        for rule in quality_rules.RULES:
+            q1, q3 = (quantile(lang, source, lambda r: r[rule.top] / r[rule.bottom], q) for q in (0.25, 0.75))
+            size = quantile(lang, source, lambda r: r[rule.bottom], 0.5)
+            events = quality_rules.EVENTS * rule.event / max(size, 1)
+            reach = max(quality_rules.FENCE * (q3 - q1), events, (quality_rules.GAMMA - 1) * q3)
+            limits[lang, source, rule.name] = (q1 - reach if rule.low else -math.inf, q3 + reach)
+    return limits
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_thresholds_and_verdicts_match_brute_force(make_docs, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(quality_rules, "SKETCH_ROWS", 0)
+        monkeypatch.setattr(quality_rules, "BROADCAST_ROWS", 0)
+    rng = random.Random(12)
+    texts = []
+    for i in range(240):
+        words = ["w" * rng.randint(1, 5 + 3 * (i % 6)) for _ in range(rng.randint(20, 60 + i))]
+        words = [w + rng.choice(["\n", "#", "Q", " "] if rng.random() < 0.1 * (i % 2) else [" "]) for w in words]
+        texts.append(" ".join(words) * rng.choice([1, 1, 1, 2]))
+    texts += [" ".join(f"{i}######" for i in range(90)), "A#" * 50, "x " * 90, "one", None, "", *(["the same " + "row " * 5 + "of many words " * 3] * 40)]
+    keep = ["doc_id", "lang", "source"]
+    docs = make_docs(texts)
+    counts = quality_rules.features(docs, keep)
+    expected = brute_limits(counts.collect())
+    found = quality_rules.thresholds(quality_rules.sketches(counts)).collect()
+    assert {(r.lang, r.source, r.rule) for r in found} == set(expected)
+    for r in found:
+        assert (r.low, r.high) == pytest.approx(expected[r.lang, r.source, r.rule], rel=1e-9)
+    verdicts = quality_rules.quality(docs, keep).collect()
+    assert len(verdicts) == len(texts)
+    for r in verdicts:
+        failed = set()
+        for rule in quality_rules.RULES if r.n_words else ():
+            low, high = expected[r.lang, r.source, rule.name]
+            if not low <= r[rule.top] / r[rule.bottom] <= high:
+                failed.add(rule.name)
+        if r.n_words:
+            assert set(r.failed_rules) == failed
+        assert r.kept == (not r.base_failed and not failed)
+    assert any(r.failed_rules and not r.base_failed for r in verdicts)
+
+
+def test_group_of_equal_texts_keeps_them(make_docs):
+    text = " ".join(f"word{i % 40} line{i}" for i in range(600))
+    assert all(r.kept for r in quality_rules.quality(make_docs([text] * 50), ["doc_id"]).collect())
+
+
 def test_quality_keeps_clean_and_drops_junk(make_docs, clashing):
     rng = random.Random(6)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 7))) for _ in range(300)]
