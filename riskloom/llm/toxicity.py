@@ -118,28 +118,32 @@ def _fit(rows: list[np.ndarray], extra: np.ndarray, y: np.ndarray, seed: int = 0
     words of every clean document, would sink until a single telling word no longer made up for them.
     """
     size, more = 1 << BITS, extra.shape[1]
-    z, n = np.zeros(size + more), np.zeros(size + more)
+    z, root = np.zeros(size + more), np.zeros(size + more)  # root of the summed squared gradients
     tail = np.arange(size, size + more)
     order = np.random.default_rng(seed)
 
-    def weights(places: np.ndarray) -> np.ndarray:
-        zi = z[places]
-        w = -(zi - np.sign(zi) * PENALTY) / ((1.0 + np.sqrt(n[places])) / RATE + 1e-3)
-        return np.where(np.abs(zi) <= PENALTY, 0.0, np.where(places < size, np.maximum(w, 0.0), w))
+    def weights(zs: np.ndarray, roots: np.ndarray, words: int) -> np.ndarray:
+        """Weights of places of which the first ``words`` are words."""
+        w = (np.minimum(np.maximum(zs, -PENALTY), PENALTY) - zs) / ((1.0 + roots) / RATE + 1e-3)
+        np.maximum(w[:words], 0.0, out=w[:words])
+        return w
 
     share = min(max(float(y.mean()), 1e-3), 1 - 1e-3) if len(y) else 0.5
     base = math.log(share / (1 - share))
     for _ in range(EPOCHS):
         for i in order.permutation(len(rows)):
-            places = np.concatenate([rows[i], tail])
-            x = np.ones(len(places))
-            x[len(rows[i]) :] = extra[i]
-            w = weights(places)
-            g = (_sigmoid(base + float(w @ x)) - y[i]) * x
-            sigma = (np.sqrt(n[places] + g * g) - np.sqrt(n[places])) / RATE
-            z[places] += g - sigma * w
-            n[places] += g * g
-    w = weights(np.arange(size + more))
+            words = len(rows[i])
+            places = np.concatenate([rows[i], tail]) if more else rows[i]
+            zs, roots = z[places], root[places]
+            w = weights(zs, roots, words)
+            x = extra[i]
+            error = _sigmoid(base + float(w[:words].sum()) + float(w[words:] @ x)) - y[i]
+            g = np.full(len(places), error)
+            g[words:] *= x
+            now = np.sqrt(roots * roots + g * g)
+            z[places] = zs + g - (now - roots) / RATE * w
+            root[places] = now
+    w = weights(z, root, size)
     return base, w[:size], w[size:]
 
 
