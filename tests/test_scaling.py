@@ -1,0 +1,28 @@
+"""Whole results where the first versions stopped or held too much at once."""
+
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from riskloom.operators import trees
+from riskloom.operators.design import NUMBER, Term
+from riskloom.operators.linear import build_design
+
+
+def _fold_rows(spark, n):
+    """Units with two numbers, fold vectors of two repetitions, and an outcome that follows the first number."""
+    rows = [(i, i % 5 + (i // 7) % 3, float(i * 37 % 101) / 10, int((i * 37) % 11 < 4 + i % 5), [i % 5, i // 3 % 5]) for i in range(n)]
+    return spark.createDataFrame(rows, "unit_id long, age int, usage double, y int, folds array<int>")
+
+
+TERMS = [Term("age", "age", NUMBER), Term("usage", "usage", NUMBER)]
+
+
+def test_library_forest_scores_after_an_observed_query(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    design = build_design(_fold_rows(spark, 60), {"both": TERMS})
+    options = trees.TreeOptions(forest_trees=2, forest_depth=2)
+    model = trees.fit_final_tree(trees.FOREST, design, "both", options)
+    score = trees.tree_scorer(model, trees.design_columns(design, "both"))
+    assert len(score(_fold_rows(spark, 60)).collect()) == 60
