@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -294,36 +295,46 @@ def summary(df: DataFrame, contract: Contract, row_id: str | None = None) -> Dat
     )
 
 
-def require(df: DataFrame, contract: Contract, row_id: str | None = None) -> DataFrame:
-    """Return ``df`` if it conforms; otherwise raise with every failed check and its count."""
+def require(df: DataFrame, contract: Contract, row_id: str | None = None, strict: bool = True) -> DataFrame:
+    """Return ``df`` if it conforms; otherwise raise with every failed check and its count, or warn if not ``strict``."""
     broken = check_counts(df, contract, row_id).filter("n_failures > 0").collect()  # one row per rule
     if broken:
         lines = [f"{r['column'] or '(table)'}: {r['check']} x {r['n_failures']}" for r in broken]
-        raise ContractError(f"{contract.name} contract violated\n" + "\n".join(sorted(lines)))
+        message = f"{contract.name} contract violated\n" + "\n".join(sorted(lines))
+        if strict:
+            raise ContractError(message)
+        warnings.warn(message, stacklevel=2)
     return df
 
 
 def observed(
-    df: DataFrame, contract: Contract, row_id: str | None = None, checked: DataFrame | None = None
-) -> tuple[DataFrame, Callable[[], None]]:
+    df: DataFrame,
+    contract: Contract,
+    row_id: str | None = None,
+    checked: DataFrame | None = None,
+    strict: bool = True,
+) -> tuple[DataFrame, Callable[[], bool]]:
     """``df`` whose rules are counted by whatever action reads it, and the check to call after that action.
 
     So a check rides on the pass that writes a table and needs none of its own. ``checked`` names the columns that the
     contract is about, if ``df`` holds more. A rule broken by no row is counted zero whatever tasks are run again; if
-    any is broken, ``require`` counts once more, exactly, for its message.
+    any is broken, ``require`` counts once more, exactly, for its message. The check returns whether the rules hold,
+    which it can only deny if not ``strict``.
     """
     table = df if checked is None else checked
     if schema_failures(_without(table, row_id), contract):
         require(table, contract, row_id)
     rules = row_rules(table, contract)
     if not rules:
-        return df, lambda: None
+        return df, lambda: True
     observation = Observation()
     counted = df.observe(observation, *[F.count_if(bad).alias(f"r{i}") for i, (*_, bad, _) in enumerate(rules)])
 
-    def check() -> None:
-        if any(observation.get.values()):
-            require(table, contract, row_id)
+    def check() -> bool:
+        holds = not any(observation.get.values())
+        if not holds:
+            require(table, contract, row_id, strict)
+        return holds
 
     return counted, check
 

@@ -56,8 +56,9 @@ class Mart:
     tables: dict[str, DataFrame]
 
 
-def clean_step(source: DataFrame, roles: Roles = DEFAULT_ROLES) -> Cleaned:
-    """Strict: neither the input nor the output may break its contract.
+def clean_step(source: DataFrame, roles: Roles = DEFAULT_ROLES, strict: bool = True) -> Cleaned:
+    """Strict: neither the input nor the output may break its contract. Otherwise every row is kept, a warning names
+    the broken rules with their counts, and the report says that the clean contract is violated.
 
     Repeated rows are those equal in *all* columns of the source, so they are taken out before anything is
     projected. The cleaned table is staged, because its report and the mart read it; both contracts are checked by the
@@ -65,43 +66,40 @@ def clean_step(source: DataFrame, roles: Roles = DEFAULT_ROLES) -> Cleaned:
     """
     named = source_id(source, roles)
     contract = raw_contract(roles)
-    counted, source_holds = observed(source, contract, named, project_source(source, roles))
+    counted, source_holds = observed(source, contract, named, project_source(source, roles), strict)
     once = project_source(drop_duplicate_rows(counted), roles)
     typed = coerce(once, contract, [named] if named else [])
-    counted, table_holds = observed(fix_types(typed, roles, check=False), clean_contract(roles), named)
+    counted, table_holds = observed(fix_types(typed, roles, check=False), clean_contract(roles), named, strict=strict)
     table = stage(counted)
     try:
         source_holds()
-        table_holds()
+        conforming = table_holds()
     except ContractError:
         discard(table)
         raise
-    return Cleaned(table, cleaning_report(source, table, roles))
+    return Cleaned(table, cleaning_report(source, table, roles, conforming))
 
 
 def build_features(table: DataFrame, roles: Roles = DEFAULT_ROLES, strict: bool = True) -> DataFrame:
-    """Derived columns, checked against the feature contract."""
-    features = add_features(table, roles)
-    if strict:
-        require(
-            features, feature_contract(roles), source_id(table, roles)
-        )
-    return features
+    """Derived columns, checked against the feature contract; a broken rule is an error, or a warning if not strict."""
+    return require(add_features(table, roles), feature_contract(roles), source_id(table, roles), strict)
 
 
 def build_aggregates(
-    table: DataFrame, features: DataFrame, roles: Roles = DEFAULT_ROLES
+    table: DataFrame, features: DataFrame, roles: Roles = DEFAULT_ROLES, strict: bool = True
 ) -> dict[str, DataFrame]:
     results = {name: build(table, roles) for name, build in CLEAN_AGGREGATES.items()}
     results |= {name: build(features, roles) for name, build in FEATURE_AGGREGATES.items()}
     for name in WITH_INTERVALS:
-        require(results[name], risk_contract())
+        require(results[name], risk_contract(), strict=strict)
     return results
 
 
-def mart_step(table: DataFrame, roles: Roles = DEFAULT_ROLES, strict: bool = True) -> Mart:
-    features = build_features(table, roles, strict)
-    return Mart(features, build_aggregates(table, features, roles))
+def mart_step(
+    table: DataFrame, roles: Roles = DEFAULT_ROLES, strict: bool = True, check_features: bool = True
+) -> Mart:
+    features = build_features(table, roles, strict) if check_features else add_features(table, roles)
+    return Mart(features, build_aggregates(table, features, roles, strict))
 
 
 def run(
@@ -109,15 +107,18 @@ def run(
     source: str | DataFrame,
     target: str | None = None,
     roles: Roles = DEFAULT_ROLES,
+    strict: bool = True,
     **read_options,
 ) -> tuple[Cleaned, Mart]:
-    """Whole chain, from a path or a table. Without ``target`` no layer is written."""
+    """Whole chain, from a path or a table. Without ``target`` no layer is written; ``strict`` as in ``clean_step``."""
     df = open_source(spark, source, **read_options) if isinstance(source, str) else source
-    cleaned = clean_step(df, roles)
+    cleaned = clean_step(df, roles, strict)
     # The feature contract is checked by the pass that writes the features, if one does.
-    mart = mart_step(cleaned.table, roles, strict=not target)
+    mart = mart_step(cleaned.table, roles, strict, check_features=not target)
     if target:
-        counted, features_hold = observed(mart.features, feature_contract(roles), source_id(cleaned.table, roles))
+        counted, features_hold = observed(
+            mart.features, feature_contract(roles), source_id(cleaned.table, roles), strict=strict
+        )
         write_layer(counted, f"{target}/features")
         features_hold()
         write_layer(cleaned.table, f"{target}/clean")

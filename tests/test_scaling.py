@@ -1,11 +1,18 @@
 """Whole results where the first versions stopped or held too much at once."""
 
+from dataclasses import replace
+
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from riskloom.catalog import model_queries
+from riskloom.catalog.inputs import ROLES
 from riskloom.operators import trees
+from riskloom.operators.contracts import ContractError
 from riskloom.operators.design import NUMBER, Term
 from riskloom.operators.linear import build_design
+from riskloom.plans import mart
 
 
 def _fold_rows(spark, n):
@@ -26,3 +33,31 @@ def test_library_forest_scores_after_an_observed_query(spark):
     model = trees.fit_final_tree(trees.FOREST, design, "both", options)
     score = trees.tree_scorer(model, trees.design_columns(design, "both"))
     assert len(score(_fold_rows(spark, 60)).collect()) == 60
+
+
+def test_rows_outside_the_domain_are_kept_and_reported(spark):
+    source = spark.createDataFrame(
+        [(1, "FURNITURE", 3, 120_000, 2, "Sim"), (2, "BUILDING", 9, 505_000, 1, "Não"), (2, "BUILDING", 9, 505_000, 1, "Não")],
+        "unit_id long, grp string, age long, usage_km long, events long, label string",
+    )
+    with pytest.raises(ContractError):
+        mart.clean_step(source, ROLES)
+    with pytest.warns(UserWarning, match=r"usage_km: less_than_or_equal_to\(500000\) x 1"):
+        cleaned, built = mart.run(spark, source, roles=ROLES, strict=False)
+    assert sorted(r["usage_km"] for r in cleaned.table.collect()) == [120_000, 505_000]
+    assert {r["check"]: r["value"] for r in cleaned.report.collect()}["clean contract"] == "violated"
+    assert mart.run_counts(cleaned, built)["duplicates_removed"] == 1
+    assert built.features.filter("usage_band is null").count() == 1
+    with pytest.raises(ContractError):
+        mart.build_features(cleaned.table, ROLES)
+    with pytest.warns(UserWarning, match="usage_band: not_nullable x 1"):
+        assert mart.build_features(cleaned.table, ROLES, strict=False).count() == 2
+
+
+def test_optimality_needs_no_sort(spark, sf_dir, monkeypatch):
+    models = [replace(model_queries.GIVEN, repetition=r, fold=f) for r in range(5) for f in range(5)]
+    monkeypatch.setattr(model_queries, "fitted", lambda *_: (None, None, models))
+    result = model_queries.optimality(spark, sf_dir)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert result.count() == 25
