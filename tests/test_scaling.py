@@ -2,13 +2,15 @@
 
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from riskloom.catalog import model_queries
 from riskloom.catalog.inputs import ROLES
-from riskloom.operators import trees
+from riskloom.operators import ensembles, importance, linear, trees
 from riskloom.operators.contracts import ContractError
 from riskloom.operators.design import NUMBER, Term
 from riskloom.operators.linear import build_design
@@ -61,3 +63,74 @@ def test_optimality_needs_no_sort(spark, sf_dir, monkeypatch):
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
     assert result.count() == 25
+
+
+def test_scores_by_cell_equal_scores_by_row(spark, monkeypatch):
+    """Each cell walks the trees once; the same rows and scores as by row, for units that repeat or hold no number too."""
+    rows = _fold_rows(spark, 400).withColumn("usage", F.when(F.col("unit_id") % 50 != 0, F.floor("usage")))
+    design = build_design(rows.union(rows.limit(3)), {"both": TERMS})
+    options = trees.TreeOptions(forest_trees=3, boosting_rounds=3)
+    pairs = [(0, 0), (0, 3), (1, 4)]
+    for kind in (trees.FOREST, trees.BOOSTING):
+        for folds in (None, pairs):
+            by_cell = ensembles.out_of_fold(kind, design, options=options, folds=folds)[0]
+            with monkeypatch.context() as m:
+                m.setattr(ensembles, "_scored_by_cell", lambda *_: None)
+                by_row = ensembles.out_of_fold(kind, design, options=options, folds=folds)[0]
+            key = ["repetition", "fold", "unit_id", "y", "p"]
+            found, wanted = (sorted(tuple(r) for r in df.select(*key).collect()) for df in (by_cell, by_row))
+            assert len(found) == (806 if folds is None else len(wanted)) and len(found) == len(wanted)
+            assert [r[:4] for r in found] == [r[:4] for r in wanted]
+            assert [r[4] for r in found] == pytest.approx([r[4] for r in wanted], abs=1e-12)
+
+
+def test_trees_are_walked_once_a_cell(spark, monkeypatch):
+    design = build_design(_fold_rows(spark, 300).withColumn("usage", F.lit(1.0)), {"both": TERMS})
+    asked = []
+    monkeypatch.setattr(ensembles, "fold_scorer", lambda *_: asked.append(1))
+    options = trees.TreeOptions(forest_trees=2)
+    assert ensembles.out_of_fold(trees.FOREST, design, options=options)[0].count() == 600
+    assert not asked
+
+
+def test_shared_matrix_gives_each_problem_its_own_sums():
+    rng = np.random.default_rng(3)
+    x, y, folds = rng.normal(4, 2, (50, 3)), rng.integers(0, 2, 50), rng.integers(0, 5, (50, 2))
+    batch = pa.RecordBatch.from_pydict(
+        {**{f"x{i}": x[:, i] for i in range(3)}, "y": y, "folds": pa.array(folds.tolist(), pa.list_(pa.int32()))}
+    )
+    problems = [
+        (n, linear.Problem("s", n % 2, fold, columns, rng.normal(4, 0.3, len(columns)), rng.uniform(1, 3, len(columns)), rng.normal(0, 1, len(columns) + 1)))
+        for n, (fold, columns) in enumerate([(0, [0, 1, 2]), (3, [0, 1, 2]), (1, [2, 0]), (-1, [2, 0])])
+    ]
+    out = next(iter(linear._partial_sums(iter([batch, batch]), problems, 3, 15))).to_pandas()
+    for n, problem in problems:
+        rows = folds[:, problem.repetition] != problem.fold
+        z = np.column_stack([np.ones(rows.sum()), (x[rows][:, problem.columns] - problem.centre) / problem.scale])
+        eta = z @ problem.weights
+        p = 1 / (1 + np.exp(-eta))
+        h = (z * (p * (1 - p))[:, None]).T @ z
+        wanted = [np.sum(np.log1p(np.exp(eta)) - y[rows] * eta), *(z.T @ (p - y[rows])), *h[np.triu_indices(len(h))]]
+        found = out[out.problem == n].sort_values("slot").value.to_numpy()
+        assert found[: len(wanted)] == pytest.approx(2 * np.array(wanted))
+
+
+def test_ring_moves_the_terms_alone_in_few_buckets(spark, monkeypatch):
+    """However many blocks, the shuffle holds each term once; a ring of few units is one bucket."""
+    design = build_design(_fold_rows(spark, 100), {"both": TERMS})
+    models = [linear.LinearModel("both", tuple(TERMS), (0.5, -0.2), (4.0, 5.0), (2.0, 3.0), 0.1, r, f) for r in range(2) for f in range(5)]
+    seen, plain = [], importance._with_next
+
+    def spy(rows, carried, n, seed, buckets):
+        seen.append((rows.columns, carried, buckets))
+        moved = plain(rows, carried, n, seed, buckets)
+        assert dict(moved.dtypes)["__order"] == "binary"
+        return moved
+
+    monkeypatch.setattr(importance, "_with_next", spy)
+    blocks = {"both": ("age", "usage"), "age": ("age",), "usage": ("usage",)}
+    found = importance.permutation_importance(design, models, "both", blocks)
+    assert seen == [(["repetition", "fold", "unit_id", "y", "x0", "x1"], ["x0", "x1"], 1)]
+    whole = {(r["repetition"], r["fold"], r["block"]): r["auc_drop"] for r in found.collect()}
+    cut = importance.permutation_importance(design, models, "both", blocks, buckets=7)
+    assert len(whole) == 30 and whole == pytest.approx({(r["repetition"], r["fold"], r["block"]): r["auc_drop"] for r in cut.collect()})
