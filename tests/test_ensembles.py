@@ -274,3 +274,108 @@ def test_importance_of_trees_sees_the_strong_column(spark, design):
     rows = {r.block: r for r in importance.importance_summary(found).collect()}
     assert set(rows) == {"pair", "age", "usage_km", "events"}
     assert rows["pair"].auc_drop > max(rows["events"].auc_drop, 0) and rows["pair"].n_columns == 2
+
+
+def counted(x, y):
+    cells, place = np.unique(x, axis=0, return_inverse=True)
+    counts = np.zeros((len(cells), 2), np.int64)
+    np.add.at(counts, (place.reshape(-1), y), 1)
+    return cells, counts
+
+
+def close(a, b):
+    if isinstance(a, float):
+        return a == pytest.approx(b, abs=1e-9)
+    return a[:2] == b[:2] and close(a[2], b[2]) and close(a[3], b[3])
+
+
+def test_counted_rows_grow_the_same_trees():
+    x, y = table(3000)
+    x[:, 0] //= 4
+    cells, counts = counted(x, y)
+    assert len(cells) < 600
+    options = TreeOptions(bootstrap=False, boosting_rounds=8, sampling=1.0)
+    seeds = [(42, 0, 1, 2, t) for t in range(4)]
+    plain, grouped = grow_forest(x, y, seeds, options), grow_forest(cells, None, seeds, options, counts)
+    assert [nested(grouped, r) for r in grouped.root] == [nested(plain, r) for r in plain.root]
+    (start, plain), (other, grouped) = grow_boosting(x, y, (7,), options), grow_boosting(cells, None, (7,), options, counts)
+    assert start == pytest.approx(other)
+    assert all(close(nested(grouped, a), nested(plain, b)) for a, b in zip(grouped.root, plain.root))
+
+
+def test_counted_bootstrap_draws_as_single_rows_do():
+    counts = np.array([1, 2, 3, 30, 400])
+    starts = np.append(0, counts.cumsum()[:-1])
+    one, two = [], []
+    for t in range(600):
+        drawn, distinct = ensembles.counted_bootstrap(counts, (1, t), 10)
+        assert drawn.sum() == counts.sum() and (distinct <= np.minimum(np.minimum(drawn, counts), 10)).all()
+        assert ((drawn == 0) == (distinct == 0)).all()
+        single = bootstrap_counts(counts.sum(), (2, t))
+        one.append(np.append(drawn, distinct))
+        two.append(np.append(np.add.reduceat(single, starts), np.minimum(np.add.reduceat(single > 0, starts), 10)))
+    assert np.mean(one, 0) == pytest.approx(np.mean(two, 0), rel=0.12)
+    assert np.std(one, 0)[:9] == pytest.approx(np.std(two, 0)[:9], rel=0.2)
+
+
+def test_dense_and_sorted_cuts_agree(monkeypatch):
+    x, y = table(2000, 5)
+    seeds = [(1, t) for t in range(4)]
+    monkeypatch.setattr(ensembles, "DENSE", 0)
+    by_sort = grow_forest(x, y, seeds, TreeOptions(forest_leaf=2))
+    monkeypatch.setattr(ensembles, "DENSE", 1 << 30)
+    by_count = grow_forest(x, y, seeds, TreeOptions(forest_leaf=2))
+    assert by_sort.packed() == by_count.packed()
+
+
+def test_all_units_are_fitted_by_default(spark):
+    """More units than the former bound: every one is counted, with cuts at ranks of all of them."""
+    n = 6_000
+    rows = add_features(spark.createDataFrame(make_units(n), SCHEMA), ROLES)
+    rows = rows.withColumn("usage_km", F.when(F.col("unit_id") % 50 != 0, F.col("usage_km")))
+    design = experiment.tree_design(stage(fold_vectors(rows, ROLES)), ROLES)
+    sample = ensembles.fit_sample(design)
+    assert sample.counts.shape[1:] == (2, 5, 5)
+    assert sample.counts.sum((0, 1, 3)).tolist() == [n] * 5
+    pdf = design.units.toPandas()
+    columns = [pdf[f"x{i}"].fillna(-np.inf).to_numpy(float) for i in range(len(design.terms))]
+    wanted = [ensembles.term_cuts(c) for c in columns]
+    assert 240 < max(map(len, wanted)) < 256
+    for got, want in zip(sample.cuts, wanted):
+        assert got.tolist() == want.tolist()
+    cells, counts = counted(ensembles.to_bins(columns, wanted), pdf.y.to_numpy())
+    assert np.array_equal(sample.bins, cells)
+    assert np.array_equal(sample.counts[:, :, 2].sum(2), counts)
+    fourth = np.array([f[2] for f in pdf.folds]) == 4
+    left, inside = ensembles._training(sample, 2, 4)[2], counted(ensembles.to_bins(columns, wanted)[~fourth], pdf.y.to_numpy()[~fourth])[1]
+    assert np.array_equal(left, inside)
+    fewer = sample.of([5, 0])
+    assert fewer.counts.sum() == sample.counts.sum() and len(fewer.bins) < len(sample.bins)
+
+
+@pytest.mark.parametrize("kind", [FOREST, BOOSTING])
+def test_scores_made_where_trees_grow(spark, design, monkeypatch, kind):
+    """Scores from the tasks that fit equal those of the fitted models; every unit is scored, or those of the folds asked for."""
+    monkeypatch.setattr(ensembles, "SINGLE_UNITS", 100)
+    options = TreeOptions(forest_trees=7, boosting_rounds=5)
+    parts = ensembles.out_of_fold(kind, design, options=options)
+    assert [p.count() for p in parts] == [2500] * 3
+    pairs = [(0, 0), (4, 3)]
+    models = ensembles.fit(kind, design, "with_derived", pairs, options)
+    score = ensembles.fold_scorer(spark, models)
+    terms = [design.column(t) for t in design.sets["with_derived"]]
+    rows = design.table.filter("(repetition = 0 and fold = 0) or (repetition = 4 and fold = 3)")
+    want = sorted(map(tuple, rows.select("repetition", "unit_id", "y", score("repetition", "fold", *terms)).collect()))
+    (asked,) = ensembles.out_of_fold(kind, design, ["with_derived"], options, pairs)
+    for part in (asked, parts[list(design.sets).index("with_derived")].filter("(repetition, fold) in ((0, 0), (4, 3))")):
+        assert {(r.model, r.feature_set) for r in part.select("model", "feature_set").distinct().collect()} == {(kind, "with_derived")}
+        got = sorted(map(tuple, part.select("repetition", "unit_id", "y", "p").collect()))
+        assert [g[:3] for g in got] == [w[:3] for w in want]
+        assert [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-12)
+
+
+def test_tree_importance_query_reads_no_sample():
+    from riskloom.catalog import ENTRIES, model_queries
+
+    assert "fit-" not in ENTRIES["tree_permutation_importance"].oracle
+    assert model_queries.STUMP.fit_rows is None and TreeOptions().fit_rows is None
