@@ -220,3 +220,46 @@ def test_ring_moves_the_terms_alone_in_few_buckets(spark, monkeypatch):
     whole = {(r["repetition"], r["fold"], r["block"]): r["auc_drop"] for r in found.collect()}
     cut = importance.permutation_importance(design, models, "both", blocks, buckets=7)
     assert len(whole) == 30 and whole == pytest.approx({(r["repetition"], r["fold"], r["block"]): r["auc_drop"] for r in cut.collect()})
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    from riskloom.session import _CLEANUP, discard, stage
+
+    before, held = spark.conf.get(_CLEANUP, None), _shuffle_files(spark)
+    table = stage(spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count())
+    assert spark.conf.get(_CLEANUP, None) == before
+    assert _shuffle_files(spark) <= held
+    assert table.count() == 10
+    discard(table)
+
+
+def test_rings_in_rounds_give_the_same_drops(spark, monkeypatch):
+    """Rings made some at a time, each round down to its metrics, equal those made together."""
+    design = build_design(_fold_rows(spark, 100), {"both": TERMS})
+    models = [linear.LinearModel("both", tuple(TERMS), (0.5, -0.2), (4.0, 5.0), (2.0, 3.0), 0.1, r, f) for r in range(2) for f in range(5)]
+    blocks = {"both": ("age", "usage"), "age": ("age",)}
+    found, asked, plain = {}, [], importance._with_next
+    monkeypatch.setattr(importance, "_with_next", lambda rows, carried, some, *more: asked.append(some) or plain(rows, carried, some, *more))
+    n = design.units.count()
+    for rings in (10, 5, 2, 0):
+        monkeypatch.setattr(importance, "ROWS_A_ROUND", rings * n)
+        rows = importance.permutation_importance(design, models, "both", blocks).collect()
+        found[rings] = {(r["repetition"], r["fold"], r["block"]): (r["reference_auc"], r["auc_drop"]) for r in rows}
+        assert len(rows) == 20
+    one = [range(5)]
+    assert asked == one + one * 2 + [range(0, 2), range(2, 4), range(4, 5)] * 2 + [range(k, k + 1) for k in range(5)] * 2
+    for rings in (5, 2, 0):
+        assert found[rings].keys() == found[10].keys()
+        assert all(found[rings][k] == pytest.approx(found[10][k], abs=1e-12) for k in found[10])
+
+
+def test_optimality_deals_the_units_once(spark, sf_dir, monkeypatch):
+    dealt, plain = [], model_queries.folds
+    monkeypatch.setattr(model_queries, "folds", lambda *args: dealt.append(args) or plain(*args))
+    assert model_queries.optimality(spark, sf_dir).count() == 25
+    assert len(dealt) == 1
