@@ -379,3 +379,22 @@ def test_tree_importance_query_reads_no_sample():
 
     assert "fit-" not in ENTRIES["tree_permutation_importance"].oracle
     assert model_queries.STUMP.fit_rows is None and TreeOptions().fit_rows is None
+
+
+def test_folds_dealt_in_rounds_are_the_same(spark, monkeypatch):
+    """Repeated rows, repeated and null ids: the folds do not depend on how many repetitions are ranked at a time."""
+    from riskloom.operators import folds
+
+    pdf = pd.concat([make_units(60), make_units(4), make_units(4)])
+    rows = spark.createDataFrame(pdf, SCHEMA)
+    rows = rows.unionByName(rows.limit(5).withColumn("usage_km", F.lit(7).cast(rows.schema["usage_km"].dataType)))
+    rows = stage(rows.withColumn("unit_id", F.when(F.col("unit_id") % 9 != 0, F.col("unit_id"))))
+    ranked, plain, found = [], folds._ranked, []
+    monkeypatch.setattr(folds, "_ranked", lambda units, some, seed: ranked.append(some) or plain(units, some, seed))
+    for size in (10**9, 80):
+        monkeypatch.setattr(folds, "ROWS_A_ROUND", size)
+        found.append(sorted(map(str, by_repetition(fold_vectors(rows, ROLES, 5, 3)).collect())))
+    assert ranked[0] == range(3) and ranked[1:4] == [range(r, r + 1) for r in range(3)]
+    assert found[0] == found[1] and len(found[0]) == 3 * rows.count()
+    want = sorted(map(str, assign_folds(rows, ROLES, 5, 3).select("repetition", "fold", *rows.columns, "y").collect()))
+    assert sorted(map(str, by_repetition(fold_vectors(rows, ROLES, 5, 3)).select("repetition", "fold", *rows.columns, "y").collect())) == want
